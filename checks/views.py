@@ -99,15 +99,19 @@ class Views:
             "seniority_years": full_years("entry_date", AS_OF),
         })
 
+    @cached_property
+    def hr_dirty_once(self) -> DataFrame:
+        return self.hr.selectExpr(*_split(DIRTY))
+
     @cached_property
     def hr_dirty(self) -> DataFrame:
-        dirty = self.hr.selectExpr(*_split(DIRTY))
+        dirty = self.hr_dirty_once
         return dirty.unionByName(dirty.filter("n % 250 < 3"))
 
     @cached_property
     def hr_valid(self) -> DataFrame:
         """Without the two failures that block publishing."""
-        return self.hr.selectExpr(*_split(DIRTY)).filter("transport_mode <> 'Inconnu'")
+        return self.hr_dirty_once.filter("transport_mode <> 'Inconnu'")
 
     @cached_property
     def geo(self) -> DataFrame:
