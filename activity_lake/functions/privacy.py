@@ -1,4 +1,8 @@
-"""Encrypted personal columns, with Spark's own AES functions."""
+"""Encrypted personal columns, with Spark's own AES functions.
+
+The key becomes a literal of the plan; set ``spark.sql.redaction.string.regex``
+where plans are shown to others.
+"""
 
 from __future__ import annotations
 

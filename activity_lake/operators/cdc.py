@@ -9,9 +9,14 @@ from pyspark.sql import types as T
 from activity_lake.schemas import envelope
 
 
-def cdc_parse(df: DataFrame, row: T.StructType) -> DataFrame:
-    """Message bytes or text as a typed envelope ``data``; unreadable ones become null."""
-    return df.select(F.from_json(F.col("value").cast("string"), envelope(row)).alias("data"))
+def cdc_parse(df: DataFrame, row: T.StructType, with_event: bool = True) -> DataFrame:
+    """Message bytes or text as a typed envelope ``data``; unreadable ones become null.
+
+    Exploding a list of one keeps the parsed value in a column of its own:
+    otherwise a later filter is pushed below it and parses every message again.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), envelope(row, with_event))
+    return df.select(F.explode(F.array(parsed)).alias("data"))
 
 
 def cdc_flatten(parsed: DataFrame, with_event: bool = False) -> DataFrame:
@@ -39,7 +44,7 @@ def cdc_upserts(flat: DataFrame) -> DataFrame:
 
 def cdc_rows(raw: DataFrame, row: T.StructType) -> DataFrame:
     """Messages to row images, for batch and stream alike."""
-    return cdc_upserts(cdc_flatten(cdc_parse(raw, row)))
+    return cdc_upserts(cdc_flatten(cdc_parse(raw, row, with_event=False)))
 
 
 def cdc_events(raw: DataFrame, row: T.StructType) -> DataFrame:

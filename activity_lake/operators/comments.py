@@ -92,7 +92,8 @@ def score_batches(
 
 def parse_answers(df: DataFrame, answer: str = "answer") -> tuple[DataFrame, DataFrame]:
     """Comments as ``id, comment``, and the rows whose answer cannot be read."""
-    parsed = df.withColumn("_results", parse_answer(answer)["results"])
-    comments = parsed.select(F.explode("_results").alias("r")).select("r.id", "r.comment")
-    rejects = parsed.filter(F.col("_results").isNull()).drop("_results")
+    # A list of one keeps the parsed answer from being computed again in filters.
+    parsed = df.select("*", F.explode(F.array(parse_answer(answer))).alias("_parsed"))
+    comments = parsed.select(F.explode("_parsed.results").alias("r")).select("r.id", "r.comment")
+    rejects = parsed.filter(F.col("_parsed.results").isNull()).drop("_parsed")
     return comments, rejects

@@ -24,27 +24,24 @@ def fingerprint(df: DataFrame, cols: list[str] | None = None, algorithm: str = "
     return df.withColumn("fingerprint", value)
 
 
-def snapshot_diff(
-    incoming: DataFrame, stored: DataFrame, key: str = "id", mark: str = "fingerprint"
-) -> DataFrame:
-    """Rows that differ between two snapshots, with ``_merge`` and ``status``.
-
-    ``left_only`` rows are new images, ``right_only`` rows old ones; pairs
-    equal in key and fingerprint are dropped. A key with several images left
-    is ``modified``, a single one is ``new`` or ``deleted``.
-
-    Keys and fingerprints alone are compared first, as one aggregate over both
-    sides that combines before the shuffle. Whole rows are fetched for the
-    differing images only, by an equi-join whose right side has one row per
-    image: small differences broadcast, large ones shuffle with the scan
-    filtered by Spark's runtime filter, and repeated keys never pile up.
-    """
+def _both_sides(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """Rows of both snapshots in the stored columns, with the side as ``_merge``."""
     blank = [c for c in stored.columns if c not in incoming.columns]
     left = incoming.withColumns({c: F.lit(None).cast(stored.schema[c].dataType) for c in blank})
     left = left.select(*stored.columns).withColumn("_merge", F.lit("left_only"))
     right = stored.withColumn("_merge", F.lit("right_only"))
-    both = left.unionByName(right).filter(F.col(key).isNotNull())
+    return left.unionByName(right).filter(F.col(key).isNotNull())
+
+
+def diff_labels(
+    incoming: DataFrame, stored: DataFrame, key: str = "id", mark: str = "fingerprint"
+) -> DataFrame:
+    """Key, fingerprint, ``_merge`` and ``status`` of each differing image.
 
+    Only keys and fingerprints are read and shuffled, as one aggregate over
+    both sides that combines per task, so repeated keys never pile up.
+    """
+    both = _both_sides(incoming.select(key, mark), stored.select(key, mark), key)
     on_left = (F.col("_merge") == "left_only").cast("long")
     images = both.groupBy(key, mark).agg(
         F.sum(on_left).alias("_left"), F.sum(1 - on_left).alias("_right"))
@@ -57,15 +54,37 @@ def snapshot_diff(
         F.when(F.col("_images") > 1, "modified")
         .when(F.col("_merge") == "right_only", "deleted").otherwise("new")
     )
-    labels = changed.join(per_key, key).select(
-        F.col(key).alias("_key"), F.col(mark).alias("_mark"), F.col("_merge").alias("_side"),
-        status.alias("status"),
-    )
+    return changed.join(per_key, key).select(key, mark, "_merge", status.alias("status"))
+
+
+def snapshot_diff(
+    incoming: DataFrame,
+    stored: DataFrame,
+    key: str = "id",
+    mark: str = "fingerprint",
+    labels: DataFrame | None = None,
+) -> DataFrame:
+    """Rows that differ between two snapshots, with ``_merge`` and ``status``.
+
+    ``left_only`` rows are new images, ``right_only`` rows old ones; pairs
+    equal in key and fingerprint are dropped. A key with several images left
+    is ``modified``, a single one is ``new`` or ``deleted``.
+
+    Whole rows are fetched for the labelled images only. Give ``labels`` as a
+    written table where the snapshots are large: its size is then known when
+    the fetch is planned, so that small differences are broadcast and the
+    snapshots are not shuffled at all.
+    """
+    if labels is None:
+        labels = diff_labels(incoming, stored, key, mark)
+    wanted = labels.select(
+        F.col(key).alias("_key"), F.col(mark).alias("_mark"), F.col("_merge").alias("_side"), "status")
     same_image = (
         (F.col(key) == F.col("_key")) & F.col(mark).eqNullSafe(F.col("_mark"))
         & (F.col("_merge") == F.col("_side"))
     )
-    return both.join(labels, same_image).select(*stored.columns, "_merge", "status")
+    found = _both_sides(incoming, stored, key).join(wanted, same_image)
+    return found.select(*stored.columns, "_merge", "status")
 
 
 def mark_duplicates(df: DataFrame, key: str = "id", out: str = "duplicated") -> DataFrame:

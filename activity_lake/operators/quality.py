@@ -8,7 +8,7 @@ no more than any other.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -87,7 +87,23 @@ class Between(Rule):
 
 @dataclass(frozen=True)
 class ByValue(Rule):
-    """A rule decided by the distinct values of the column."""
+    """A rule decided by the distinct values of the column.
+
+    ``found`` holds the bad values once they have been looked up.
+    """
+
+    found: DataFrame | None = field(default=None, compare=False, kw_only=True)
+
+    def settled(self, df: DataFrame) -> ByValue:
+        """The same rule with its bad values written to a table.
+
+        Report, sample and cleaning then share one lookup, and the planner
+        knows from the table's size whether it may be broadcast.
+        """
+        return replace(self, found=write_stage(self.bad_values(df), name="values"))
+
+    def lookup(self, df: DataFrame) -> DataFrame:
+        return self.bad_values(df) if self.found is None else self.found
 
     def bad_values(self, df: DataFrame) -> DataFrame:
         """``_value`` and ``_rows`` of each value that breaks the rule."""
@@ -98,15 +114,15 @@ class ByValue(Rule):
         return named.groupBy("_value").agg(F.count("*").alias("_rows"))
 
     def violating(self, df: DataFrame) -> DataFrame:
-        bad = self.bad_values(df).select("_value")
+        bad = self.lookup(df).select("_value")
         return df.join(bad, F.col(self.column) == F.col("_value"), "left_semi")
 
     def satisfying(self, df: DataFrame) -> DataFrame:
-        bad = self.bad_values(df).select("_value")
+        bad = self.lookup(df).select("_value")
         return df.join(bad, F.col(self.column) == F.col("_value"), "left_anti")
 
     def count(self, df: DataFrame) -> DataFrame:
-        return self.bad_values(df).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("broken"))
+        return self.lookup(df).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("broken"))
 
 
 @dataclass(frozen=True)
@@ -249,6 +265,7 @@ def publish(df: DataFrame, suite: list[Rule], path: str) -> tuple[str, DataFrame
     ``path`` when the suite fails. Returns the status and the report.
     """
     staged = write_stage(df, name="audit")
+    suite = [r.settled(staged) if isinstance(r, ByValue) else r for r in suite]
     report = write_stage(run_suite(staged, suite), name="report")
     status = status_of(report)
     if status != FAILED:

@@ -81,8 +81,8 @@ def missing(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
 
 
 def exists_in(df: DataFrame, reference: DataFrame, key: str, reference_key: str = "id") -> DataFrame:
-    """Rows whose key occurs in the reference table."""
-    known = reference.select(F.col(reference_key).alias(key)).distinct()
+    """Rows whose key occurs in the reference table, which has one row per key."""
+    known = reference.select(F.col(reference_key).alias(key))
     return df.join(known, key, "left_semi")
 
 

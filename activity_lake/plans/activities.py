@@ -12,7 +12,7 @@ from activity_lake.operators.comments import (
     build_prompts, comment_context, default_comments, parse_answers, score_batches,
 )
 from activity_lake.operators.diff import (
-    apply_changes, diff_gate, diff_summary, fingerprint, snapshot_diff,
+    apply_changes, diff_gate, diff_labels, diff_summary, fingerprint, snapshot_diff,
 )
 from activity_lake.operators.quality import FAILED, publish
 from activity_lake.operators.shaping import attach_comments, conform
@@ -59,11 +59,12 @@ def ingest_activities(
     if status == FAILED:
         return {"validate": status, "continue": "NO"}
     incoming = write_stage(fingerprint(spark.read.parquet(valid_path)), name="fingerprinted")
-    actions = write_stage(
-        snapshot_diff(incoming, stored.select(*schemas.STORED_COLUMNS)), name="actions")
+    stored = stored.select(*schemas.STORED_COLUMNS)
+    labels = write_stage(diff_labels(incoming, stored), name="labels")
+    actions = write_stage(snapshot_diff(incoming, stored, labels=labels), name="actions")
     gate = diff_gate(diff_summary(actions, incoming)).first()
     statuses = {"validate": status, "scan": gate["status"], "continue": gate["continue"]}
     if gate["continue"] == "YES":
         commented = write_stage(comment_actions(actions, employees, key, writers), name="commented")
-        apply_changes(stored.select(*schemas.STORED_COLUMNS), commented).write.mode("overwrite").parquet(target)
+        apply_changes(stored, commented).write.mode("overwrite").parquet(target)
     return statuses

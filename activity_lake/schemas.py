@@ -112,18 +112,16 @@ PLACES = T.StructType([
 ])
 
 
-def envelope(row: T.StructType) -> T.StructType:
-    """Change envelope around ``row``.
+def envelope(row: T.StructType, with_event: bool = True) -> T.StructType:
+    """Change envelope around ``row``; fields not named here are skipped when parsing.
 
-    ``op``, ``ts_ms`` and the key of the old image let readers see deletes,
-    whose ``after`` is null.
+    The event fields ``op``, ``ts_ms`` and the key of the old image let readers
+    see deletes, whose ``after`` is null.
     """
-    before = T.StructType([T.StructField("id", T.StringType())])
-    return T.StructType([
-        T.StructField("payload", T.StructType([
-            T.StructField("op", T.StringType()),
-            T.StructField("ts_ms", T.LongType()),
-            T.StructField("before", before),
-            T.StructField("after", row),
-        ])),
-    ])
+    event = [
+        T.StructField("op", T.StringType()),
+        T.StructField("ts_ms", T.LongType()),
+        T.StructField("before", T.StructType([T.StructField("id", T.StringType())])),
+    ]
+    payload = T.StructType([*(event if with_event else []), T.StructField("after", row)])
+    return T.StructType([T.StructField("payload", payload)])

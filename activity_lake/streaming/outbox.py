@@ -17,9 +17,12 @@ SLACK, LOG, NONE = "SLACK", "LOG", "NONE"
 
 
 def clean_comments(df: DataFrame, key: str) -> DataFrame:
-    """Readable comments, as ``id, text``; empty ones are dropped."""
-    text = clean_comment(decrypted("comment", key))
-    return df.select("id", text.alias("text")).filter(F.length("text") > 0)
+    """Readable comments, as ``id, text``; empty ones are dropped.
+
+    Dropping inside the list that is exploded decrypts each comment once.
+    """
+    text = F.array(clean_comment(decrypted("comment", key)))
+    return df.select("id", F.explode(F.filter(text, lambda t: F.length(t) > 0)).alias("text"))
 
 
 def notifications(raw: DataFrame, key: str, target: str) -> DataFrame:
