@@ -15,9 +15,10 @@ PLAIN = "aaaaeeeeiiuuuoo  "
 DEFAULT_COMMENT_PREFIX = "Bypass IA : "
 NO_COMMENT = "No comment"
 
-# White space in the Unicode sense; the regex engine's \s is ASCII only.
+# White space as Python sees it. The regex class needs (?U) to know Unicode and
+# the four separators it leaves out.
 WHITE_SPACE = "".join(chr(c) for c in range(0x10000) if chr(c).isspace())
-_WORD = "[^" + "".join(f"\\x{{{ord(c):X}}}" for c in WHITE_SPACE) + "]+"
+_WORD = r"(?U)[^\s\x1C-\x1F]+"
 
 
 def strip(c: Column | str) -> Column:

@@ -9,7 +9,6 @@ from activity_lake.functions import dates, privacy, text
 from activity_lake.functions.business import bonus_amount, is_eligible, margin_kms, with_distance
 from activity_lake.operators.cdc import cdc_rows
 from activity_lake.operators.comments import build_prompts, parse_answers, INSTRUCTIONS
-from activity_lake.operators.diff import snapshot_diff
 from activity_lake.operators.places import flatten_places
 from activity_lake.operators.reporting import with_templates
 from activity_lake.operators.shaping import alias_table
@@ -239,7 +238,7 @@ def _(v: Views):
 @check("encrypt_once", f"""with {DIFF} select id, _merge, situation as comment,
   _merge = 'left_only' as fresh from diff""")
 def _(v: Views):
-    actions = snapshot_diff(v.incoming, v.stored).withColumn("comment", F.col("situation"))
+    actions = v.actions.withColumn("comment", F.col("situation"))
     sealed = privacy.encrypt_new(actions, "comment", KEY)
     fresh = F.col("comment") != F.col("situation")
     opened = F.when(fresh, privacy.decrypted("comment", KEY)).otherwise(F.col("comment"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from activity_lake.functions.dates import epoch_micros
 from activity_lake.operators.cdc import latest_state, latest_state_with_deletes
 from activity_lake.operators.diff import (
-    apply_changes, change_counts, diff_gate, diff_summary, fingerprint, mark_duplicates, snapshot_diff,
+    apply_changes, change_counts, diff_gate, diff_summary, fingerprint, mark_duplicates,
 )
 from checks.joins import DIFF
 from checks.registry import check
@@ -32,7 +32,7 @@ def _(v: Views):
 
 @check("snapshot_diff", f"with {DIFF} select {_ROW}, _merge, status from diff")
 def _(v: Views):
-    return _flat(snapshot_diff(v.incoming, v.stored))
+    return _flat(v.diff)
 
 
 @check("diff_duplicate_mark", """select l_orderkey, l_linenumber, l_partkey,
@@ -44,26 +44,26 @@ def _(v: Views):
 
 @check("diff_summary", f"with {DIFF}, {_COUNTS} select * from counts")
 def _(v: Views):
-    return diff_summary(snapshot_diff(v.incoming, v.stored), v.incoming)
+    return diff_summary(v.actions, v.incoming)
 
 
 @check("diff_gate", f"""with {DIFF}, {_COUNTS}
   select case when new + deleted + modified > 0 then 'YES' else 'NO' end as continue,
   case when deleted + modified > 0 then 'WARNING' else 'SUCCESS' end as status from counts""")
 def _(v: Views):
-    return diff_gate(diff_summary(snapshot_diff(v.incoming, v.stored), v.incoming))
+    return diff_gate(diff_summary(v.actions, v.incoming))
 
 
 @check("apply_changes", f"""select id, employee_id, sport, situation, distance_meters,
   epoch_us(begin_date) as begin_micros, duration_sec, fingerprint from incoming""")
 def _(v: Views):
-    return _flat(apply_changes(v.stored, snapshot_diff(v.incoming, v.stored))).drop("comment")
+    return _flat(apply_changes(v.stored, v.actions)).drop("comment")
 
 
 @check("change_counts", f"""with {DIFF} select status, count(*) as rows from diff
   where not (status = 'modified' and _merge = 'right_only') group by status""")
 def _(v: Views):
-    return change_counts(snapshot_diff(v.incoming, v.stored))
+    return change_counts(v.actions)
 
 
 _LAST = "row_number() over (partition by id order by ts_ms desc) = 1"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from activity_lake.functions.business import max_distance
 from activity_lake.operators.comments import default_comments
-from activity_lake.operators.diff import change_audit, snapshot_diff
+from activity_lake.operators.diff import change_audit
 from activity_lake.operators.shaping import (
     attach_comments, enrich_names, exists_in, merge_hr_sport, merge_indicator, missing, normalize_sport, orphans,
 )
@@ -69,7 +69,7 @@ def _(v: Views):
 @check("carry_over_left", f"""with {DIFF} select id, _merge, status, case when _merge = 'left_only'
   then 'Bypass IA : ' || coalesce(nullif(situation, ''), 'No comment') else comment end as comment from diff""")
 def _(v: Views):
-    actions = snapshot_diff(v.incoming, v.stored)
+    actions = v.actions
     written = default_comments(actions.filter("_merge = 'left_only'"))
     return attach_comments(actions, written).select("id", "_merge", "status", "comment")
 
@@ -101,7 +101,7 @@ def _record(alias: str) -> str:
   from diff o left join diff n on n.id = o.id and n._merge = 'left_only'
   where o._merge = 'right_only' and o.status in ('modified', 'deleted')""")
 def _(v: Views):
-    return change_audit(snapshot_diff(v.incoming, v.stored), AUDITED)
+    return change_audit(v.actions, AUDITED)
 
 
 @check("stream_static_join", """select g.id, g.social_year, e.business_unit

@@ -9,7 +9,6 @@ from activity_lake.functions.dates import activity_date
 from activity_lake.functions.dates import social_year as year_of
 from activity_lake.operators.cdc import latest_state
 from activity_lake.operators.comments import default_comments
-from activity_lake.operators.diff import snapshot_diff
 from activity_lake.operators.reporting import bonus_what_if, employee_sheet, social_year_stats, token_report
 from activity_lake.operators.shaping import (
     changed_ids, dedupe, head, share, sort_by_indicator, union_all, with_batch,
@@ -42,7 +41,7 @@ def _(v: Views):
 @check("distinct_ids", f"""with {DIFF} select id, fingerprint, _merge from diff
   where id in (select id from diff group by id having count(*) > 1)""")
 def _(v: Views):
-    diff = snapshot_diff(v.incoming, v.stored).select("id", "fingerprint", "_merge")
+    diff = v.actions.select("id", "fingerprint", "_merge")
     return diff.join(changed_ids(diff), "id", "left_semi")
 
 
@@ -121,7 +120,7 @@ def _(v: Views):
 
 @check("sort_by_indicator", f"with {DIFF} select id, _merge from diff")
 def _(v: Views):
-    return sort_by_indicator(snapshot_diff(v.incoming, v.stored)).select("id", "_merge")
+    return sort_by_indicator(v.diff).select("id", "_merge")
 
 
 @check("limit_rows", "select id, last_name from employees order by id limit 5")

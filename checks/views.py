@@ -16,7 +16,8 @@ from activity_lake import schemas
 from activity_lake.functions.dates import epoch_micros, full_years
 from activity_lake.functions.business import margin_kms
 from activity_lake.operators.cdc import cdc_events
-from activity_lake.operators.diff import fingerprint
+from activity_lake.operators.diff import diff_labels, fingerprint, snapshot_diff
+from activity_lake.sources.tables import write_stage
 from activity_lake.streaming.gold import activities_gold
 
 AS_OF = "2026-01-01"
@@ -146,6 +147,20 @@ class Views:
         older = older.filter("n % 10 <> 3").withColumn("comment", F.expr("concat('c', id)")).drop("n")
         return fingerprint(older).select(*schemas.STORED_COLUMNS)
 
+    @cached_property
+    def labels(self) -> DataFrame:
+        """Labels of the differing images, as a written table."""
+        return write_stage(diff_labels(self.incoming, self.stored), name="labels")
+
+    @cached_property
+    def diff(self) -> DataFrame:
+        return snapshot_diff(self.incoming, self.stored, labels=self.labels)
+
+    @cached_property
+    def actions(self) -> DataFrame:
+        """The difference as the stage that later steps read."""
+        return write_stage(self.diff, name="actions")
+
     def _messages(self, rows: DataFrame, image, start_ms) -> DataFrame:
         """Envelopes of all versions, a tombstone per delete, and unreadable lines."""
         parts = []

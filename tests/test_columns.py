@@ -105,8 +105,7 @@ def test_geodesic(spark):
     points = spark.createDataFrame(
         [(0.0, 0.0, 0.0, 1.0), (0.0, 0.0, 1.0, 0.0), (44.5, 0.0, 45.5, 0.0), (10.0, 10.0, 10.0, 10.0),
          (10.0, 10.0, None, 1.0)], "a double, b double, c double, d double")
-    c = F.col
-    got = [r["km"] for r in with_geodesic(points, (c("a"), c("b")), (c("c"), c("d")), "km").collect()]
+    got = [r["km"] for r in with_geodesic(points, ("a", "b"), ("c", "d"), "km").collect()]
     assert got[:4] == pytest.approx([111.319491, 110.574389, 111.131778, 0.0], abs=1e-5) and got[4] is None
 
 
