@@ -90,6 +90,17 @@ def score_batches(
     })
 
 
+def token_records(scored: DataFrame, operation: str = "search") -> DataFrame:
+    """Token record of each answered batch; the time of the record names its session."""
+    now = F.current_timestamp()
+    return scored.filter(F.col("writer").isNotNull()).select(
+        F.date_format(now, "yyyyMMdd_HHmmss").alias("session_id"),
+        F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.lit(operation).alias("operation"), F.lit(0).cast("long").alias("query_tokens"),
+        "context_tokens", "llm_tokens",
+    )
+
+
 def parse_answers(df: DataFrame, answer: str = "answer") -> tuple[DataFrame, DataFrame]:
     """Comments as ``id, comment``, and the rows whose answer cannot be read."""
     # A list of one keeps the parsed answer from being computed again in filters.

@@ -140,8 +140,8 @@ def apply_changes(target: DataFrame, actions: DataFrame, key: str = "id") -> Dat
 
     Untouched rows pass an anti join with the touched keys: when the actions
     are small it is a broadcast and the target is not shuffled at all. Write
-    the result to a new folder, never over the one ``target`` is read from.
-    Should one key have several actions, the greatest fingerprint wins.
+    the result to a new folder, never over the one ``target`` is read from, and
+    give ``actions`` as a written table, as they are read twice. Should one key have several actions, the greatest fingerprint wins.
     """
     todo = pending(actions)
     last = Window.partitionBy(key).orderBy(

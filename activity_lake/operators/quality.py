@@ -8,6 +8,7 @@ no more than any other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -258,18 +259,32 @@ def quarantine(df: DataFrame, suite: list[Rule]) -> DataFrame:
     return violations(df, suite).filter(~F.col("position").isin(list(kept)) if kept else F.lit(True))
 
 
-def publish(df: DataFrame, suite: list[Rule], path: str) -> tuple[str, DataFrame]:
+def publish(
+    df: DataFrame,
+    suite: list[Rule],
+    path: str,
+    reveal: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[str, DataFrame]:
     """Write, audit, publish.
 
     The staged copy feeds report and result alike. Nothing is written to
-    ``path`` when the suite fails. Returns the status and the report.
+    ``path`` when the suite fails. ``reveal`` makes encrypted columns readable
+    for the audit alone; stage and result keep them as given. Returns the
+    status and the report.
     """
-    staged = write_stage(df, name="audit")
+    written = write_stage(df, name="audit")
+    staged = reveal(written) if reveal else written
     suite = [r.settled(staged) if isinstance(r, ByValue) else r for r in suite]
     report = write_stage(run_suite(staged, suite), name="report")
     status = status_of(report)
     if status != FAILED:
-        clean(staged, suite, status).write.mode("overwrite").parquet(path)
+        if reveal:
+            # Carry the stored columns along and publish those.
+            staged = reveal(written.withColumn("_stored", F.struct(*df.columns)))
+            valid = clean(staged, suite, status).select("_stored.*")
+        else:
+            valid = clean(staged, suite, status)
+        valid.write.mode("overwrite").parquet(path)
     return status, report
 
 

@@ -132,9 +132,14 @@ def normalize_sport(df: DataFrame, sports: DataFrame, col: str = "sport_type", o
 # --- order, limits, batches ------------------------------------------------
 
 
-def sort_by_indicator(df: DataFrame) -> DataFrame:
+def sort_by_indicator(df: DataFrame, then: tuple[str, ...] = ("id", "fingerprint")) -> DataFrame:
+    """Left-only rows, then right-only ones, then both.
+
+    The indicator has three values only; the further columns let the sort use
+    more than three tasks.
+    """
     place = F.array_position(F.array(*[F.lit(v) for v in INDICATOR_ORDER]), F.col("_merge"))
-    return df.orderBy(place)
+    return df.orderBy(place, *then)
 
 
 def head(df: DataFrame, key: str, n: int) -> DataFrame:

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from activity_lake import schemas
-from activity_lake.functions.privacy import decrypt, encrypt_new
+from activity_lake.functions.privacy import decrypt, encrypt, encrypt_new
 from activity_lake.operators.comments import (
-    build_prompts, comment_context, default_comments, parse_answers, score_batches,
+    build_prompts, comment_context, default_comments, parse_answers, score_batches, token_records,
 )
 from activity_lake.operators.diff import (
     apply_changes, diff_gate, diff_labels, diff_summary, fingerprint, snapshot_diff,
@@ -18,7 +18,7 @@ from activity_lake.operators.quality import FAILED, publish
 from activity_lake.operators.shaping import attach_comments, conform
 from activity_lake.plans.suites import activity_suite
 from activity_lake.session import new_path
-from activity_lake.sources.tables import write_stage
+from activity_lake.sources.tables import append_token_records, write_stage
 
 
 def comment_actions(
@@ -27,13 +27,21 @@ def comment_actions(
     key: str,
     writers: dict[str, Callable[[str], str]] | None = None,
     pause: float = 0.0,
+    token_path: str | None = None,
 ) -> DataFrame:
-    """Write comments for the new images and encrypt them."""
+    """Write comments for the new images and encrypt them.
+
+    Answers are staged encrypted and without their prompts, since both name
+    people. ``token_path`` gets a token record per answered batch.
+    """
     plain = decrypt(employees.select("id", "first_name", "last_name"), ["first_name", "last_name"], key)
     context = comment_context(actions, plain)
     if writers:
-        answers = write_stage(score_batches(build_prompts(context), writers, pause), name="answers")
-        comments, _ = parse_answers(answers)
+        scored = score_batches(build_prompts(context), writers, pause).drop("prompt")
+        answers = write_stage(encrypt(scored, ["answer"], key), name="answers")
+        if token_path:
+            append_token_records(token_records(answers), token_path)
+        comments, _ = parse_answers(decrypt(answers, ["answer"], key))
     else:
         comments = default_comments(context)
     return encrypt_new(attach_comments(actions, comments), "comment", key)
@@ -46,6 +54,7 @@ def ingest_activities(
     key: str,
     target: str,
     writers: dict[str, Callable[[str], str]] | None = None,
+    token_path: str | None = None,
 ) -> dict[str, str]:
     """Audit, compare, comment and write the new version to ``target``.
 
@@ -65,6 +74,7 @@ def ingest_activities(
     gate = diff_gate(diff_summary(actions, incoming)).first()
     statuses = {"validate": status, "scan": gate["status"], "continue": gate["continue"]}
     if gate["continue"] == "YES":
-        commented = write_stage(comment_actions(actions, employees, key, writers), name="commented")
+        commented = comment_actions(actions, employees, key, writers, token_path=token_path)
+        commented = write_stage(commented, name="commented")
         apply_changes(stored, commented).write.mode("overwrite").parquet(target)
     return statuses

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from activity_lake.functions.business import margin_kms, with_distance
 from activity_lake.functions.dates import full_years
-from activity_lake.functions.privacy import drop_pii, encrypt
+from activity_lake.functions.privacy import decrypt, drop_pii, encrypt
 from activity_lake.operators.quality import (
     FAILED, WARNING, publish, reconcile, status_of,
 )
@@ -49,11 +49,13 @@ def ingest_hr(
 ) -> dict[str, str]:
     """Transform, audit, merge, reconcile and append; returns the step statuses.
 
-    Nothing is appended once a step has failed. Names are encrypted on load.
+    Nothing is appended once a step has failed. Names are encrypted before
+    anything is written, the address never is written.
     """
-    spark = raw.sparkSession
+    spark, names = raw.sparkSession, ["last_name", "first_name"]
     hr_path, sport_path = new_path(spark, "hr"), new_path(spark, "sport")
-    hr_status, _ = publish(transform_hr(raw, geo, company, as_of, policy), hr_suite(), hr_path)
+    sealed = encrypt(transform_hr(raw, geo, company, as_of, policy), names, key)
+    hr_status, _ = publish(sealed, hr_suite(), hr_path, reveal=lambda df: decrypt(df, names, key))
     sport_status, _ = publish(sport, sport_suite(sports), sport_path)
     statuses = {"hr": hr_status, "sport": sport_status}
     if FAILED in statuses.values():
@@ -63,8 +65,7 @@ def ingest_hr(
     statuses["merge"] = status_of(reconcile(hr, declared, merged))
     if statuses["merge"] != FAILED:
         kms = {c: F.col(c).cast("decimal(10,1)") for c in ("distance_kms", "margin_kms")}
-        loaded = encrypt(merged.withColumns(kms), ["last_name", "first_name"], key)
-        table_append(loaded.select(*EMPLOYEE_COLUMNS), target)
+        table_append(merged.withColumns(kms).select(*EMPLOYEE_COLUMNS), target)
     return statuses
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -46,9 +47,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="activity_lake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="activity_lake-")
 
 
 def new_path(spark: SparkSession, name: str) -> str:

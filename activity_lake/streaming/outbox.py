@@ -14,6 +14,8 @@ from activity_lake.streaming.gold import foreach_batch
 
 # Notification targets.
 SLACK, LOG, NONE = "SLACK", "LOG", "NONE"
+# Fixed value: heading of a logged alert, between the status and the status again.
+ALERT_HEADING = " **ALERT MESSAGE : Abnormal termination of flow : "
 
 
 def clean_comments(df: DataFrame, key: str) -> DataFrame:
@@ -53,9 +55,14 @@ def route(outbox: DataFrame) -> DataFrame:
 
 
 def alert_messages(alerts: DataFrame, test: bool = True) -> DataFrame:
-    """Alert texts; a test goes to the log, otherwise markup is removed and it is sent."""
-    text = F.concat_ws(" ", F.col("status"), F.col("message"))
-    return alerts.withColumns({
-        "route": F.lit("log" if test else "send"),
-        "text": text if test else clean_markup(text),
-    })
+    """Alerts with a route and a text.
+
+    A test is logged under a heading; otherwise the message itself is sent,
+    without markup.
+    """
+    if test:
+        heading = F.concat(F.col("status"), F.lit(ALERT_HEADING), F.col("status"), F.lit("**"))
+        text = F.concat_ws("\n&nbsp;\n", heading, "message")
+    else:
+        text = clean_markup("message")
+    return alerts.withColumns({"route": F.lit("log" if test else "send"), "text": text})

@@ -85,7 +85,8 @@ def _(v: Views):
     return current_state(v.spark, path, row)
 
 
-@check("alert_filter", """select run, status, 'log' as route, status || ' run ' || run as text from (
+@check("alert_filter", """select run, status, 'log' as route, status || ' **ALERT MESSAGE : Abnormal termination of flow : ' || status
+  || '**' || chr(10) || '&nbsp;' || chr(10) || 'run ' || run as text from (
   select run, case when bool_or(status = 'FAILED') then 'FAILED' when bool_or(status = 'WARNING') then 'WARNING'
   else 'SUCCESS' end as status from run_steps group by run) where status <> 'SUCCESS'""")
 def _(v: Views):

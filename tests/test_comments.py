@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from activity_lake.operators.comments import (
-    INSTRUCTIONS, build_prompts, comment_context, default_comments, parse_answers, score_batches,
+    INSTRUCTIONS, build_prompts, comment_context, default_comments, parse_answers, score_batches, token_records,
 )
 from activity_lake.operators.places import flatten_places
 from activity_lake.operators.reporting import token_report
@@ -65,6 +65,7 @@ def test_a_failing_writer_does_not_fail_the_job(spark):
 
     scored = score_batches(prompts, {"picky": picky, "spare": spare})
     assert rows(scored.groupBy("writer").count()) == [("picky", 2), ("spare", 1)]
+    assert token_records(scored).filter("context_tokens > 0 and operation = 'search'").count() == 3
     assert parse_answers(scored)[1].count() == 1
 
 

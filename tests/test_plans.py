@@ -1,12 +1,14 @@
 """Whole ingestion jobs."""
 
 import datetime as dt
+import glob
 
 from activity_lake import schemas
 from activity_lake.functions.privacy import decrypt, decrypted
 from activity_lake.operators.diff import fingerprint
 from activity_lake.plans.activities import ingest_activities
 from activity_lake.plans.hr import EMPLOYEE_COLUMNS, ingest_hr, overall, transform_hr
+from activity_lake.sources.tables import token_log
 from tests.helpers import rows
 
 KEY = "0123456789abcdef"
@@ -54,6 +56,18 @@ def test_ingest_hr(spark, tmp_path):
     assert loaded.filter("first_name = 'Ana'").count() == 0
 
 
+def test_nothing_written_names_people(spark, tmp_path, monkeypatch):
+    shared = str(tmp_path / "shared")
+    monkeypatch.setattr("activity_lake.session.shared_dir", lambda _: shared)
+    sport = spark.createDataFrame([("1", "run")], schemas.SPORT_SHEET)
+    ingest(spark, hr_sheet(spark, "1"), sport, str(tmp_path / "employees"))
+    stages = glob.glob(f"{shared}/activity_lake/*")
+    assert stages
+    for stage in stages:
+        for row in spark.read.parquet(stage).collect():
+            assert "Blanc" not in str(row) and "home" not in str(row), stage
+
+
 def test_failed_hr_is_not_loaded(spark, tmp_path):
     target = tmp_path / "employees"
     sport = spark.createDataFrame([("1", "run")], schemas.SPORT_SHEET)
@@ -117,5 +131,7 @@ def test_writers_are_used(spark, tmp_path):
         row = json.loads(re.search(r"\[\{.*", prompt, re.S).group(0).split("Activities:\n")[-1])[0]
         return json.dumps({"results": [{"id": row["id"], "comment": row["name"] + " " + row["performance"]}]})
 
-    commented = comment_actions(actions, people, KEY, {"w": writer})
+    tokens = str(tmp_path / "tokens")
+    commented = comment_actions(actions, people, KEY, {"w": writer}, token_path=tokens)
+    assert token_log(spark, tokens).filter("total_tokens = context_tokens + llm_tokens").count() == 1
     assert commented.select(decrypted("comment", KEY)).first()[0] == "Ana B. 0.0 km en 1 min"
