@@ -24,27 +24,27 @@ def fingerprint(df: DataFrame, cols: list[str] | None = None, algorithm: str = "
     return df.withColumn("fingerprint", value)
 
 
-def _both_sides(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """Rows of both snapshots in the stored columns, with the side as ``_merge``."""
-    blank = [c for c in stored.columns if c not in incoming.columns]
-    left = incoming.withColumns({c: F.lit(None).cast(stored.schema[c].dataType) for c in blank})
-    left = left.select(*stored.columns).withColumn("_merge", F.lit("left_only"))
-    right = stored.withColumn("_merge", F.lit("right_only"))
-    return left.unionByName(right).filter(F.col(key).isNotNull())
-
-
 def diff_labels(
-    incoming: DataFrame, stored: DataFrame, key: str = "id", mark: str = "fingerprint"
+    incoming: DataFrame,
+    stored: DataFrame,
+    key: str = "id",
+    mark: str = "fingerprint",
+    unique: bool = False,
 ) -> DataFrame:
     """Key, fingerprint, ``_merge`` and ``status`` of each differing image.
 
-    Only keys and fingerprints are read and shuffled, as one aggregate over
-    both sides that combines per task, so repeated keys never pile up.
+    Only keys and fingerprints are read and shuffled. ``unique`` states that
+    no key repeats on either side, as after the uniqueness rule; one join on
+    the key then does. Otherwise images are counted in an aggregate over both
+    sides, which combines per task, so that repeated keys never pile up.
     """
-    both = _both_sides(incoming.select(key, mark), stored.select(key, mark), key)
-    on_left = (F.col("_merge") == "left_only").cast("long")
+    left = incoming.select(key, mark).filter(F.col(key).isNotNull())
+    right = stored.select(key, mark).filter(F.col(key).isNotNull())
+    if unique:
+        return _unique_labels(left, right, key, mark)
+    both = left.withColumn("_in", F.lit(1)).unionByName(right.withColumn("_in", F.lit(0)))
     images = both.groupBy(key, mark).agg(
-        F.sum(on_left).alias("_left"), F.sum(1 - on_left).alias("_right"))
+        F.sum("_in").alias("_left"), F.sum(1 - F.col("_in")).alias("_right"))
     changed = images.filter("_left = 0 or _right = 0").select(
         key, mark, (F.col("_left") + F.col("_right")).alias("_copies"),
         F.when(F.col("_left") > 0, "left_only").otherwise("right_only").alias("_merge"),
@@ -57,6 +57,22 @@ def diff_labels(
     return changed.join(per_key, key).select(key, mark, "_merge", status.alias("status"))
 
 
+def _unique_labels(left: DataFrame, right: DataFrame, key: str, mark: str) -> DataFrame:
+    # A struct tells a missing side from a null mark.
+    new, old = F.col("_new"), F.col("_old")
+    both = left.select(key, F.struct(mark).alias("_new")).join(
+        right.select(key, F.struct(mark).alias("_old")), key, "full_outer")
+    changed = both.filter(~new.eqNullSafe(old))
+    status = F.when(old.isNull(), "new").when(new.isNull(), "deleted").otherwise("modified")
+
+    def image(side: Column, name: str) -> Column:
+        return F.when(side.isNotNull(), F.struct(side[mark].alias(mark), F.lit(name).alias("_merge")))
+
+    images = F.array_compact(F.array(image(new, "left_only"), image(old, "right_only")))
+    return changed.select(key, status.alias("status"), F.explode(images).alias("_image")).select(
+        key, f"_image.{mark}", "_image._merge", "status")
+
+
 def snapshot_diff(
     incoming: DataFrame,
     stored: DataFrame,
@@ -77,14 +93,16 @@ def snapshot_diff(
     """
     if labels is None:
         labels = diff_labels(incoming, stored, key, mark)
-    wanted = labels.select(
-        F.col(key).alias("_key"), F.col(mark).alias("_mark"), F.col("_merge").alias("_side"), "status")
-    same_image = (
-        (F.col(key) == F.col("_key")) & F.col(mark).eqNullSafe(F.col("_mark"))
-        & (F.col("_merge") == F.col("_side"))
-    )
-    found = _both_sides(incoming, stored, key).join(wanted, same_image)
-    return found.select(*stored.columns, "_merge", "status")
+
+    def images(rows: DataFrame, side: str) -> DataFrame:
+        wanted = labels.filter(F.col("_merge") == side).select(
+            F.col(key).alias("_key"), F.col(mark).alias("_mark"), "_merge", "status")
+        same = (F.col(key) == F.col("_key")) & F.col(mark).eqNullSafe(F.col("_mark"))
+        return rows.join(wanted, same).select(*stored.columns, "_merge", "status")
+
+    blank = [c for c in stored.columns if c not in incoming.columns]
+    filled = incoming.withColumns({c: F.lit(None).cast(stored.schema[c].dataType) for c in blank})
+    return images(filled, "left_only").unionByName(images(stored, "right_only"))
 
 
 def mark_duplicates(df: DataFrame, key: str = "id", out: str = "duplicated") -> DataFrame:

@@ -69,7 +69,8 @@ def ingest_activities(
         return {"validate": status, "continue": "NO"}
     incoming = write_stage(fingerprint(spark.read.parquet(valid_path)), name="fingerprinted")
     stored = stored.select(*schemas.STORED_COLUMNS)
-    labels = write_stage(diff_labels(incoming, stored), name="labels")
+    # The suite has just checked the incoming ids; stored ones are keys.
+    labels = write_stage(diff_labels(incoming, stored, unique=True), name="labels")
     actions = write_stage(snapshot_diff(incoming, stored, labels=labels), name="actions")
     gate = diff_gate(diff_summary(actions, incoming)).first()
     statuses = {"validate": status, "scan": gate["status"], "continue": gate["continue"]}

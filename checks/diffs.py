@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from activity_lake.functions.dates import epoch_micros
 from activity_lake.operators.cdc import latest_state, latest_state_with_deletes
 from activity_lake.operators.diff import (
-    apply_changes, change_counts, diff_gate, diff_summary, fingerprint, mark_duplicates,
+    apply_changes, change_counts, diff_gate, diff_labels, diff_summary, fingerprint, mark_duplicates,
 )
 from checks.joins import DIFF
 from checks.registry import check
@@ -35,6 +35,11 @@ def _(v: Views):
     return _flat(v.diff)
 
 
+@check("snapshot_labels", f"with {DIFF} select id, fingerprint, _merge, status from diff")
+def _(v: Views):
+    return diff_labels(v.incoming, v.stored)
+
+
 @check("diff_duplicate_mark", """select l_orderkey, l_linenumber, l_partkey,
   count(*) over (partition by l_orderkey, l_linenumber) > 1 as duplicated from lineitem""")
 def _(v: Views):

@@ -150,7 +150,7 @@ class Views:
     @cached_property
     def labels(self) -> DataFrame:
         """Labels of the differing images, as a written table."""
-        return write_stage(diff_labels(self.incoming, self.stored), name="labels")
+        return write_stage(diff_labels(self.incoming, self.stored, unique=True), name="labels")
 
     @cached_property
     def diff(self) -> DataFrame:

@@ -38,8 +38,9 @@ def test_golden_case(spark):
 
 def test_written_labels_give_the_same_diff(spark):
     left, right = golden(spark)
-    labels = write_stage(diff_labels(left, right))
-    assert rows(snapshot_diff(left, right, labels=labels)) == rows(snapshot_diff(left, right))
+    for unique in (False, True):
+        labels = write_stage(diff_labels(left, right, unique=unique))
+        assert rows(snapshot_diff(left, right, labels=labels)) == rows(snapshot_diff(left, right))
 
 
 def test_merge_indicator(spark):
@@ -81,6 +82,8 @@ def test_applying_the_diff_gives_the_incoming_snapshot(spark, new, old):
     result = write_stage(apply_changes(right, snapshot_diff(left, right)))
     assert rows(result, "id", "v") == sorted(new.items(), key=repr)
     assert snapshot_diff(left, result).isEmpty()
+    cols = ("id", "fingerprint", "_merge", "status")
+    assert rows(diff_labels(left, right), *cols) == rows(diff_labels(left, right, unique=True), *cols)
 
 
 def test_mark_duplicates_keeps_all_rows(spark):

@@ -73,7 +73,7 @@ def test_small_difference_does_not_shuffle_the_snapshots(spark, hot):
     unique = hot.filter("id not in ('hot', 'copy')").drop("ts_ms")
     stored = write_stage(unique.withColumn("comment", F.lit("c")).select("id", "v", "comment", "fingerprint"))
     incoming = write_stage(unique.filter("v > 100"))
-    labels = write_stage(diff_labels(incoming, stored))
+    labels = write_stage(diff_labels(incoming, stored, unique=True))
     diff = snapshot_diff(incoming, stored, labels=labels)
     assert exchanges(diff) == 0 and "BroadcastHashJoin" in plan(diff)
     actions = write_stage(diff)
