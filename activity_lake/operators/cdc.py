@@ -57,9 +57,11 @@ def latest_state(log: DataFrame, key: str = "id", order: tuple[str, ...] = ("ts_
 
     Filtering the row number to 1 lets Spark keep only the best row of each
     key per task before the shuffle, so a key with very many events does not
-    gather in one task. ``order`` should break ties.
+    gather in one task. Ties in ``order`` fall to a hash of the row, so that a
+    recomputed task chooses the same one.
     """
-    last_first = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    last_first = Window.partitionBy(key).orderBy(
+        *[F.col(c).desc_nulls_last() for c in order], F.xxhash64(*log.columns))
     return log.withColumn("_n", F.row_number().over(last_first)).filter("_n = 1").drop("_n")
 
 

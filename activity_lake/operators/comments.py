@@ -55,10 +55,15 @@ def build_prompts(df: DataFrame, cols: list[str] | None = None, size: int = BATC
 
 
 def score_batches(
-    prompts: DataFrame, writers: dict[str, Callable[[str], str]], pause: float = 0.0
+    prompts: DataFrame,
+    writers: dict[str, Callable[[str], str]],
+    pause: float = 0.0,
+    parallel: int | None = None,
 ) -> DataFrame:
     """Answer each prompt with the first writer that does not fail.
 
+    A task calls its writers one prompt at a time; ``parallel`` spreads the
+    prompts over that many tasks, which their small size alone would not do.
     A failing batch gets a null answer and its errors; the job goes on. Write
     the result as a stage before using it, so that a lost executor does not
     repeat calls already paid for.
@@ -83,6 +88,8 @@ def score_batches(
                     time.sleep(pause)
             yield frame.assign(answer=answers, writer=used, error=errors)
 
+    if parallel:
+        prompts = prompts.repartition(parallel, "batch")
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema)
     scored = prompts.mapInPandas(answer_all, f"{names}, answer string, writer string, error string")
     return scored.withColumns({

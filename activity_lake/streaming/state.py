@@ -7,6 +7,7 @@ event of each key; compacting bounds what they have to read.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,13 +42,13 @@ def _event_schema(row: T.StructType) -> T.StructType:
 
 def _compacted_to(spark: SparkSession, path: str) -> int:
     """Last batch in the current snapshot, -1 without one."""
-    pointer = spark.read.schema("upto long").option("ignoreMissingFiles", True)
     try:
-        return pointer.json(f"{path}/pointer").agg(F.max("upto").alias("m")).first()["m"]
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
+        pointer = spark.read.schema("upto long").json(f"{path}/pointer")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return -1
         raise
+    return pointer.agg(F.max("upto").alias("m")).first()["m"]
 
 
 def _last_events(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:

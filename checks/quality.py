@@ -17,36 +17,36 @@ from checks.views import Views
 
 # position, text, severity, drops rows, reference, column, condition that breaks the rule
 HR_RULES = [
-    (1, "No missing ids", "WARNING", True, "last_name", "id", "id is null"),
-    (2, "No duplicated ids", "FAILED", False, "last_name", "id",
+    (1, "id is given", "WARNING", True, "last_name", "id", "id is null"),
+    (2, "id is unique", "FAILED", False, "last_name", "id",
      "id in (select id from t group by id having count(*) > 1)"),
-    (3, "No missing first names", "WARNING", False, "id", "first_name", "first_name is null"),
-    (4, "No missing last names", "FAILED", False, "id", "last_name", "last_name is null"),
-    (5, "Transport mode is known", "FAILED", False, "id", "transport_mode", "transport_mode = 'Inconnu'"),
-    (6, "No missing distances", "WARNING", True, "id", "distance_kms", "distance_kms is null"),
-    (7, "Contract type is known", "WARNING", False, "id", "employement_contract",
+    (3, "first name is given", "WARNING", False, "id", "first_name", "first_name is null"),
+    (4, "last name is given", "FAILED", False, "id", "last_name", "last_name is null"),
+    (5, "transport mode is known", "FAILED", False, "id", "transport_mode", "transport_mode = 'Inconnu'"),
+    (6, "distance is given", "WARNING", True, "id", "distance_kms", "distance_kms is null"),
+    (7, "contract type is known", "WARNING", False, "id", "employement_contract",
      "employement_contract not in ('CDI', 'CDD')"),
-    (8, "Distance fits the transport mode", "WARNING", True, "id", "margin_kms", "margin_kms < 0"),
-    (9, "Age between 16 and 80", "WARNING", False, "id", "age", "age not between 16 and 80"),
-    (10, "Seniority between 0 and 7", "WARNING", False, "id", "seniority_years", "seniority_years not between 0 and 7"),
-    (11, "Salary between 15000 and 150000", "WARNING", True, "id", "salary", "salary not between 15000 and 150000"),
+    (8, "distance fits the transport mode", "WARNING", True, "id", "margin_kms", "margin_kms < 0"),
+    (9, "age is 16 to 80", "WARNING", False, "id", "age", "age not between 16 and 80"),
+    (10, "seniority is 0 to 7", "WARNING", False, "id", "seniority_years", "seniority_years not between 0 and 7"),
+    (11, "salary is 15000 to 150000", "WARNING", True, "id", "salary", "salary not between 15000 and 150000"),
 ]
 SPORT_RULES = [
-    (1, "No missing ids", "WARNING", True, "id", "id", "id is null"),
-    (2, "No duplicated ids", "FAILED", False, "id", "id",
+    (1, "id is given", "WARNING", True, "id", "id", "id is null"),
+    (2, "id is unique", "FAILED", False, "id", "id",
      "id in (select id from t group by id having count(*) > 1)"),
-    (3, "Sport is an official one", "WARNING", False, "id", "sport_type",
+    (3, "sport is an official one", "WARNING", False, "id", "sport_type",
      "sport_type not in (select sport from sports where strava_list = 1)"),
 ]
 ACTIVITY_RULES = [
-    (1, "No missing ids", "WARNING", True, "id", "id", "id is null"),
-    (2, "No duplicated ids", "FAILED", False, "id", "id",
+    (1, "id is given", "WARNING", True, "id", "id", "id is null"),
+    (2, "id is unique", "FAILED", False, "id", "id",
      "id in (select id from t group by id having count(*) > 1)"),
-    (3, "Employee exists", "WARNING", True, "id", "employee_id",
+    (3, "employee exists", "WARNING", True, "id", "employee_id",
      "employee_id not in (select id from known_employees)"),
-    (4, "No missing sport", "WARNING", True, "id", "sport", "sport is null"),
-    (5, "No missing duration", "WARNING", True, "id", "duration_sec", "duration_sec is null"),
-    (6, "No missing begin date", "WARNING", True, "id", "begin_date", "begin_date is null"),
+    (4, "sport is given", "WARNING", True, "id", "sport", "sport is null"),
+    (5, "duration is given", "WARNING", True, "id", "duration_sec", "duration_sec is null"),
+    (6, "begin date is given", "WARNING", True, "id", "begin_date", "begin_date is null"),
 ]
 
 

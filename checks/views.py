@@ -34,32 +34,38 @@ MODE = """case when c_custkey % 97 = 0 then 'Inconnu'
   else 'Vélo/Trottinette/Autres' end"""
 FAVOURITE = """case when c_custkey % 5 = 0 then null
   when c_nationkey % 2 = 0 then 'click' else 'purchase' end"""
-PERSON = f"""cast(c_custkey as string) as id, c_name as last_name,
-  concat('F', cast(c_nationkey as string)) as first_name, c_mktsegment as business_unit,
-  cast(10000 + c_acctbal * 12 as decimal(10,2)) as salary, {CONTRACT} as employement_contract,
-  cast(c_custkey % 40 as int) as vacation_days,
-  concat(cast(c_custkey as string), ' rue de ', c_mktsegment) as address, {MODE} as transport_mode,
-  cast(round((c_custkey * 7 % 300) / 10.0, 1) as decimal(10,1)) as distance_kms,
-  {FAVOURITE} as sport_type, c_custkey as n"""
-DIRTY = """case when n % 211 = 0 then null else id end as id, last_name,
-  case when n % 149 = 0 then null else first_name end as first_name, business_unit, salary,
-  employement_contract, vacation_days, transport_mode,
-  case when n % 173 = 0 then null else distance_kms end as distance_kms,
-  case when n % 173 = 0 then null else margin_kms end as margin_kms, age, seniority_years, sport_type, n"""
-MOVE = """concat('A', cast(event_id as string)) as id, cast(user_id as string) as employee_id,
-  event_type as sport, case when event_id % 3 = 0 then '' else props end as situation,
-  case when event_type = 'view' then null else cast(floor({v} * 100) as int) end as distance_meters,
-  60 + cast(floor({v} * 60) as int) as duration_sec, event_id as n"""
-DIRTY_MOVE = """case when n % 307 = 0 then null when n % 101 = 0 then 'A1' else id end as id,
-  case when n % 89 = 0 then null else employee_id end as employee_id,
-  case when n % 71 = 0 then null else sport end as sport, situation, distance_meters,
-  case when n % 53 = 0 then null else begin_date end as begin_date,
-  case when n % 67 = 0 then null else duration_sec end as duration_sec, n"""
-SPORT = """p_partkey as position, concat(replace(p_name, 'e', 'é'), '-', cast(p_partkey as string)) as sport,
-  case when p_partkey % 3 = 0 then null else concat(' alt ', cast(p_partkey as string), ', ',
-    lower(p_type), ' ', cast(p_partkey % 100 as string), ' ,Alt/', cast(p_partkey as string)) end as alias,
-  concat(p_name, ' at {{loc}}|', p_brand, ' by {{loc}}') as templates,
-  case when p_size % 4 = 0 then 0 else 1 end as strava_list""".replace("{{", "{").replace("}}", "}")
+PERSON = [
+    "cast(c_custkey as string) as id", "c_name as last_name",
+    "concat('F', cast(c_nationkey as string)) as first_name", "c_mktsegment as business_unit",
+    "cast(10000 + c_acctbal * 12 as decimal(10,2)) as salary", f"{CONTRACT} as employement_contract",
+    "cast(c_custkey % 40 as int) as vacation_days",
+    "concat(cast(c_custkey as string), ' rue de ', c_mktsegment) as address", f"{MODE} as transport_mode",
+    "cast(round((c_custkey * 7 % 300) / 10.0, 1) as decimal(10,1)) as distance_kms",
+    f"{FAVOURITE} as sport_type", "c_custkey as n",
+]
+DIRTY = [
+    "case when n % 211 = 0 then null else id end as id", "last_name",
+    "case when n % 149 = 0 then null else first_name end as first_name", "business_unit", "salary",
+    "employement_contract", "vacation_days", "transport_mode",
+    "case when n % 173 = 0 then null else distance_kms end as distance_kms",
+    "case when n % 173 = 0 then null else margin_kms end as margin_kms",
+    "age", "seniority_years", "sport_type", "n",
+]
+DIRTY_MOVE = [
+    "case when n % 307 = 0 then null when n % 101 = 0 then 'A1' else id end as id",
+    "case when n % 89 = 0 then null else employee_id end as employee_id",
+    "case when n % 71 = 0 then null else sport end as sport", "situation", "distance_meters",
+    "case when n % 53 = 0 then null else begin_date end as begin_date",
+    "case when n % 67 = 0 then null else duration_sec end as duration_sec", "n",
+]
+SPORT = [
+    "p_partkey as position",
+    "concat(replace(p_name, 'e', 'é'), '-', cast(p_partkey as string)) as sport",
+    """case when p_partkey % 3 = 0 then null else concat(' alt ', cast(p_partkey as string), ', ',
+      lower(p_type), ' ', cast(p_partkey % 100 as string), ' ,Alt/', cast(p_partkey as string)) end as alias""",
+    "concat(p_name, ' at {loc}|', p_brand, ' by {loc}') as templates",
+    "case when p_size % 4 = 0 then 0 else 1 end as strava_list",
+]
 RAW_SPORT = [
     "upper(sport)", "concat(' alt ', cast(position as string))",
     "concat('Alt/', cast(position as string))", "concat('unknown ', cast(position as string))",
@@ -73,6 +79,20 @@ VERSIONS = [
 ]
 
 
+def moves(value: str = "value") -> list[str]:
+    """An event as an activity; distance and duration follow from its value."""
+    return [
+        "concat('A', cast(event_id as string)) as id", "cast(user_id as string) as employee_id",
+        "event_type as sport", "case when event_id % 3 = 0 then '' else props end as situation",
+        f"case when event_type = 'view' then null else cast(floor({value} * 100) as int) end as distance_meters",
+        f"60 + cast(floor({value} * 60) as int) as duration_sec", "event_id as n",
+    ]
+
+
+# Some stored activities differ from the incoming ones in their value.
+OLDER = "(case when event_id % 7 = 0 then value + 1 else value end)"
+
+
 class Views:
     """The adapter views over one data folder."""
 
@@ -89,7 +109,7 @@ class Views:
             return f"case when c_custkey % {bad} = 0 then 'unknown' else {date} end"
 
         return self.table("customer").selectExpr(
-            *_split(PERSON), f"{day('1945-01-01', 37, 24000, 83)} as birthday",
+            *PERSON, f"{day('1945-01-01', 37, 24000, 83)} as birthday",
             f"{day('2015-01-01', 13, 4500, 79)} as entry_date")
 
     @cached_property
@@ -102,7 +122,7 @@ class Views:
 
     @cached_property
     def hr_dirty_once(self) -> DataFrame:
-        return self.hr.selectExpr(*_split(DIRTY))
+        return self.hr.selectExpr(*DIRTY)
 
     @cached_property
     def hr_dirty(self) -> DataFrame:
@@ -126,7 +146,7 @@ class Views:
 
     def _moves(self, value: str = "value") -> DataFrame:
         return self.table("events").selectExpr(
-            *_split(MOVE.format(v=value)),
+            *moves(value),
             "cast(ts as timestamp_ntz) + make_ym_interval(0, cast(event_id % 24 as int)) as begin_date")
 
     @cached_property
@@ -135,7 +155,7 @@ class Views:
 
     @cached_property
     def activities_dirty(self) -> DataFrame:
-        return self.activities.selectExpr(*_split(DIRTY_MOVE))
+        return self.activities.selectExpr(*DIRTY_MOVE)
 
     @cached_property
     def incoming(self) -> DataFrame:
@@ -143,7 +163,7 @@ class Views:
 
     @cached_property
     def stored(self) -> DataFrame:
-        older = self._moves("(case when event_id % 7 = 0 then value + 1 else value end)")
+        older = self._moves(OLDER)
         older = older.filter("n % 10 <> 3").withColumn("comment", F.expr("concat('c', id)")).drop("n")
         return fingerprint(older).select(*schemas.STORED_COLUMNS)
 
@@ -217,7 +237,7 @@ class Views:
 
     @cached_property
     def sports(self) -> DataFrame:
-        return self.table("part").selectExpr(*_split(SPORT))
+        return self.table("part").selectExpr(*SPORT)
 
     @cached_property
     def raw_sports(self) -> DataFrame:
@@ -279,19 +299,6 @@ class Views:
             F.col("user_id").alias("run"), F.col("event_type").alias("step"), "ts", status.alias("status"))
 
 
-def _split(columns: str) -> list[str]:
-    """The top-level columns of a select list."""
-    out, depth, quoted, start = [], 0, False, 0
-    for i, ch in enumerate(columns):
-        quoted ^= ch == "'"
-        if not quoted:
-            depth += (ch in "([") - (ch in ")]")
-            if ch == "," and depth == 0:
-                out.append(columns[start:i].strip())
-                start = i + 1
-    return out + [columns[start:].strip()]
-
-
 # --- the same views as SQL ---------------------------------------------------
 
 
@@ -334,22 +341,21 @@ _SHIFT = "ts + to_months(cast(event_id % 24 as int)) as begin_date"
 _IMAGE = "id, employee_id, sport, begin_date, distance_meters, situation"
 
 SQL = {
-    "employees": f"""select {PERSON},
+    "employees": f"""select {', '.join(PERSON)},
       {_DAY.format(start='1945-01-01', step=37, span=24000, bad=83)} as birthday,
       {_DAY.format(start='2015-01-01', step=13, span=4500, bad=79)} as entry_date from customer""",
     "hr": f"""select *, {limit_of('transport_mode')} - distance_kms as margin_kms,
       {years('birthday')} as age, {years('entry_date')} as seniority_years from employees""",
-    "hr_dirty_once": f"select {DIRTY} from hr",
+    "hr_dirty_once": f"select {', '.join(DIRTY)} from hr",
     "hr_dirty": "select * from hr_dirty_once union all select * from hr_dirty_once where n % 250 < 3",
     "hr_valid": "select * from hr_dirty_once where transport_mode <> 'Inconnu'",
     "geo": """select address, 43.0::double + cast(distance_kms as double) / 25 as lat,
       3.5::double + cast(distance_kms as double) / 30 as lon from employees where n % 41 <> 0""",
     "known_employees": "select * from employees where n % 17 <> 0",
-    "activities": f"select {MOVE.format(v='value')}, {_SHIFT} from events",
-    "activities_dirty": f"select {DIRTY_MOVE} from activities",
+    "activities": f"select {', '.join(moves())}, {_SHIFT} from events",
+    "activities_dirty": f"select {', '.join(DIRTY_MOVE)} from activities",
     "incoming": f"select * exclude (n), {FINGERPRINT} as fingerprint from activities where n % 13 <> 5",
-    "older": "select " + MOVE.format(v="(case when event_id % 7 = 0 then value + 1 else value end)")
-             + f", {_SHIFT} from events",
+    "older": f"select {', '.join(moves(OLDER))}, {_SHIFT} from events",
     "stored": f"""select {', '.join(schemas.STORED_COLUMNS[:-2])}, 'c' || id as comment,
       {FINGERPRINT} as fingerprint from older where n % 10 <> 3""",
     "activity_events": " union all ".join(
@@ -371,7 +377,7 @@ SQL = {
            "transport_mode")
         + f" from hr where {condition}"
         for op, condition, _, later in VERSIONS),
-    "sports": f"select {SPORT} from part",
+    "sports": f"select {', '.join(SPORT)} from part",
     "raw_sports": f"select position, unnest([{', '.join(RAW_SPORT)}]) as sport_type from sports",
     "sport_declared": """select case when e.n % 23 = 0 then 'X' || id else id end as id,
       case when e.n % 5 = 0 then null else s.sport end as sport_type

@@ -63,7 +63,7 @@ def test_a_failing_writer_does_not_fail_the_job(spark):
     def spare(prompt):
         return "not json"
 
-    scored = score_batches(prompts, {"picky": picky, "spare": spare})
+    scored = score_batches(prompts, {"picky": picky, "spare": spare}, parallel=3)
     assert rows(scored.groupBy("writer").count()) == [("picky", 2), ("spare", 1)]
     assert token_records(scored).filter("context_tokens > 0 and operation = 'search'").count() == 3
     assert parse_answers(scored)[1].count() == 1

@@ -6,7 +6,7 @@ from activity_lake.operators.quality import (
     FAILED, SUCCESS, WARNING, Between, ByValue, DistinctInSet, InSet, NotNull, Unique, clean, keep_valid, orphan_sports,
     publish, quarantine, reconcile, run_suite, status_of, suite_status,
 )
-from activity_lake.operators.reporting import alerts, rollup
+from activity_lake.operators.reporting import alerts, observed, rollup
 from activity_lake.plans.suites import activity_suite, hr_suite, sport_suite
 from tests.helpers import rows
 
@@ -105,3 +105,9 @@ def test_rollup_and_alerts(spark):
         [("a", SUCCESS), ("a", WARNING), ("b", SUCCESS), ("c", WARNING), ("c", FAILED)], "run string, status string")
     assert rows(rollup(steps)) == [("a", WARNING), ("b", SUCCESS), ("c", FAILED)]
     assert rows(alerts(rollup(steps)), "run") == [("a",), ("c",)]
+
+
+def test_rows_are_counted_while_written(spark, tmp_path):
+    df, seen = observed(people(spark), "people")
+    df.write.parquet(str(tmp_path / "out"))
+    assert seen.get == {"rows": 6}
