@@ -27,12 +27,16 @@ INSTRUCTIONS = (
 
 
 def comment_context(actions: DataFrame, employees: DataFrame) -> DataFrame:
-    """What a writer gets to see of each new image; names are plain text here."""
+    """What a writer gets to see of each new image; names are plain text here.
+
+    A batch number given to the actions is kept.
+    """
     fresh = enrich_names(actions.filter(F.col("_merge") == "left_only"), employees)
+    kept = [c for c in ("batch",) if c in actions.columns]
     return fresh.withColumns({
         "name": display_name("first_name", "last_name"),
         "performance": format_performance("distance_meters", "duration_sec"),
-    }).select(*schemas.COMMENT_CONTEXT)
+    }).select(*schemas.COMMENT_CONTEXT, *kept)
 
 
 def default_comments(context: DataFrame) -> DataFrame:
@@ -43,10 +47,12 @@ def default_comments(context: DataFrame) -> DataFrame:
 def build_prompts(df: DataFrame, cols: list[str] | None = None, size: int = BATCH_SIZE) -> DataFrame:
     """One prompt per batch: instructions and the batch as a JSON list.
 
-    A batch has at most ``size`` rows, which bounds the collected list.
+    Rows without a ``batch`` are numbered first. A batch has at most ``size``
+    rows, which bounds the collected list.
     """
     row = F.struct(*(cols or schemas.COMMENT_CONTEXT))
-    gathered = with_batch(df, "id", size).groupBy("batch").agg(
+    numbered = df if "batch" in df.columns else with_batch(df, size)
+    gathered = numbered.groupBy("batch").agg(
         F.count("*").alias("rows"),
         F.to_json(F.sort_array(F.collect_list(row)), {"ignoreNullFields": "false"}).alias("context"),
     )

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from activity_lake.functions.text import digest, normalize_text, strip
+from activity_lake.functions.text import normalize_text, strip
+from activity_lake.sources.tables import write_stage
 
 # Order of the join indicator; it is not the order of the texts.
 INDICATOR_ORDER = ["left_only", "right_only", "both"]
@@ -169,25 +170,23 @@ def share(df: DataFrame, group: str, weight: str, out: str = "share") -> DataFra
     return joined.withColumn(out, F.try_divide(weight, "_total")).drop("_group", "_total")
 
 
-def with_batch(df: DataFrame, key: list[str] | str = "id", size: int = 100, digits: int = 4) -> DataFrame:
-    """Number rows into batches of ``size``; only the last may be short.
+def with_batch(df: DataFrame, size: int = 100, order: tuple[str, ...] = ()) -> DataFrame:
+    """Number rows into batches of ``size`` by position; only the last may be short.
 
-    Rows are ordered by the digest of their key. The first hex digits of the
-    digest cut that order into ``16 ** digits`` even buckets: rows are numbered
-    within their bucket in parallel and shifted by the rows of the buckets
-    before it. The shift table has at most one row per bucket, which bounds
-    the broadcast. The key must be unique, which the id rule checks.
+    The rows are written once, sorted if an order is given. A row's place is
+    its index in its file plus the rows of the files before, so numbering takes
+    no shuffle, does not depend on keys, and a repeated task finds the same
+    numbers. The table of files is written too, for the planner to see its size.
     """
-    keys = [key] if isinstance(key, str) else key
-    placed = df.withColumn("_digest", digest(*[F.col(k) for k in keys])).withColumn(
-        "_bucket", F.left("_digest", F.lit(digits)))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shift = placed.groupBy("_bucket").count().select(
-        "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))
-    within = Window.partitionBy("_bucket").orderBy("_digest", *keys)
-    numbered = placed.withColumn("_n", F.row_number().over(within)).join(F.broadcast(shift), "_bucket")
-    batch = F.floor((F.col("_shift") + F.col("_n") - 1) / size)
-    return numbered.withColumn("batch", batch).select(*df.columns, "batch")
+    staged = write_stage(df.orderBy(*order) if order else df, name="batches")
+    placed = staged.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = placed.groupBy("_file").count().select(
+        "_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))
+    numbered = placed.join(write_stage(files, name="files"), "_file")
+    batch = F.floor((F.col("_shift") + F.col("_row")) / size)
+    return numbered.select(*df.columns, batch.alias("batch"))
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:

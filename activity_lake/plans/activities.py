@@ -5,17 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from activity_lake import schemas
 from activity_lake.functions.privacy import decrypt, encrypt, encrypt_new
 from activity_lake.operators.comments import (
-    build_prompts, comment_context, default_comments, parse_answers, score_batches, token_records,
+    BATCH_SIZE, build_prompts, comment_context, default_comments, parse_answers, score_batches, token_records,
 )
 from activity_lake.operators.diff import (
     apply_changes, diff_gate, diff_labels, diff_summary, fingerprint, snapshot_diff,
 )
 from activity_lake.operators.quality import FAILED, publish
-from activity_lake.operators.shaping import attach_comments, conform
+from activity_lake.operators.shaping import attach_comments, conform, with_batch
 from activity_lake.plans.suites import activity_suite
 from activity_lake.session import new_path
 from activity_lake.sources.tables import append_token_records, write_stage
@@ -31,19 +32,20 @@ def comment_actions(
 ) -> DataFrame:
     """Write comments for the new images and encrypt them.
 
-    Answers are staged encrypted and without their prompts, since both name
-    people. ``token_path`` gets a token record per answered batch.
+    Batches are numbered before names are added, and answers are staged
+    encrypted and without their prompts: no stage names people. ``token_path`` gets a token record per answered batch.
     """
     plain = decrypt(employees.select("id", "first_name", "last_name"), ["first_name", "last_name"], key)
-    context = comment_context(actions, plain)
     if writers:
-        scored = score_batches(build_prompts(context), writers, pause).drop("prompt")
+        fresh = with_batch(actions.filter(F.col("_merge") == "left_only"), BATCH_SIZE)
+        prompts = build_prompts(comment_context(fresh, plain))
+        scored = score_batches(prompts, writers, pause).drop("prompt")
         answers = write_stage(encrypt(scored, ["answer"], key), name="answers")
         if token_path:
             append_token_records(token_records(answers), token_path)
         comments, _ = parse_answers(decrypt(answers, ["answer"], key))
     else:
-        comments = default_comments(context)
+        comments = default_comments(comment_context(actions, plain))
     return encrypt_new(attach_comments(actions, comments), "comment", key)
 
 

@@ -11,7 +11,7 @@ from activity_lake.operators.cdc import cdc_rows
 from activity_lake.operators.comments import build_prompts, parse_answers, INSTRUCTIONS
 from activity_lake.operators.places import flatten_places
 from activity_lake.operators.reporting import with_templates
-from activity_lake.operators.shaping import alias_table
+from activity_lake.operators.shaping import alias_table, with_batch
 from activity_lake.streaming.outbox import clean_comments
 from checks.joins import DIFF
 from checks.registry import check
@@ -158,12 +158,12 @@ def _(v: Views):
 
 
 @check("build_prompts", f"""with numbered as (select id, employee_id, sport, situation,
-  (row_number() over (order by {digest('id')}, id) - 1) // 100 as batch from activities)
+  (row_number() over (order by id) - 1) // 100 as batch from activities)
   select batch, count(*) as rows, '{INSTRUCTIONS}' || to_json(list({{'id': id, 'name': employee_id, 'sport': sport,
     'situation': situation}} order by id)) as prompt from numbered group by batch""")
 def _(v: Views):
     seen = v.activities.select("id", F.col("employee_id").alias("name"), "sport", "situation")
-    return build_prompts(seen, ["id", "name", "sport", "situation"])
+    return build_prompts(with_batch(seen, order=("id",)), ["id", "name", "sport", "situation"])
 
 
 @check("parse_answers", """select id, 'Bravo ' || sport as comment, 'read' as part from activities where n % 31 <> 0

@@ -16,7 +16,7 @@ from activity_lake.operators.shaping import (
 from activity_lake.sources.tables import token_total
 from checks.joins import DIFF
 from checks.registry import check
-from checks.views import Views, digest, eligible, social_year
+from checks.views import Views, eligible, social_year
 
 _GOLD_NOW = f"""now as (select *, {social_year('begin_date')} as social_year
   from (select * from activity_events where op <> 'd' qualify row_number() over (partition by id order by ts_ms desc) = 1))"""
@@ -128,10 +128,10 @@ def _(v: Views):
     return head(v.employees.select("id", "last_name"), "id", 5)
 
 
-@check("batch_number", f"""select id, sport,
-  (row_number() over (order by {digest('id')}, id) - 1) // 100 as batch from activities""")
+@check("batch_number", """select id, sport,
+  (row_number() over (order by id) - 1) // 100 as batch from activities""")
 def _(v: Views):
-    return with_batch(v.activities.select("id", "sport"))
+    return with_batch(v.activities.select("id", "sport"), order=("id",))
 
 
 @check("append_batches", """select id, 'Bypass IA : ' || coalesce(nullif(situation, ''), 'No comment') as comment

@@ -14,10 +14,13 @@ from tests.helpers import rows
 
 
 def test_batches_are_full(spark):
-    df = spark.range(1234).selectExpr("cast(id as string) as id")
-    for digits in (1, 4):
-        sizes = [r["count"] for r in with_batch(df, digits=digits).groupBy("batch").count().orderBy("batch").collect()]
-        assert sizes == [100] * 12 + [34]
+    # Repeated keys do not matter, nor how many files the rows are in.
+    df = spark.range(0, 1234, 1, 7).selectExpr("cast(id % 3 as string) as id", "id as n")
+    for order in ((), ("id",), ("n",)):
+        batches = with_batch(df, order=order)
+        sizes = [r["count"] for r in batches.groupBy("batch").count().orderBy("batch").collect()]
+        assert sizes == [100] * 12 + [34] and batches.select("n").distinct().count() == 1234
+    assert batches.filter("batch <> n div 100").isEmpty()
 
 
 def test_context_and_default_comments(spark):

@@ -12,7 +12,7 @@ from activity_lake.operators.diff import (
 )
 from activity_lake.operators.quality import NotNull, Unique, Between, run_suite, samples
 from activity_lake.operators.reporting import social_year_stats
-from activity_lake.operators.shaping import dedupe, exists_in, share
+from activity_lake.operators.shaping import dedupe, exists_in, share, with_batch
 from activity_lake.sources.tables import write_stage
 from activity_lake.streaming.gold import activities_gold, employees_gold
 from checks.views import KEY
@@ -118,6 +118,11 @@ def test_scans_read_only_what_is_needed(views):
     assert "EqualTo(o_orderkey,5)" in scan and "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in scan
 
 
+def test_numbering_batches_does_not_shuffle(spark, hot):
+    text = plan(with_batch(hot))
+    assert "Exchange hash" not in text and "Window" not in text and "BroadcastHashJoin" in text
+
+
 def test_fingerprint_is_native(views):
     text = plan(fingerprint(views.activities, schemas.FINGERPRINT_COLUMNS))
     assert "Exchange" not in text and "Python" not in text
