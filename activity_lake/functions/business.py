@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from activity_lake.functions.dates import _named
+from activity_lake.sources.tables import write_stage
 
 # Transport modes, the kilometres each allows, contract types
 # and the default bonus rate.
@@ -118,13 +119,14 @@ def with_distance(
     """Kilometres from home to company, two decimals, as ``distance_kms``.
 
     ``geo`` has ``address, lat, lon``. Employees outside the policy get 0;
-    an address without coordinates gives null. One row per address is kept by
-    an aggregate whose partitioning the join then reuses.
+    an address without coordinates gives null. One row per address is kept,
+    as a written table that is broadcast if it is small.
     """
     if not POLICIES[policy]:
         return df.withColumn("distance_kms", F.lit(0.0))
     measured = F.coalesce(F.col("transport_mode").isin(POLICIES[policy]), F.lit(False))
     points = geo.groupBy("address").agg(F.min(F.struct("lat", "lon")).alias("_home"))
+    points = write_stage(points, name="points")
     here = (f"{float(company[0])!r}D", f"{float(company[1])!r}D")
     placed = df.join(points, "address", "left")
     placed = with_geodesic(placed, here, ("_home.lat", "_home.lon"), "distance_kms")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from activity_lake import schemas
 from activity_lake.functions.dates import epoch_micros
 from activity_lake.functions.text import digest, record_text
+from activity_lake.sources.tables import write_stage
 
 
 def fingerprint(df: DataFrame, cols: list[str] | None = None, algorithm: str = "md5") -> DataFrame:
@@ -45,16 +46,17 @@ def diff_labels(
     both = left.withColumn("_in", F.lit(1)).unionByName(right.withColumn("_in", F.lit(0)))
     images = both.groupBy(key, mark).agg(
         F.sum("_in").alias("_left"), F.sum(1 - F.col("_in")).alias("_right"))
-    changed = images.filter("_left = 0 or _right = 0").select(
+    changed = write_stage(images.filter("_left = 0 or _right = 0").select(
         key, mark, (F.col("_left") + F.col("_right")).alias("_copies"),
         F.when(F.col("_left") > 0, "left_only").otherwise("right_only").alias("_merge"),
-    )
-    per_key = changed.groupBy(key).agg(F.sum("_copies").alias("_images"))
+    ), name="changed")
+    several = changed.groupBy(key).agg(F.sum("_copies").alias("_images")).filter("_images > 1")
+    labelled = changed.join(write_stage(several, name="several"), key, "left")
     status = (
-        F.when(F.col("_images") > 1, "modified")
+        F.when(F.col("_images").isNotNull(), "modified")
         .when(F.col("_merge") == "right_only", "deleted").otherwise("new")
     )
-    return changed.join(per_key, key).select(key, mark, "_merge", status.alias("status"))
+    return labelled.select(key, mark, "_merge", status.alias("status"))
 
 
 def _unique_labels(left: DataFrame, right: DataFrame, key: str, mark: str) -> DataFrame:
@@ -86,13 +88,12 @@ def snapshot_diff(
     equal in key and fingerprint are dropped. A key with several images left
     is ``modified``, a single one is ``new`` or ``deleted``.
 
-    Whole rows are fetched for the labelled images only. Give ``labels`` as a
-    written table where the snapshots are large: its size is then known when
-    the fetch is planned, so that small differences are broadcast and the
-    snapshots are not shuffled at all.
+    Whole rows are fetched for the labelled images only. The labels are a
+    written table: its size is known when the fetch is planned, so that small
+    differences are broadcast and the snapshots are not shuffled at all.
     """
     if labels is None:
-        labels = diff_labels(incoming, stored, key, mark)
+        labels = write_stage(diff_labels(incoming, stored, key, mark), name="labels")
 
     def images(rows: DataFrame, side: str) -> DataFrame:
         wanted = labels.filter(F.col("_merge") == side).select(
@@ -108,11 +109,12 @@ def snapshot_diff(
 def mark_duplicates(df: DataFrame, key: str = "id", out: str = "duplicated") -> DataFrame:
     """Flag every row whose key occurs more than once.
 
-    Only repeated keys are joined back, after a count that combines per task.
+    Only repeated keys are joined back, after a count that combines per task,
+    as a written table: few are broadcast, many let AQE split a hot key.
     """
     repeated = df.groupBy(F.col(key).alias("_key")).count().filter("count > 1").drop("count")
-    flagged = df.join(
-        repeated.withColumn("_repeated", F.lit(True)), F.col(key).eqNullSafe(F.col("_key")), "left")
+    repeated = write_stage(repeated, name="repeated").withColumn("_repeated", F.lit(True))
+    flagged = df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
     return flagged.withColumn(out, F.coalesce("_repeated", F.lit(False))).drop("_key", "_repeated")
 
 

@@ -96,15 +96,17 @@ class ByValue(Rule):
     found: DataFrame | None = field(default=None, compare=False, kw_only=True)
 
     def settled(self, df: DataFrame) -> ByValue:
-        """The same rule with its bad values written to a table.
-
-        Report, sample and cleaning then share one lookup, and the planner
-        knows from the table's size whether it may be broadcast.
-        """
-        return replace(self, found=write_stage(self.bad_values(df), name="values"))
+        """The same rule with its bad values looked up, for report and cleaning to share."""
+        return replace(self, found=self.lookup(df))
 
     def lookup(self, df: DataFrame) -> DataFrame:
-        return self.bad_values(df) if self.found is None else self.found
+        """Bad values as a written table.
+
+        The planner knows from its size whether it may be broadcast; where it
+        may not, AQE can split an oversized side, which it cannot next to an
+        aggregate on the same key.
+        """
+        return write_stage(self.bad_values(df), name="values") if self.found is None else self.found
 
     def bad_values(self, df: DataFrame) -> DataFrame:
         """``_value`` and ``_rows`` of each value that breaks the rule."""
@@ -123,7 +125,8 @@ class ByValue(Rule):
         return df.join(bad, F.col(self.column) == F.col("_value"), "left_anti")
 
     def count(self, df: DataFrame) -> DataFrame:
-        return self.lookup(df).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("broken"))
+        bad = self.bad_values(df) if self.found is None else self.found
+        return bad.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("broken"))
 
 
 @dataclass(frozen=True)

@@ -39,7 +39,9 @@ def stamp(df: DataFrame, name: str = "processed_at") -> DataFrame:
 # --- joins -----------------------------------------------------------------
 # Only left, semi and anti joins are used: AQE can split an oversized left
 # side for all of them, and they stream it without buffering a key's rows.
-# Their right sides carry one row per key.
+# Their right sides carry one row per key. Where that takes an aggregate its
+# result is written first: AQE splits only between plain shuffles, and the
+# planner then knows whether the table is small enough to broadcast.
 
 
 def merge_hr_sport(hr: DataFrame, sport: DataFrame) -> DataFrame:
@@ -63,7 +65,7 @@ def merge_indicator(left: DataFrame, right: DataFrame, on: list[str], how: str =
     if how == "left":
         return merged
     types = dict(merged.dtypes)
-    rest = right.join(left.select(*on).distinct(), on, "left_anti")
+    rest = right.join(_keys(left, on), on, "left_anti")
     rest = rest.select(
         *[(F.col(c) if c in right.columns else F.lit(None)).cast(types[c]).alias(c) for c in names],
         F.lit("right_only").alias("_merge"),
@@ -71,9 +73,13 @@ def merge_indicator(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return merged.unionByName(rest)
 
 
+def _keys(df: DataFrame, on: list[str]) -> DataFrame:
+    return write_stage(df.select(*on).distinct(), name="keys")
+
+
 def orphans(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Left rows without a partner."""
-    return left.join(right.select(on).distinct(), on, "left_anti")
+    return left.join(_keys(right, [on]), on, "left_anti")
 
 
 def missing(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
@@ -127,6 +133,7 @@ def normalize_sport(df: DataFrame, sports: DataFrame, col: str = "sport_type", o
     dimension = names.join(aliases, "_key", "full_outer").select(
         "_key", F.coalesce("_by_alias", "_by_name").alias(out))
     key = F.when(F.col(col) != "", normalize_text(col))
+    dimension = write_stage(dimension, name="sports")
     return df.withColumn("_key", key).join(dimension, "_key", "left").drop("_key")
 
 
@@ -166,6 +173,7 @@ def share(df: DataFrame, group: str, weight: str, out: str = "share") -> DataFra
     never gathered in one task.
     """
     totals = df.groupBy(F.col(group).alias("_group")).agg(F.sum(weight).alias("_total"))
+    totals = write_stage(totals, name="totals")
     joined = df.join(totals, F.col(group).eqNullSafe(F.col("_group")), "left")
     return joined.withColumn(out, F.try_divide(weight, "_total")).drop("_group", "_total")
 

@@ -12,7 +12,7 @@ from activity_lake.operators.diff import (
 )
 from activity_lake.operators.quality import NotNull, Unique, Between, run_suite, samples
 from activity_lake.operators.reporting import social_year_stats
-from activity_lake.operators.shaping import dedupe, exists_in, share, with_batch
+from activity_lake.operators.shaping import dedupe, enrich_names, exists_in, orphans, share, with_batch
 from activity_lake.sources.tables import write_stage
 from activity_lake.streaming.gold import activities_gold, employees_gold
 from checks.views import KEY
@@ -62,9 +62,11 @@ def test_latest_state_limits_each_task_before_the_shuffle(spark, hot):
 
 
 def test_keys_are_combined_before_the_shuffle(spark, hot, no_broadcast):
-    text = plan(diff_labels(hot, hot))
-    assert "partial_sum" in text and "Window" not in text
+    text = plan(diff_labels(hot, hot, unique=True))
+    assert exchanges(diff_labels(hot, hot, unique=True)) == 2
     assert set(re.findall(r"ReadSchema: (\S+)", text)) == {"struct<id:string,fingerprint:string>"}
+    unique = Unique("id", "")
+    assert exchanges(unique.count(hot)) == 2 and "partial_count" in plan(unique.count(hot))
     gold = hot.selectExpr("id as employee_id", "'y' as social_year", "v as distance_meters", "v as duration_sec")
     assert exchanges(social_year_stats(gold)) == 1 and "partial_sum" in plan(social_year_stats(gold))
 
@@ -108,6 +110,31 @@ def test_hot_keys_give_whole_results(spark, hot, no_broadcast):
     assert diff.groupBy("status").count().orderBy("status").collect() == [("modified", 20_000), ("new", 10_000)]
 
 
+def test_an_oversized_side_is_split(spark, hot, no_broadcast):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+    }
+    for name, size in small.items():
+        spark.conf.set(name, size)
+    try:
+        known = hot.select("id").distinct()
+        named = write_stage(known.selectExpr("id", "'a' as first_name", "'b' as last_name"))
+        joins = [
+            mark_duplicates(hot), Unique("id", "").violating(hot), Unique("id", "").satisfying(hot),
+            share(hot.withColumn("w", F.lit(1)), "id", "w"), orphans(hot, known.filter("id = 'hot'"), "id"),
+            enrich_names(hot.withColumnRenamed("id", "employee_id"), named),
+        ]
+        for df in joins:
+            df.write.format("noop").mode("overwrite").save()
+            df.collect()
+            assert "skew=true" in plan(df)
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+
+
 def test_scans_read_only_what_is_needed(views):
     from checks.registry import QUERIES
     from checks import reports  # noqa: F401
