@@ -14,9 +14,12 @@ DEFAULT_CATEGORY = "lieu"
 
 
 def flatten_places(docs: DataFrame, col: str = "document") -> DataFrame:
-    """One row per named element; areas take the coordinates of their centre."""
-    element = F.explode(F.from_json(col, schemas.PLACES)["elements"])
-    named = docs.select(element.alias("e")).filter(F.col("e.tags")["name"] != "")
+    """One row per named element; areas take the coordinates of their centre.
+
+    A list of one keeps the parsed document from being computed again in filters.
+    """
+    parsed = docs.select(F.explode(F.array(F.from_json(col, schemas.PLACES))).alias("d"))
+    named = parsed.select(F.explode("d.elements").alias("e")).filter(F.col("e.tags")["name"] != "")
 
     def tag(name: str):
         return F.col("e.tags")[name]

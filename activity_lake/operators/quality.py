@@ -297,6 +297,11 @@ def reconcile(hr: DataFrame, sport: DataFrame, merged: DataFrame) -> DataFrame:
     Compared with the cleaned HR set, so that rows dropped by validation do
     not count as lost.
     """
+    def entry(position: int, rule: str, severity: str, found: str) -> Column:
+        return F.struct(
+            F.lit(position).alias("position"), F.lit(rule).alias("rule"),
+            F.lit(severity).alias("severity"), F.col(found).cast("long").alias("found"))
+
     signed = hr.select(F.lit(1).alias("n")).unionAll(merged.select(F.lit(-1).alias("n")))
     lost = signed.agg(F.abs(F.coalesce(F.sum("n"), F.lit(0))).alias("found"))
     without = merged.select("id").join(sport.select("id").distinct(), "id", "left_anti")
@@ -304,16 +309,12 @@ def reconcile(hr: DataFrame, sport: DataFrame, merged: DataFrame) -> DataFrame:
         F.count("*").alias("found"), F.count("sport_type").alias("declared"))
     # Severities of the four checks.
     checks = [
-        (lost.select("found"), "every employee kept", FAILED),
-        (without.agg(F.count("*").alias("found")), "every employee has a sport row", WARNING),
-        (extra.select("found"), "no sport row without employee", WARNING),
-        (extra.select(F.col("declared").alias("found")), "no declared sport without employee", FAILED),
-    ]
-    parts = [
-        frame.select(F.lit(p).alias("position"), F.lit(text).alias("rule"),
-                     F.lit(severity).alias("severity"), F.col("found").cast("long").alias("found"))
-        for p, (frame, text, severity) in enumerate(checks, 1)
+        (lost, [entry(1, "every employee kept", FAILED, "found")]),
+        (without.agg(F.count("*").alias("found")), [entry(2, "every employee has a sport row", WARNING, "found")]),
+        (extra, [entry(3, "no sport row without employee", WARNING, "found"),
+                 entry(4, "no declared sport without employee", FAILED, "declared")]),
     ]
+    parts = [frame.select(F.explode(F.array(*entries)).alias("c")).select("c.*") for frame, entries in checks]
     failed = F.when(F.col("found") == 0, SUCCESS).otherwise(F.col("severity"))
     return reduce(DataFrame.unionByName, parts).withColumn("result", failed)
 

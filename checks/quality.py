@@ -12,6 +12,7 @@ from activity_lake.operators.reporting import official_sports, rollup, run_metri
 from activity_lake.operators.shaping import merge_hr_sport
 from activity_lake.plans.suites import activity_suite, hr_suite, sport_suite
 from activity_lake.session import new_path
+from activity_lake.sources.tables import write_stage
 from checks.registry import check
 from checks.views import Views
 
@@ -165,7 +166,8 @@ def _(v: Views):
   select *, case when found = 0 then 'SUCCESS' else severity end as result from checks""")
 def _(v: Views):
     people = v.hr.select("id", "business_unit")
-    return reconcile(people, v.sport_declared, merge_hr_sport(people, v.sport_declared))
+    merged = write_stage(merge_hr_sport(people, v.sport_declared), name="merged")
+    return reconcile(people, v.sport_declared, merged)
 
 
 @check("wap_gate", f"select id, last_name, cast(salary as double) as salary from hr_valid where {_KEPT}")

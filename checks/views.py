@@ -246,12 +246,12 @@ class Views:
 
     @cached_property
     def sport_declared(self) -> DataFrame:
-        """One declaration per employee but some, and some of nobody."""
+        """One declaration per employee but some, and some of nobody, as a sheet on file."""
         names = self.sports.select(F.col("position").alias("n"), "sport")
         listed = self.employees.filter("n % 19 <> 0").join(names, "n", "left")
-        return listed.selectExpr(
+        return write_stage(listed.selectExpr(
             "case when n % 23 = 0 then concat('X', id) else id end as id",
-            "case when n % 5 = 0 then null else sport end as sport_type")
+            "case when n % 5 = 0 then null else sport end as sport_type"), name="sport")
 
     @cached_property
     def token_log(self) -> DataFrame:

@@ -6,15 +6,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from activity_lake import schemas
-from activity_lake.operators.cdc import latest_state
+from activity_lake.operators.cdc import cdc_events, latest_state, latest_state_with_deletes
+from activity_lake.operators.comments import parse_answers
 from activity_lake.operators.diff import (
     apply_changes, diff_labels, fingerprint, mark_duplicates, snapshot_diff,
 )
 from activity_lake.operators.quality import NotNull, Unique, Between, run_suite, samples
+from activity_lake.operators.places import flatten_places
 from activity_lake.operators.reporting import social_year_stats
 from activity_lake.operators.shaping import dedupe, enrich_names, exists_in, orphans, share, with_batch
 from activity_lake.sources.tables import write_stage
 from activity_lake.streaming.gold import activities_gold, employees_gold
+from activity_lake.streaming.outbox import clean_comments
 from checks.views import KEY
 from tests.helpers import plan, rows
 
@@ -45,11 +48,15 @@ def test_decoding_and_business_columns_do_not_shuffle(views):
         assert "Exchange" not in text and "PythonUDF" not in text and "ArrowEval" not in text
 
 
-def test_messages_are_parsed_once(views):
-    parsed = views.spark.createDataFrame([], "value string")
-    text = plan(activities_gold(parsed))
-    optimized = activities_gold(parsed)._jdf.queryExecution().optimizedPlan().toString()
-    assert optimized.count("from_json") <= 1, text
+def test_json_is_parsed_once(spark):
+    raw = spark.range(5).selectExpr("cast(id as string) as value")
+    parsed = [
+        activities_gold(raw), latest_state_with_deletes(cdc_events(raw, schemas.ACTIVITY_EVENT)),
+        flatten_places(raw, "value"), parse_answers(raw, "value")[0], parse_answers(raw, "value")[1],
+    ]
+    for df in parsed:
+        assert plan(df).count("from_json") == 1, plan(df)
+    assert plan(clean_comments(raw.selectExpr("value as id", "value as comment"), KEY)).count("aesDecrypt") == 1
 
 
 def test_latest_state_limits_each_task_before_the_shuffle(spark, hot):
