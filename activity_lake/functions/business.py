@@ -120,15 +120,17 @@ def with_distance(
 
     ``geo`` has ``address, lat, lon``. Employees outside the policy get 0;
     an address without coordinates gives null. One row per address is kept,
-    as a written table that is broadcast if it is small.
+    as a written table that is broadcast if it is small; it holds a digest in
+    place of the address.
     """
     if not POLICIES[policy]:
         return df.withColumn("distance_kms", F.lit(0.0))
     measured = F.coalesce(F.col("transport_mode").isin(POLICIES[policy]), F.lit(False))
-    points = geo.groupBy("address").agg(F.min(F.struct("lat", "lon")).alias("_home"))
+    place = F.sha2("address", 256).alias("_place")
+    points = geo.groupBy(place).agg(F.min(F.struct("lat", "lon")).alias("_home"))
     points = write_stage(points, name="points")
     here = (f"{float(company[0])!r}D", f"{float(company[1])!r}D")
-    placed = df.join(points, "address", "left")
+    placed = df.withColumn("_place", place).join(points, "_place", "left")
     placed = with_geodesic(placed, here, ("_home.lat", "_home.lon"), "distance_kms")
     kilometres = F.when(measured, F.round("distance_kms", 2)).otherwise(F.lit(0.0))
     return placed.withColumn("distance_kms", kilometres).select(*df.columns, "distance_kms")
