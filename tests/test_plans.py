@@ -65,7 +65,7 @@ def test_nothing_written_names_people(spark, tmp_path, monkeypatch):
     assert stages
     for stage in stages:
         for row in spark.read.parquet(stage).collect():
-            assert "Blanc" not in str(row) and "home" not in str(row), stage
+            assert "Blanc" not in str(tuple(row)) and "home" not in str(tuple(row)), stage
 
 
 def test_failed_hr_is_not_loaded(spark, tmp_path):
