@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Tables written on the way have a known size; up to here they are broadcast.
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
     # Recording the call site of every Column costs more than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
