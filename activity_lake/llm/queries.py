@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from activity_lake.llm.common import documents
 from activity_lake.llm.exact import exact_dedup
 from activity_lake.llm.line_rules import line_rules
+from activity_lake.llm.simhash import fingerprint_hex, simhash_groups
+from activity_lake.llm.substrings import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +62,27 @@ select *, not base_failed and not (n_common_lines > 0 and (n_words_left < 50 or
   as kept from b""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules(documents(spark, sf_dir))
+
+
+@query("op5_substring_dedup", r"""
+with w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+  lambda x: x <> '') as words from documents),
+starts as (select doc_id, i, array_to_string(words[i:i + 19], ' ') as win from w, range(1, len(words) - 18) r(i)
+  where len(words) >= 20),
+later as (select doc_id, i from (select doc_id, i, row_number() over (partition by win order by doc_id, i) as n
+  from starts) where n > 1),
+gone as (select distinct doc_id, i + k as pos from later, range(0, 20) s(k)),
+words as (select doc_id, i as pos, words[i] as word from w, range(1, len(words) + 1) r(i)),
+kept as (select words.doc_id, count(gone.pos) as n_removed, coalesce(string_agg(word, ' ' order by words.pos)
+  filter (where gone.pos is null), '') as kept from words left join gone using (doc_id, pos) group by words.doc_id)
+select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256 from w left join kept using (doc_id)""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op8_simhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(documents(spark, sf_dir)).select(
+        "doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
