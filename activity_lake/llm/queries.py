@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activity_lake.llm.common import documents
 from activity_lake.llm.exact import exact_dedup
 from activity_lake.llm.line_rules import line_rules
+from activity_lake.llm.packing import pack_documents
 from activity_lake.llm.simhash import fingerprint_hex, simhash_groups
 from activity_lake.llm.substrings import substring_dedup
+from activity_lake.llm.token_files import read_token_files, write_token_files
+from activity_lake.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +90,16 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(documents(spark, sf_dir)).select(
         "doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op2_token_files")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    write_token_files(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_token_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
