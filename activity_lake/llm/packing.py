@@ -17,10 +17,13 @@ from activity_lake.llm.common import id_and_text, stage
 from activity_lake.llm.tokens import encoder
 
 CAPACITY = 4096
-# The program is solved and rounded in rounds; each prices this many configurations.
-ROUNDS = 4
-PRICINGS = 60
-STEP = 0.3
+# The program is solved and rounded in rounds; each has this many pricings.
+ROUNDS = 6
+PRICINGS = 20
+STEP = 0.5
+# Configurations taken from one pricing table, and how much less than the best they may be worth.
+SEVERAL = 200
+SLACK = 0.003
 # Pieces of one length that are numbered in one group.
 RANK_ROWS = 50_000
 
@@ -53,29 +56,36 @@ def cut_pieces(
         "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def dearest(sizes: np.ndarray, worth: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration (place in ``sizes`` -> how often) of most worth that fits, by knapsack dynamic programming."""
+def dearest(
+    sizes: np.ndarray, worth: np.ndarray, most: np.ndarray, capacity: int, several: int = SEVERAL,
+) -> list[dict[int, int]]:
+    """Configurations (place in ``sizes`` -> how often) of most worth, by knapsack dynamic programming.
+
+    One table prices them all: the first is the best that fits, the next ones the best without the lengths taken
+    before, as long as they lose no more than ``SLACK`` of the best worth.
+    """
     best = np.zeros(capacity + 1)
-    taken = np.zeros(capacity + 1, np.int32) - 1
     ends = np.searchsorted(sizes, np.arange(capacity + 1), "right")
     for room in range(int(sizes[0]), capacity + 1):
-        of = best[room - sizes[:ends[room]]] + worth[:ends[room]]
-        at = int(of.argmax())
-        if of[at] > best[room - 1]:
-            best[room], taken[room] = of[at], at
-        else:
-            best[room] = best[room - 1]
-    config: dict[int, int] = {}
-    room = capacity
-    while room > 0:
-        at = int(taken[room])
-        if at < 0:
-            room -= 1
-            continue
-        room -= int(sizes[at])
-        if config.get(at, 0) < most[at]:
-            config[at] = config.get(at, 0) + 1
-    return config
+        best[room] = max(best[room - 1], (best[room - sizes[:ends[room]]] + worth[:ends[room]]).max())
+    configs: list[dict[int, int]] = []
+    free = np.ones(len(sizes), bool)
+    while len(configs) < several and free.any():
+        config: dict[int, int] = {}
+        room, gained, open_sizes = capacity, 0.0, free.copy()
+        while True:
+            at = np.flatnonzero(open_sizes[:ends[room]])
+            if not len(at):
+                break
+            k = int(at[(best[room - sizes[at]] + worth[at]).argmax()])
+            config[k] = config.get(k, 0) + 1
+            open_sizes[k] = config[k] < most[k]
+            room, gained = room - int(sizes[k]), gained + worth[k]
+        if not config or configs and gained < (1 - SLACK) * best[capacity]:
+            break
+        free[list(config)] = False
+        configs.append(config)
+    return configs
 
 
 def solve_fractional(
@@ -84,45 +94,57 @@ def solve_fractional(
     """Configurations and how often to use each, from multiplicative weights.
 
     A length's weight is the price of one item; it starts at its share of a sequence, which is the dual solution of a
-    waste-free packing, and falls with the part of its items that is covered. Each round prices the configuration of
-    most worth and uses it until a part ``STEP`` of its scarcest length is covered.
+    waste-free packing, and falls with the part of its items that is covered. Each pricing finds the configurations
+    of most worth, and uses each until a part ``STEP`` of its scarcest length is covered.
     """
     price = sizes / capacity
     chosen: list[tuple[float, dict[int, int]]] = []
     for _ in range(pricings):
-        config = dearest(sizes, price, counts, capacity)
-        at = np.fromiter(config, np.int64, len(config))
-        times = np.fromiter(config.values(), np.float64, len(config))
-        uses = STEP * (counts[at] / times).min()
-        chosen.append((uses, config))
-        price[at] *= np.exp(-STEP * uses * times / counts[at])
+        for config in dearest(sizes, price, counts, capacity):
+            at = np.fromiter(config, np.int64, len(config))
+            times = np.fromiter(config.values(), np.float64, len(config))
+            uses = STEP * (counts[at] / times).min()
+            chosen.append((uses, config))
+            price[at] *= np.exp(-STEP * uses * times / counts[at])
     return chosen
 
 
 def pack_rest(
-    sizes: np.ndarray, counts: np.ndarray, capacity: int, open_at: list[list[int]],
-) -> tuple[list[dict[int, int]], list[tuple[int, int]]]:
-    """Best fit, longest first: new sequences, and items (open sequence, size) put into the open ones' free room."""
-    free = sorted((room, k) for k, (room,) in enumerate(open_at) if room)
-    new: list[dict[int, int]] = []
-    added: list[tuple[int, int]] = []
-    for at in np.argsort(sizes)[::-1]:
-        size = int(sizes[at])
-        for _ in range(int(counts[at])):
-            i = bisect_left(free, (size, -1 << 60))
-            if i == len(free):
-                new.append({size: 1})
-                if capacity > size:
-                    insort(free, (capacity - size, -len(new)))
-                continue
-            room, k = free.pop(i)
-            if k < 0:
-                new[-k - 1][size] = new[-k - 1].get(size, 0) + 1
+    sizes: list[int], counts: dict[int, int], capacity: int, plan: list[tuple[int, dict[int, int]]],
+) -> list[tuple[int, dict[int, int]]]:
+    """Best fit, longest first, of what rounding leaves, into the free room of the plan and then into new sequences.
+
+    Equal sequences are handled together, so that the work depends on the number of lengths and configurations.
+    """
+    by_room: dict[int, list[tuple[int, dict[int, int]]]] = {}
+    rooms: list[int] = []
+
+    def put(copies: int, config: dict[int, int], room: int) -> None:
+        if copies:
+            if room not in by_room:
+                insort(rooms, room)
+            by_room.setdefault(room, []).append((copies, config))
+
+    for copies, config in plan:
+        put(copies, config, capacity - sum(s * k for s, k in config.items()))
+    for size in sorted(sizes, reverse=True):
+        n = counts[size]
+        while n:
+            i = bisect_left(rooms, size)
+            if i < len(rooms):
+                room = rooms[i]
+                copies, config = by_room[room].pop()
+                if not by_room[room]:
+                    del by_room[room], rooms[i]
             else:
-                added.append((k, size))
-            if room > size:
-                insort(free, (room - size, k))
-    return new, added
+                room, copies, config = capacity, n, {}
+            each = min(room // size, n)
+            used = min(copies, n // each)
+            put(used, {**config, size: config.get(size, 0) + each}, room - each * size)
+            if config:
+                put(copies - used, config, room)
+            n -= used * each
+    return [row for rows in by_room.values() for row in rows]
 
 
 def plan_sequences(
@@ -131,8 +153,8 @@ def plan_sequences(
     """(copies, {length: items}) that use exactly the given counts of lengths, in as few sequences as it can.
 
     Each round solves the program for what is left, rounds the uses down and takes them off the counts; uses that the
-    counts no longer bear are lowered. What rounding leaves over is bounded by the number of configurations; it goes,
-    longest first, into the fullest sequence with room. Work depends on ``capacity`` only.
+    counts no longer bear are lowered. What rounding leaves over goes, longest first, into the fullest sequences with
+    room. The work depends on the lengths that occur, not on how many pieces have them.
     """
     left = dict(lengths)
     plan: list[tuple[int, dict[int, int]]] = []
@@ -151,19 +173,7 @@ def plan_sequences(
                 plan.append((copies, config))
                 for s, k in config.items():
                     left[s] -= copies * k
-    left = {size: n for size, n in left.items() if n}
-    if not left:
-        return plan
-    sizes = np.array(sorted(left), np.int64)
-    counts = np.array([left[s] for s in sizes.tolist()], np.int64)
-    # One copy of each rounded configuration is open for what is left over.
-    singles = [config for copies, config in plan for _ in range(min(copies, 1))]
-    rest = [(copies - 1, config) for copies, config in plan if copies > 1]
-    new, added = pack_rest(sizes, counts, capacity, [[capacity - sum(s * k for s, k in c.items())] for c in singles])
-    singles = [dict(c) for c in singles]
-    for k, size in added:
-        singles[k][size] = singles[k].get(size, 0) + 1
-    return rest + [(1, c) for c in singles + new]
+    return pack_rest([size for size, n in left.items() if n], left, capacity, plan)
 
 
 def slots(plan: list[tuple[int, dict[int, int]]]) -> pd.DataFrame:
