@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from activity_lake.llm.common import documents
 from activity_lake.llm.exact import exact_dedup
+from activity_lake.llm.language import predict_language, train_languages
 from activity_lake.llm.line_rules import line_rules
 from activity_lake.llm.packing import pack_documents
 from activity_lake.llm.simhash import fingerprint_hex, simhash_groups
 from activity_lake.llm.substrings import substring_dedup
 from activity_lake.llm.token_files import read_token_files, write_token_files
+from activity_lake.llm.toxicity import score_toxicity, train_toxicity
 from activity_lake.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +105,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query("op4_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return predict_language(docs, train_languages(docs))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score_toxicity(docs, train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
