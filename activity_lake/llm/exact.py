@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import BLANKS, id_and_text, keep_rows, stage
+from activity_lake.llm.common import BLANKS, column, id_and_text, keep_rows, stage
 
 PREFIX_CHARS = 64
 
@@ -64,3 +64,23 @@ def exact_dedup(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")
     return settled.unionByName(grouped)
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, with all their columns, that ``exact_dedup`` keeps.
+
+    Where ids are unique they name the rows. Otherwise a row is named by its id and its digest, and of rows that repeat
+    both one stays.
+    """
+    n, ids = docs.agg(F.count("*"), F.count_distinct(column(id_col))).first()
+    repeated = n != ids
+    kept = exact_dedup(docs, id_col, text_col, digest_all=repeated).filter("kept")
+    if not repeated:
+        return keep_rows(docs, kept.select("doc_id"), id_col)
+    text = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    marked = docs.withColumn("exact_digest", F.sha2(normal_text(text), 256)).withColumn(
+        "exact_id", column(id_col).cast("long"))
+    return marked.join(
+        kept.select(F.col("doc_id").alias("exact_kept"), F.col("text_sha256").alias("exact_text")),
+        F.col("exact_id").eqNullSafe(F.col("exact_kept")) & (F.col("exact_digest") == F.col("exact_text")), "left_semi",
+    ).dropDuplicates(["exact_id", "exact_digest"]).drop("exact_id", "exact_digest")

@@ -12,9 +12,11 @@ from activity_lake.llm.common import documents
 from activity_lake.llm.exact import exact_dedup
 from activity_lake.llm.language import predict_language, train_languages
 from activity_lake.llm.line_rules import line_rules
+from activity_lake.llm.merge_dropout import decode_ids, encode_with_dropout
 from activity_lake.llm.packing import pack_documents
 from activity_lake.llm.simhash import fingerprint_hex, simhash_groups
 from activity_lake.llm.substrings import substring_dedup
+from activity_lake.llm.token_counts import count_tokens
 from activity_lake.llm.token_files import read_token_files, write_token_files
 from activity_lake.llm.toxicity import score_toxicity, train_toxicity
 from activity_lake.session import new_path
@@ -117,3 +119,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return score_toxicity(docs, train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@query("op6_merge_dropout")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = encode_with_dropout(documents(spark, sf_dir), model, seed=17, dropout=0.1)
+    return decode_ids(encoded, model).select(
+        "doc_id", F.expr("length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -190,16 +190,25 @@ def train_toxicity(
     return Classifier(known, weights, bias)
 
 
+def scorer(model: Classifier):
+    known = Known(model.buckets)
+
+    def score(texts: Iterable[bytes]) -> np.ndarray:
+        z = []
+        for text in texts:
+            at, strength = features(text, known)
+            z.append(model.bias + model.weights[at] @ strength)
+        return logistic(np.array(z, float))
+
+    return score
+
+
 def _score(model: Classifier):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Known(model.buckets)
+        score = scorer(model)
         for batch in batches:
-            z = []
-            for text in batch.column("text").to_pylist():
-                at, strength = features(text, known)
-                z.append(model.bias + model.weights[at] @ strength)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(logistic(np.array(z, float)), pa.float64())], ["doc_id", "score"])
+                [batch.column("doc_id"), pa.array(score(batch.column("text").to_pylist()))], ["doc_id", "score"])
 
     return run
 
@@ -217,3 +226,15 @@ def score_toxicity(
         _score(model), "doc_id long, score double",
     ).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
              (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, model: Classifier, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """Rows of ``docs``, with all their columns, whose whole text scores below ``threshold``; null text is empty."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = scorer(model)
+        for batch in batches:
+            yield batch.filter(pa.array(score((t or "").encode() for t in batch.column(at).to_pylist()) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
