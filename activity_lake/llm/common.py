@@ -34,10 +34,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return write_stage(df, name=name)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its names."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def keep_rows(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose id is in the one column of ``ids``, with exactly the columns of ``docs``."""
-    wanted = ids.toDF("kept_doc_id")
-    return docs.join(wanted, column(id_col).cast("long").eqNullSafe(F.col("kept_doc_id")), "left_semi")
+    name = fresh(docs, "wanted_id")
+    return docs.join(ids.toDF(name), column(id_col).cast("long").eqNullSafe(column(name)), "left_semi")
 
 
 def bins_of(df: DataFrame, rows_per_bin: int) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import BLANKS, column, id_and_text, keep_rows, stage
+from activity_lake.llm.common import BLANKS, column, fresh, id_and_text, keep_rows, stage
 
 PREFIX_CHARS = 64
 
@@ -77,10 +77,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = exact_dedup(docs, id_col, text_col, digest_all=repeated).filter("kept")
     if not repeated:
         return keep_rows(docs, kept.select("doc_id"), id_col)
+    number, digest = fresh(docs, "number"), fresh(docs, "digest")
+    kept_number, kept_digest = fresh(docs, "kept_number"), fresh(docs, "kept_digest")
     text = F.coalesce(column(text_col).cast("string"), F.lit(""))
-    marked = docs.withColumn("exact_digest", F.sha2(normal_text(text), 256)).withColumn(
-        "exact_id", column(id_col).cast("long"))
+    marked = docs.withColumn(digest, F.sha2(normal_text(text), 256)).withColumn(number, column(id_col).cast("long"))
     return marked.join(
-        kept.select(F.col("doc_id").alias("exact_kept"), F.col("text_sha256").alias("exact_text")),
-        F.col("exact_id").eqNullSafe(F.col("exact_kept")) & (F.col("exact_digest") == F.col("exact_text")), "left_semi",
-    ).dropDuplicates(["exact_id", "exact_digest"]).drop("exact_id", "exact_digest")
+        kept.select(F.col("doc_id").alias(kept_number), F.col("text_sha256").alias(kept_digest)),
+        column(number).eqNullSafe(column(kept_number)) & (column(digest) == column(kept_digest)), "left_semi",
+    ).dropDuplicates([number, digest]).drop(number, digest)

@@ -83,7 +83,7 @@ def chain_masks() -> list[tuple[int, int]]:
 def finer_masks(mask: int) -> list[int]:
     """Masks that share one of four equal parts of the open bits more: three differing bits leave one part alike."""
     rest = [b for b in range(64) if not mask >> b & 1]
-    return [mask | sum(1 << b for b in part) for part in np.array_split(rest, MAX_BITS + 1)]
+    return [mask | sum(1 << b for b in part) for part in (p.tolist() for p in np.array_split(rest, MAX_BITS + 1))]
 
 
 def linked(differing: np.ndarray, start: int) -> np.ndarray:
