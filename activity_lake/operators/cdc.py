@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from activity_lake.schemas import envelope
 
+# One transaction gives its changes the same time; their places in the log differ.
+EVENT_ORDER = ("ts_ms", "lsn")
+
 
 def cdc_parse(df: DataFrame, row: T.StructType, with_event: bool = True) -> DataFrame:
     """Message bytes or text as a typed envelope ``data``; unreadable ones become null.
@@ -22,8 +25,8 @@ def cdc_parse(df: DataFrame, row: T.StructType, with_event: bool = True) -> Data
 def cdc_flatten(parsed: DataFrame, with_event: bool = False) -> DataFrame:
     """The new row image as columns.
 
-    ``with_event`` adds ``op`` and ``ts_ms`` and takes the id of a deleted row
-    from its old image.
+    ``with_event`` adds ``op``, ``ts_ms`` and ``lsn``, the place in the source's
+    log, and takes the id of a deleted row from its old image.
     """
     if not with_event:
         return parsed.select("data.payload.after.*")
@@ -34,6 +37,7 @@ def cdc_flatten(parsed: DataFrame, with_event: bool = False) -> DataFrame:
         *[F.col(f"data.payload.after.{n}").alias(n) for n in names],
         F.col("data.payload.op").alias("op"),
         F.col("data.payload.ts_ms").alias("ts_ms"),
+        F.col("data.payload.source.lsn").alias("lsn"),
     )
 
 
@@ -52,21 +56,22 @@ def cdc_events(raw: DataFrame, row: T.StructType) -> DataFrame:
     return cdc_upserts(cdc_flatten(cdc_parse(raw, row), with_event=True))
 
 
-def latest_state(log: DataFrame, key: str = "id", order: tuple[str, ...] = ("ts_ms",)) -> DataFrame:
-    """Last row of each key.
+def latest_state(log: DataFrame, key: str = "id", order: tuple[str, ...] | None = None) -> DataFrame:
+    """Last row of each key, by time and then by place in the source's log.
 
     Filtering the row number to 1 lets Spark keep only the best row of each
     key per task before the shuffle, so a key with very many events does not
     gather in one task. Ties in ``order`` fall to a hash of the row, so that a
-    recomputed task chooses the same one.
+    recomputed task chooses the same one; changes with a place have none.
     """
+    order = order or tuple(c for c in EVENT_ORDER if c in log.columns)
     last_first = Window.partitionBy(key).orderBy(
         *[F.col(c).desc_nulls_last() for c in order], F.xxhash64(*log.columns))
     return log.withColumn("_n", F.row_number().over(last_first)).filter("_n = 1").drop("_n")
 
 
 def latest_state_with_deletes(
-    events: DataFrame, key: str = "id", order: tuple[str, ...] = ("ts_ms",), op: str = "op"
+    events: DataFrame, key: str = "id", order: tuple[str, ...] | None = None, op: str = "op"
 ) -> DataFrame:
     """Last row of each key whose last event is not a delete."""
     alive = F.coalesce(F.col(op) != "d", F.lit(True))

@@ -44,20 +44,23 @@ def default_comments(context: DataFrame) -> DataFrame:
     return context.select("id", default_comment("situation").alias("comment"))
 
 
-def build_prompts(df: DataFrame, cols: list[str] | None = None, size: int = BATCH_SIZE) -> DataFrame:
+def build_prompts(
+    df: DataFrame, cols: list[str] | None = None, size: int = BATCH_SIZE, instructions: str | None = None
+) -> DataFrame:
     """One prompt per batch: instructions and the batch as a JSON list.
 
     Rows without a ``batch`` are numbered first. A batch has at most ``size``
     rows, which bounds the collected list.
     """
     row = F.struct(*(cols or schemas.COMMENT_CONTEXT))
+    instructions = INSTRUCTIONS if instructions is None else instructions
     numbered = df if "batch" in df.columns else with_batch(df, size)
     gathered = numbered.groupBy("batch").agg(
         F.count("*").alias("rows"),
         F.to_json(F.sort_array(F.collect_list(row)), {"ignoreNullFields": "false"}).alias("context"),
     )
     return gathered.select(
-        "batch", "rows", F.concat(F.lit(INSTRUCTIONS), F.col("context")).alias("prompt"))
+        "batch", "rows", F.concat(F.lit(instructions), F.col("context")).alias("prompt"))
 
 
 def score_batches(
@@ -95,7 +98,8 @@ def score_batches(
             yield frame.assign(answer=answers, writer=used, error=errors)
 
     if parallel:
-        prompts = prompts.repartition(parallel, "batch")
+        # Without a key: a shuffle by batch would be taken for the one below it, and coalesced.
+        prompts = prompts.repartition(parallel)
     names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema)
     scored = prompts.mapInPandas(answer_all, f"{names}, answer string, writer string, error string")
     return scored.withColumns({

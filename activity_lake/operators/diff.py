@@ -16,12 +16,13 @@ def fingerprint(df: DataFrame, cols: list[str] | None = None, algorithm: str = "
 
     Columns must have their declared types, since a value's text enters the
     hash; timestamps enter as epoch microseconds. ``xxhash64`` is the faster,
-    64-bit choice.
+    64-bit choice; it skips nulls, so each value enters with its null flag.
     """
     cols = cols or schemas.FINGERPRINT_COLUMNS
     types = dict(df.dtypes)
     parts = [epoch_micros(c) if types[c].startswith("timestamp") else F.col(c) for c in cols]
-    value = digest(*parts) if algorithm == "md5" else F.xxhash64(*parts).cast("string")
+    value = digest(*parts) if algorithm == "md5" else F.xxhash64(
+        *[x for p in parts for x in (p.isNull(), p)]).cast("string")
     return df.withColumn("fingerprint", value)
 
 
@@ -155,18 +156,24 @@ def pending(actions: DataFrame) -> DataFrame:
     return actions.filter(~old)
 
 
+def chosen_actions(actions: DataFrame, key: str = "id") -> DataFrame:
+    """One pending action per key; of several, that with the greatest fingerprint."""
+    last = Window.partitionBy(key).orderBy(
+        F.col("fingerprint").desc_nulls_last() if "fingerprint" in actions.columns else F.col("status"))
+    return pending(actions).withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n")
+
+
 def apply_changes(target: DataFrame, actions: DataFrame, key: str = "id") -> DataFrame:
     """The target with new, modified and deleted rows carried out.
 
     Untouched rows pass an anti join with the touched keys: when the actions
     are small it is a broadcast and the target is not shuffled at all. Write
     the result to a new folder, never over the one ``target`` is read from, and
-    give ``actions`` as a written table, as they are read twice. Should one key have several actions, the greatest fingerprint wins.
+    give ``actions`` as a written table, as they are read twice. It writes the
+    whole target; ``streaming.state.record_changes`` writes the changes alone.
     """
     todo = pending(actions)
-    last = Window.partitionBy(key).orderBy(
-        F.col("fingerprint").desc_nulls_last() if "fingerprint" in actions.columns else F.col("status"))
-    chosen = todo.withColumn("_n", F.row_number().over(last)).filter("_n = 1")
+    chosen = chosen_actions(actions, key)
     kept = target.join(todo.select(key).distinct(), key, "left_anti").select(*target.columns)
     written = chosen.filter(F.col("status") != "deleted").select(*target.columns)
     return kept.unionByName(written)

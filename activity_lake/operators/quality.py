@@ -158,19 +158,28 @@ def ranked_status(place: Column) -> Column:
     return F.element_at(F.array(*[F.lit(s) for s in RANKED]), place.cast("int"))
 
 
-def violations(df: DataFrame, suite: list[Rule]) -> DataFrame:
+def violations(
+    df: DataFrame, suite: list[Rule], stored: str | None = None, dropping: bool = False
+) -> DataFrame:
     """One row per broken rule and row: ``position, rule, reference, value``.
 
-    All rules on single rows share one scan.
+    None is left out. All rules on single rows share one scan. ``stored`` names
+    a struct of the columns as they are stored; references and values then
+    come from there, so that columns made readable for the tests are not shown.
+    ``dropping`` looks at the rules that drop rows only, and evaluates no other.
     """
+    def shown(name: str) -> Column:
+        return (F.col(stored)[name] if stored else F.col(name)).cast("string")
+
     def entry(position: int, rule: Rule) -> Column:
         return F.struct(
             F.lit(position).alias("position"), F.lit(rule.description).alias("rule"),
-            F.col(rule.reference).cast("string").alias("reference"),
-            F.col(rule.column).cast("string").alias("value"),
+            shown(rule.reference).alias("reference"), shown(rule.column).alias("value"),
         )
 
-    numbered = list(enumerate(suite, 1))
+    numbered = [(p, r) for p, r in enumerate(suite, 1) if not (dropping and r.keep_row)]
+    if not numbered:
+        return df.sparkSession.createDataFrame([], "position int, rule string, reference string, value string")
     direct = [(p, r) for p, r in numbered if not isinstance(r, ByValue)]
     parts = [
         r.violating(df).select(entry(p, r).alias("v")).select("v.*")
@@ -182,8 +191,8 @@ def violations(df: DataFrame, suite: list[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def samples(df: DataFrame, suite: list[Rule], size: int = SAMPLE_SIZE) -> DataFrame:
-    """The first broken rows per rule as text, for reading.
+def samples(found: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
+    """The first violations per rule as text, for reading.
 
     The row limit is applied per task before the shuffle, so the collected
     lists stay short whatever the number of violations.
@@ -192,18 +201,29 @@ def samples(df: DataFrame, suite: list[Rule], size: int = SAMPLE_SIZE) -> DataFr
         F.coalesce("reference", F.lit("null")), F.lit(" -> "), F.coalesce("value", F.lit("null")))
     first = Window.partitionBy("position").orderBy("shown")
     return (
-        violations(df, suite).select("position", shown.alias("shown"))
+        found.select("position", shown.alias("shown"))
         .withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= size)
         .groupBy("position")
         .agg(F.concat_ws("; ", F.array_sort(F.collect_list("shown"))).alias("sample"))
     )
 
 
-def run_suite(df: DataFrame, suite: list[Rule], with_sample: bool = True) -> DataFrame:
+def settle(df: DataFrame, suite: list[Rule]) -> list[Rule]:
+    """The suite with its by-value rules looked up, each by one aggregate."""
+    return [r.settled(df) if isinstance(r, ByValue) else r for r in suite]
+
+
+def run_suite(
+    df: DataFrame, suite: list[Rule], with_sample: bool = True, sample_size: int = SAMPLE_SIZE
+) -> DataFrame:
     """Report with one row per rule.
 
-    ``position, rule, severity, result, broken`` and, if asked for, ``sample``.
+    ``position, rule, severity, result, broken`` and, if asked for, ``sample``:
+    the first ``sample_size`` violations, a reading aid. ``violations`` lists
+    them all. Counts are exact.
     """
+    if with_sample:
+        suite = settle(df, suite)
     numbered = list(enumerate(suite, 1))
     direct = [(p, r) for p, r in numbered if not isinstance(r, ByValue)]
     parts = [
@@ -214,19 +234,32 @@ def run_suite(df: DataFrame, suite: list[Rule], with_sample: bool = True) -> Dat
         counted = df.agg(*[F.count_if(r.broken()).alias(f"_{p}") for p, r in direct])
         cells = [F.struct(F.lit(p).alias("position"), F.col(f"_{p}").alias("broken")) for p, _ in direct]
         parts.append(counted.select(F.explode(F.array(*cells)).alias("c")).select("c.*"))
-    counts = reduce(DataFrame.unionByName, parts)
+    report = _report(reduce(DataFrame.unionByName, parts), suite)
+    if not with_sample:
+        return report
+    return report.join(samples(violations(df, suite), sample_size), "position", "left")
+
+
+def report_of(found: DataFrame, suite: list[Rule], sample_size: int = SAMPLE_SIZE) -> DataFrame:
+    """The same report from the listed violations, which are a written table."""
+    positions = range(1, len(suite) + 1)
+    counted = found.agg(*[F.count_if(F.col("position") == p).alias(f"_{p}") for p in positions])
+    cells = [F.struct(F.lit(p).alias("position"), F.col(f"_{p}").alias("broken")) for p in positions]
+    counts = counted.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    return _report(counts, suite).join(samples(found, sample_size), "position", "left")
+
+
+def _report(counts: DataFrame, suite: list[Rule]) -> DataFrame:
+    numbered = enumerate(suite, 1)
     # The suite itself is a short list, so its texts go in as a literal map.
     texts = F.create_map(*[c for p, r in numbered for c in (
         F.lit(p), F.struct(F.lit(r.description).alias("rule"), F.lit(r.severity).alias("severity")))])
     about = texts[F.col("position")]
     result = F.when(F.col("broken") == 0, SUCCESS).when(F.col("severity") == FAILED, FAILED).otherwise(WARNING)
-    report = (
+    return (
         counts.select("position", about["rule"].alias("rule"), about["severity"].alias("severity"), "broken")
         .withColumn("result", result)
     )
-    if not with_sample:
-        return report
-    return report.join(samples(df, suite), "position", "left")
 
 
 def suite_status(report: DataFrame) -> DataFrame:
@@ -258,8 +291,7 @@ def clean(df: DataFrame, suite: list[Rule], status: str | None = None) -> DataFr
 
 def quarantine(df: DataFrame, suite: list[Rule]) -> DataFrame:
     """What cleaning drops: rule, reference and value of each reason."""
-    kept = {p for p, r in enumerate(suite, 1) if r.keep_row}
-    return violations(df, suite).filter(~F.col("position").isin(list(kept)) if kept else F.lit(True))
+    return violations(df, suite, dropping=True)
 
 
 def publish(
@@ -267,56 +299,77 @@ def publish(
     suite: list[Rule],
     path: str,
     reveal: Callable[[DataFrame], DataFrame] | None = None,
+    violations_path: str | None = None,
+    sample_size: int = SAMPLE_SIZE,
 ) -> tuple[str, DataFrame]:
     """Write, audit, publish.
 
     The staged copy feeds report and result alike. Nothing is written to
-    ``path`` when the suite fails. ``reveal`` makes encrypted columns readable
-    for the audit alone; stage and result keep them as given. Returns the
+    ``path`` when the suite fails. All violations are written, with the severity
+    of their rule and whether they drop the row, to ``violations_path`` if it
+    is given; the report samples them. ``reveal`` makes encrypted columns
+    readable for the tests alone: stage, violations, report and result keep
+    them as given, and no by-value rule may be on such a column. Returns the
     status and the report.
     """
     written = write_stage(df, name="audit")
-    staged = reveal(written) if reveal else written
-    suite = [r.settled(staged) if isinstance(r, ByValue) else r for r in suite]
-    report = write_stage(run_suite(staged, suite), name="report")
+    stored = "_stored" if reveal else None
+    staged = reveal(written.withColumn(stored, F.struct(*df.columns))) if reveal else written
+    suite = settle(staged, suite)
+    about = F.create_map(*[c for p, r in enumerate(suite, 1) for c in (
+        F.lit(p), F.struct(F.lit(r.severity).alias("severity"), F.lit(not r.keep_row).alias("drops_row")))])
+    found = write_stage(
+        violations(staged, suite, stored).select("*", about[F.col("position")].alias("_about")).select(
+            "position", "rule", "_about.*", "reference", "value"), violations_path, name="violations")
+    report = write_stage(report_of(found, suite, sample_size), name="report")
     status = status_of(report)
     if status != FAILED:
-        if reveal:
-            # Carry the stored columns along and publish those.
-            staged = reveal(written.withColumn("_stored", F.struct(*df.columns)))
-            valid = clean(staged, suite, status).select("_stored.*")
-        else:
-            valid = clean(staged, suite, status)
-        valid.write.mode("overwrite").parquet(path)
+        valid = clean(staged, suite, status)
+        (valid.select(f"{stored}.*") if stored else valid).write.mode("overwrite").parquet(path)
     return status, report
 
 
-def reconcile(hr: DataFrame, sport: DataFrame, merged: DataFrame) -> DataFrame:
+def reconcile(
+    hr: DataFrame, sport: DataFrame, merged: DataFrame, audited: DataFrame | None = None
+) -> DataFrame:
     """Four checks after the merge: ``position, rule, severity, found, result``.
 
     Compared with the cleaned HR set, so that rows dropped by validation do
-    not count as lost.
+    not count as lost. ``audited`` has the ids of all employees that were
+    audited, dropped ones too: the sport of an employee dropped for another
+    reason is no orphan. One aggregate over the ids answers all four.
     """
-    def entry(position: int, rule: str, severity: str, found: str) -> Column:
-        return F.struct(
-            F.lit(position).alias("position"), F.lit(rule).alias("rule"),
-            F.lit(severity).alias("severity"), F.col(found).cast("long").alias("found"))
-
-    signed = hr.select(F.lit(1).alias("n")).unionAll(merged.select(F.lit(-1).alias("n")))
-    lost = signed.agg(F.abs(F.coalesce(F.sum("n"), F.lit(0))).alias("found"))
-    without = merged.select("id").join(sport.select("id").distinct(), "id", "left_anti")
-    extra = sport.join(merged.select("id").distinct(), "id", "left_anti").agg(
-        F.count("*").alias("found"), F.count("sport_type").alias("declared"))
+    def side(df: DataFrame, declared: Column = F.lit(0), **flags: int) -> DataFrame:
+        marks = [F.lit(flags.get(f, 0)).alias(f) for f in ("hr", "merged", "sport", "known")]
+        return df.select(F.col("id").cast("string").alias("id"), *marks, declared.alias("declared"))
+
+    known = merged if audited is None else audited
+    sides = [
+        side(hr, hr=1), side(merged, merged=1), side(known, known=1),
+        side(sport, F.col("sport_type").isNotNull().cast("int"), sport=1),
+    ]
+    by_id = reduce(DataFrame.unionByName, sides).groupBy("id").agg(
+        *[F.sum(c).alias(c) for c in ("hr", "merged", "sport", "known", "declared")])
+    matched = lambda c: F.col("id").isNotNull() & (F.col(c) > 0)  # noqa: E731  a null id matches nothing
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).cast("long")
+
+    found = by_id.agg(
+        F.abs(total(F.col("hr") - F.col("merged"))).alias("_1"),
+        total(F.when(~matched("sport"), F.col("merged"))).alias("_2"),
+        total(F.when(~matched("known"), F.col("sport"))).alias("_3"),
+        total(F.when(~matched("known"), F.col("declared"))).alias("_4"))
     # Severities of the four checks.
-    checks = [
-        (lost, [entry(1, "every employee kept", FAILED, "found")]),
-        (without.agg(F.count("*").alias("found")), [entry(2, "every employee has a sport row", WARNING, "found")]),
-        (extra, [entry(3, "no sport row without employee", WARNING, "found"),
-                 entry(4, "no declared sport without employee", FAILED, "declared")]),
+    rules = [("every employee kept", FAILED), ("every employee has a sport row", WARNING),
+             ("no sport row without employee", WARNING), ("no declared sport without employee", FAILED)]
+    entries = [
+        F.struct(F.lit(p).alias("position"), F.lit(rule).alias("rule"), F.lit(severity).alias("severity"),
+                 F.col(f"_{p}").alias("found"))
+        for p, (rule, severity) in enumerate(rules, 1)
     ]
-    parts = [frame.select(F.explode(F.array(*entries)).alias("c")).select("c.*") for frame, entries in checks]
     failed = F.when(F.col("found") == 0, SUCCESS).otherwise(F.col("severity"))
-    return reduce(DataFrame.unionByName, parts).withColumn("result", failed)
+    return found.select(F.explode(F.array(*entries)).alias("c")).select("c.*").withColumn("result", failed)
 
 
 def orphan_sports(sport: DataFrame, merged: DataFrame) -> DataFrame:

@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 from activity_lake.functions.text import normalize_text, strip
 from activity_lake.sources.tables import write_stage
 
-# Order of the join indicator; it is not the order of the texts.
+# Order of the join indicator; it is not the order of the texts.
 INDICATOR_ORDER = ["left_only", "right_only", "both"]
+# Files whose rows are summed together when rows are numbered.
+PARTS_PER_BLOCK = 1000
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -48,16 +50,21 @@ def merge_hr_sport(hr: DataFrame, sport: DataFrame) -> DataFrame:
     return hr.join(sport, "id", "left")
 
 
-def merge_indicator(left: DataFrame, right: DataFrame, on: list[str], how: str = "outer") -> DataFrame:
+def merge_indicator(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "outer", unique: bool = False
+) -> DataFrame:
     """Join that says in ``_merge`` which side each row came from.
 
     Other columns of both sides take the left value where there is a left row
     and the right value otherwise. An outer join is a left join plus the right
     rows without a partner: a full outer join would buffer all rows of a key.
+    ``unique`` states that no key repeats on either side; one join then does.
     """
     names = on + [c for c in left.columns if c not in on]
     names += [c for c in right.columns if c not in names]
     only_right = [c for c in right.columns if c not in left.columns]
+    if unique:
+        return _merge_unique(left, right, on, how, names)
     marked = right.select(*on, *only_right, F.lit(True).alias("_found"))
     merged = left.join(marked, on, "left").withColumn(
         "_merge", F.when(F.col("_found"), "both").otherwise("left_only"))
@@ -73,6 +80,23 @@ def merge_indicator(left: DataFrame, right: DataFrame, on: list[str], how: str =
     return merged.unionByName(rest)
 
 
+def _merge_unique(left: DataFrame, right: DataFrame, on: list[str], how: str, names: list[str]) -> DataFrame:
+    ours = left.select(*on, F.struct(*left.columns).alias("_left"))
+    theirs = right.select(*on, F.struct(*right.columns).alias("_right"))
+    both = ours.join(theirs, on, "full_outer" if how == "outer" else "left")
+    types = {**dict(right.dtypes), **dict(left.dtypes)}
+
+    def value(c: str) -> Column:
+        if c not in left.columns:
+            return F.col("_right")[c]
+        if c not in right.columns:
+            return F.col("_left")[c]
+        return F.when(F.col("_left").isNotNull(), F.col("_left")[c]).otherwise(F.col("_right")[c])
+
+    side = F.when(F.col("_left").isNull(), "right_only").when(F.col("_right").isNull(), "left_only").otherwise("both")
+    return both.select(*[value(c).cast(types[c]).alias(c) for c in names], side.alias("_merge"))
+
+
 def _keys(df: DataFrame, on: list[str]) -> DataFrame:
     return write_stage(df.select(*on).distinct(), name="keys")
 
@@ -189,9 +213,18 @@ def with_batch(df: DataFrame, size: int = 100, order: tuple[str, ...] = ()) -> D
     staged = write_stage(df.orderBy(*order) if order else df, name="batches")
     placed = staged.select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # Files are numbered as parts, with five digits or more: order by the number.
+    # Their rows are summed in blocks of parts, so that no task sees all files.
+    part = F.regexp_extract("_file", r"/part-(\d+)-[^/]*$", 1).cast("long")
     files = placed.groupBy("_file").count().select(
-        "_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift"))
+        "_file", "count", part.alias("_part"), F.floor(part / PARTS_PER_BLOCK).alias("_block"))
+    files = write_stage(files, name="parts")
+    within = Window.partitionBy("_block").orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = files.groupBy("_block").agg(F.sum("count").alias("_rows")).select(
+        "_block", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_earlier"))
+    files = files.withColumn("_within", F.coalesce(F.sum("count").over(within), F.lit(0))).join(
+        blocks, "_block").select("_file", (F.col("_earlier") + F.col("_within")).alias("_shift"))
     numbered = placed.join(write_stage(files, name="files"), "_file")
     batch = F.floor((F.col("_shift") + F.col("_row")) / size)
     return numbered.select(*df.columns, batch.alias("batch"))

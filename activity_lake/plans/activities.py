@@ -13,13 +13,13 @@ from activity_lake.operators.comments import (
     BATCH_SIZE, build_prompts, comment_context, default_comments, parse_answers, score_batches, token_records,
 )
 from activity_lake.operators.diff import (
-    apply_changes, diff_gate, diff_labels, diff_summary, fingerprint, snapshot_diff,
+    apply_changes, change_audit, change_counts, diff_gate, diff_labels, diff_summary, fingerprint, snapshot_diff,
 )
-from activity_lake.operators.quality import FAILED, publish
+from activity_lake.operators.quality import FAILED, SUCCESS, WARNING, publish
 from activity_lake.operators.shaping import attach_comments, conform, with_batch
 from activity_lake.plans.suites import activity_suite
 from activity_lake.session import new_path
-from activity_lake.sources.tables import append_token_records, write_stage
+from activity_lake.sources.tables import append_token_records, job_stages, write_stage
 
 
 def comment_actions(
@@ -29,21 +29,37 @@ def comment_actions(
     writers: dict[str, Callable[[str], str]] | None = None,
     pause: float = 0.0,
     token_path: str | None = None,
+    parallel: int | None = None,
+    rejects_path: str | None = None,
+    instructions: str | None = None,
 ) -> DataFrame:
     """Write comments for the new images and encrypt them.
 
     Batches are numbered before names are added, and answers are staged
-    encrypted and without their prompts: no stage names people. ``token_path`` gets a token record per answered batch.
+    encrypted and without their prompts: no stage names people. ``token_path``
+    gets a token record per answered batch. ``parallel`` tasks call the
+    writers, as many as the cluster has cores if it is not given. A new image
+    whose batch failed, could not be read or left its id out gets the default
+    comment; ``rejects_path`` lists these ids with the writers' errors.
     """
+    spark = actions.sparkSession
     plain = decrypt(employees.select("id", "first_name", "last_name"), ["first_name", "last_name"], key)
     if writers:
         fresh = with_batch(actions.filter(F.col("_merge") == "left_only"), BATCH_SIZE)
-        prompts = build_prompts(comment_context(fresh, plain))
-        scored = score_batches(prompts, writers, pause).drop("prompt")
+        fresh = write_stage(fresh, name="numbered")
+        prompts = build_prompts(comment_context(fresh, plain), instructions=instructions)
+        parallel = parallel or spark.sparkContext.defaultParallelism
+        scored = score_batches(prompts, writers, pause, parallel).drop("prompt")
         answers = write_stage(encrypt(scored, ["answer"], key), name="answers")
         if token_path:
             append_token_records(token_records(answers), token_path)
         comments, _ = parse_answers(decrypt(answers, ["answer"], key))
+        comments = comments.filter(F.col("comment").isNotNull())
+        left_out = fresh.join(comments.select("id").distinct(), "id", "left_anti")
+        if rejects_path:
+            left_out.select("id", "batch").join(answers.select("batch", "error"), "batch", "left") \
+                .write.mode("overwrite").parquet(rejects_path)
+        comments = comments.unionByName(default_comments(comment_context(left_out, plain)))
     else:
         comments = default_comments(comment_context(actions, plain))
     return encrypt_new(attach_comments(actions, comments), "comment", key)
@@ -57,16 +73,28 @@ def ingest_activities(
     target: str,
     writers: dict[str, Callable[[str], str]] | None = None,
     token_path: str | None = None,
+    parallel: int | None = None,
+    account: str | None = None,
 ) -> dict[str, str]:
     """Audit, compare, comment and write the new version to ``target``.
 
     ``target`` must not be the folder ``stored`` is read from. Returns the
-    step statuses and whether the flow went on.
+    step statuses and whether the flow went on; with writers also whether they
+    wrote all comments. ``account`` is a folder for what the run did: all
+    ``violations``, the ``audit`` of old and new values, the ``counts`` per kind
+    of change, and the ``rejects`` of the writers. Stages are removed at the end.
     """
+    with job_stages(sheet.sparkSession):
+        return _ingest(sheet, stored, employees, key, target, writers, token_path, parallel, account)
+
+
+def _ingest(sheet, stored, employees, key, target, writers, token_path, parallel, account) -> dict[str, str]:
     spark = sheet.sparkSession
+    account = account or new_path(spark, "activities-account")
     valid_path = new_path(spark, "activities")
     status, _ = publish(
-        conform(sheet, schemas.ACTIVITY_SHEET), activity_suite(employees), valid_path)
+        conform(sheet, schemas.ACTIVITY_SHEET), activity_suite(employees), valid_path,
+        violations_path=f"{account}/violations")
     if status == FAILED:
         return {"validate": status, "continue": "NO"}
     incoming = write_stage(fingerprint(spark.read.parquet(valid_path)), name="fingerprinted")
@@ -77,7 +105,13 @@ def ingest_activities(
     gate = diff_gate(diff_summary(actions, incoming)).first()
     statuses = {"validate": status, "scan": gate["status"], "continue": gate["continue"]}
     if gate["continue"] == "YES":
-        commented = comment_actions(actions, employees, key, writers, token_path=token_path)
+        rejects = f"{account}/rejects"
+        commented = comment_actions(
+            actions, employees, key, writers, token_path=token_path, parallel=parallel, rejects_path=rejects)
         commented = write_stage(commented, name="commented")
+        if writers:
+            statuses["comments"] = SUCCESS if spark.read.parquet(rejects).isEmpty() else WARNING
+        change_counts(commented).write.mode("overwrite").parquet(f"{account}/counts")
+        change_audit(actions, schemas.FINGERPRINT_COLUMNS).write.mode("overwrite").parquet(f"{account}/audit")
         apply_changes(stored, commented).write.mode("overwrite").parquet(target)
     return statuses

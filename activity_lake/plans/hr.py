@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activity_lake.functions.business import margin_kms, with_distance
 from activity_lake.functions.dates import full_years
 from activity_lake.functions.privacy import decrypt, drop_pii, encrypt
 from activity_lake.operators.quality import (
-    FAILED, WARNING, publish, reconcile, status_of,
+    FAILED, WARNING, orphan_sports, publish, reconcile, status_of,
 )
 from activity_lake.operators.shaping import merge_hr_sport
 from activity_lake.plans.suites import hr_suite, sport_suite
 from activity_lake.session import new_path
-from activity_lake.sources.tables import table_append, write_stage
+from activity_lake.sources.tables import (
+    is_empty, job_stages, path_missing, table_append, table_scan, write_stage,
+)
 
-# Columns of the employees table.
+# Columns of the employees table, in its order.
 EMPLOYEE_COLUMNS = [
     "id", "last_name", "first_name", "age", "business_unit", "seniority_years", "vacation_days",
     "employement_contract", "salary", "transport_mode", "distance_kms", "margin_kms", "sport_type",
@@ -46,29 +48,59 @@ def ingest_hr(
     key: str,
     target: str | dict,
     policy: str = "All",
+    account: str | None = None,
 ) -> dict[str, str]:
     """Transform, audit, merge, reconcile and append; returns the step statuses.
 
-    Nothing is appended once a step has failed. Names are encrypted before
-    anything is written, the address never is written.
+    Nothing is appended once a step has failed. Employees that ``target`` has
+    already are not appended again; ``load`` is then a WARNING. Names are
+    encrypted before anything is written, the address never is written.
+    ``account`` is a folder for what the run did: all violations of both
+    sheets, the rows ``dropped``, the ``orphans`` among the sports and the ids
+    ``known`` before. Stages are removed at the end.
     """
+    with job_stages(raw.sparkSession):
+        return _ingest(raw, sport, geo, sports, company, as_of, key, target, policy, account)
+
+
+def _ingest(raw, sport, geo, sports, company, as_of, key, target, policy, account) -> dict[str, str]:
     spark, names = raw.sparkSession, ["last_name", "first_name"]
+    account = account or new_path(spark, "hr-account")
     hr_path, sport_path = new_path(spark, "hr"), new_path(spark, "sport")
     sealed = encrypt(transform_hr(raw, geo, company, as_of, policy), names, key)
-    hr_status, _ = publish(sealed, hr_suite(), hr_path, reveal=lambda df: decrypt(df, names, key))
-    sport_status, _ = publish(sport, sport_suite(sports), sport_path)
+    hr_status, _ = publish(
+        sealed, hr_suite(), hr_path, reveal=lambda df: decrypt(df, names, key), violations_path=f"{account}/hr")
+    sport_status, _ = publish(sport, sport_suite(sports), sport_path, violations_path=f"{account}/sport")
+    spark.read.parquet(f"{account}/hr").filter("drops_row").write.mode("overwrite").parquet(f"{account}/dropped")
     statuses = {"hr": hr_status, "sport": sport_status}
     if FAILED in statuses.values():
         return statuses
     hr, declared = spark.read.parquet(hr_path), spark.read.parquet(sport_path)
     merged = write_stage(merge_hr_sport(hr, declared), name="merged")
-    statuses["merge"] = status_of(reconcile(hr, declared, merged))
+    audited = write_stage(raw.select("id"), name="audited")
+    orphan_sports(declared, audited).write.mode("overwrite").parquet(f"{account}/orphans")
+    statuses["merge"] = status_of(reconcile(hr, declared, merged, audited))
     if statuses["merge"] != FAILED:
         kms = {c: F.col(c).cast("decimal(10,1)") for c in ("distance_kms", "margin_kms")}
-        table_append(merged.withColumns(kms).select(*EMPLOYEE_COLUMNS), target)
+        loaded = merged.withColumns(kms).select(*EMPLOYEE_COLUMNS)
+        if not first_load(spark, target):
+            stored = write_stage(table_scan(spark, target, ["id"]), name="stored")
+            again = loaded.join(stored.distinct(), "id", "left_semi").select("id")
+            again = write_stage(again, f"{account}/known")
+            loaded = loaded.join(stored, "id", "left_anti").select(*EMPLOYEE_COLUMNS)
+            if not again.isEmpty():
+                statuses["load"] = WARNING
+        table_append(loaded, target)
     return statuses
 
 
+def first_load(spark: SparkSession, target: str | dict) -> bool:
+    """Whether the employees table is missing or has no row."""
+    if isinstance(target, str) and path_missing(spark, target):
+        return True
+    return is_empty(table_scan(spark, target))
+
+
 def overall(statuses: dict[str, str]) -> str:
     for status in (FAILED, WARNING):
         if status in statuses.values():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -18,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # Tables written on the way have a known size; up to here they are broadcast.
+    # Compressed Parquet takes about three times its size in memory.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
     # Recording the call site of every Column costs more than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -35,6 +38,7 @@ def local_session(app: str = "activity_lake", cpus: str | int = 8, **extra: str)
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
     )
+    extra.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="activity_lake-"))
     for name, value in {**SETTINGS, **extra}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
@@ -43,12 +47,13 @@ def local_session(app: str = "activity_lake", cpus: str | int = 8, **extra: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only a master within this process may fall back to a temporary folder of
+    this machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return _local_dir(spark.sparkContext.applicationId)
 

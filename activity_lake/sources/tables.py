@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +14,9 @@ from pyspark.sql import types as T
 from activity_lake import schemas
 from activity_lake.session import new_path
 
+# Stages of the jobs that run, innermost last.
+_owned: list[list[str]] = []
+
 
 def typed_scan(
     spark: SparkSession,
@@ -18,26 +24,74 @@ def typed_scan(
     schema: T.StructType,
     header: bool = True,
     max_rows: int | None = None,
+    multi_line: bool = False,
+    reject_column: str | None = None,
 ) -> DataFrame:
     """Sheet exported as CSV; the schema names and types columns by position.
 
-    ``max_rows`` caps a trial run and is off by default.
+    Cells with line breaks need ``multi_line``, which reads each file in one
+    task. ``reject_column`` adds a column that holds the line of a row that
+    does not fit the schema and is null for the others. A line break in a cell
+    shows there by the second half of its row: the sheet then needs
+    ``multi_line``. ``max_rows`` caps a trial run and is off by default.
     """
-    sheet = (
-        spark.read.schema(schema).option("header", header).option("enforceSchema", True)
-        .option("multiLine", False).option("escape", '"').csv(path)
+    reader = (
+        spark.read.option("header", header).option("enforceSchema", True)
+        .option("multiLine", multi_line).option("escape", '"')
     )
+    if reject_column:
+        schema = T.StructType([*schema.fields, T.StructField(reject_column, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", reject_column)
+    sheet = reader.schema(schema).csv(path)
     return sheet if max_rows is None else sheet.limit(max_rows)
 
 
 def write_stage(df: DataFrame, path: str | None = None, name: str = "stage") -> DataFrame:
     """Write a stage table and return it read back, which cuts the lineage."""
     spark = df.sparkSession
-    path = path or new_path(spark, name)
+    if path is None:
+        path = new_path(spark, name)
+        if _owned:
+            _owned[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_missing(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+@contextmanager
+def job_stages(spark: SparkSession) -> Iterator[None]:
+    """Own the stages written inside and remove them at the end.
+
+    Nothing that is read after the job may still depend on them.
+    """
+    _owned.append([])
+    try:
+        yield
+    finally:
+        for path in _owned.pop():
+            remove_path(spark, path)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table, empty if nothing was written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def table_scan(
     spark: SparkSession,
     source: str | dict[str, Any],
@@ -62,7 +116,11 @@ def table_scan(
 
 
 def table_append(df: DataFrame, target: str | dict[str, Any]) -> None:
-    """Append a batch in one write job: a Parquet path or JDBC options."""
+    """Append a batch in one write job: a Parquet path or JDBC options.
+
+    A JDBC append commits per partition: a failed job may leave a part behind.
+    Append to a staging table there and move its rows in one transaction.
+    """
     if isinstance(target, dict):
         df.write.format("jdbc").options(**target).mode("append").save()
     else:

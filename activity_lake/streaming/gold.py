@@ -42,17 +42,20 @@ def start_gold(
     fmt: str = "parquet",
     partition_by: list[str] | None = None,
     once: bool = False,
+    every: str = "1 minute",
 ) -> StreamingQuery:
     """Append the stream to a table; ``once`` stops after what is there now.
 
+    Each micro-batch adds files, so ``every`` keeps them from becoming very
+    many and very small.
+
     The file sink commits each micro-batch in its log, so a repeated batch
     adds nothing. ``fmt`` may be ``delta`` where its jar is on the classpath.
     """
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if once:
-        writer = writer.trigger(availableNow=True)
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
     return writer.start(path)
 
 

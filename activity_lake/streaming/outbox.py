@@ -39,6 +39,8 @@ def start_outbox(
     """Write each micro-batch to its own folder of the outbox.
 
     A repeated batch replaces its folder, so a message is never listed twice.
+    Outbox and checkpoint belong together, as batches are numbered by the
+    checkpoint: a new checkpoint needs a new path, or it replaces old messages.
     Target ``NONE`` writes nothing.
     """
     def write(batch: DataFrame, batch_id: int) -> None:

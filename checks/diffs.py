@@ -71,7 +71,7 @@ def _(v: Views):
     return change_counts(v.actions)
 
 
-_LAST = "row_number() over (partition by id order by ts_ms desc) = 1"
+_LAST = "row_number() over (partition by id order by ts_ms desc, lsn desc) = 1"
 
 
 @check("latest_state", f"""select id, employee_id, sport, duration_sec, distance_meters, ts_ms

@@ -17,9 +17,9 @@ from checks.views import Views
 
 
 def topic(v: Views, messages) -> str:
-    """A folder of messages, one per line, as the stream source reads it."""
+    """A folder of messages, one per line, as the stream source reads it; tombstones are empty lines."""
     path = new_path(v.spark, "topic")
-    messages.filter("value is not null").write.text(path)
+    messages.select(F.coalesce("value", F.lit("")).alias("value")).write.text(path)
     return path
 
 
@@ -135,8 +135,8 @@ def _(v: Views):
 
 
 @check("inline_rows", """select label, count(*) as activities from (values ('click', 'A'), ('view', 'B'),
-  ('signup', 'A'), ('error', 'C')) t(sport, label) join activities using (sport) group by label""")
+  ('signup', 'A'), ('error', 'C'), ('purchase', 'B')) t(sport, label) join activities using (sport) group by label""")
 def _(v: Views):
-    labels = rows(v.spark, [("click", "A"), ("view", "B"), ("signup", "A"), ("error", "C")],
+    labels = rows(v.spark, [("click", "A"), ("view", "B"), ("signup", "A"), ("error", "C"), ("purchase", "B")],
                   "sport string, label string")
     return v.activities.join(labels, "sport").groupBy("label").agg(F.count("*").alias("activities"))

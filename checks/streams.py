@@ -75,7 +75,7 @@ def _(v: Views):
 
 
 @check("stream_upsert", """select id, employee_id, sport, duration_sec, distance_meters, epoch_us(begin_date) as begin_date
-  from (select * from activity_events qualify row_number() over (partition by id order by ts_ms desc) = 1)
+  from (select * from activity_events qualify row_number() over (partition by id order by ts_ms desc, lsn desc) = 1)
   where op <> 'd'""")
 def _(v: Views):
     path, checkpoint, row = new_path(v.spark, "state"), new_path(v.spark, "checkpoint"), schemas.ACTIVITY_EVENT

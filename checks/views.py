@@ -32,6 +32,7 @@ MODE = """case when c_custkey % 97 = 0 then 'Inconnu'
   when c_mktsegment = 'MACHINERY' then 'véhicule thermique/électrique'
   when c_mktsegment = 'BUILDING' then 'Marche/running'
   else 'Vélo/Trottinette/Autres' end"""
+REPAIRED = "case when transport_mode = 'Inconnu' then 'Marche/running' else transport_mode end"
 FAVOURITE = """case when c_custkey % 5 = 0 then null
   when c_nationkey % 2 = 0 then 'click' else 'purchase' end"""
 PERSON = [
@@ -74,9 +75,13 @@ RAW_SPORT = [
 OPERATION = """case when role = 'system' then 'other' when turn % 4 = 3 then 'vectorization'
   when role = 'user' then 'search' else 'chat' end"""
 VERSIONS = [
-    # op, condition, seconds added to the duration, milliseconds after the start
-    ("c", "true", 0, 0), ("u", "n % 20 = 0", 30, 60_000), ("d", "n % 50 = 0", 0, 120_000),
+    # op, condition, seconds added to the duration, milliseconds after the start;
+    # some changes of a key have the same time and differ in their log place only.
+    ("c", "true", 0, "0"),
+    ("u", "n % 20 = 0", 30, "case when n % 40 = 0 then 0 else 60000 end"),
+    ("d", "n % 50 = 0", 0, "case when n % 200 = 0 then 0 else 120000 end"),
 ]
+PLACES = {op: place for place, (op, *_) in enumerate(VERSIONS)}
 
 
 def moves(value: str = "value") -> list[str]:
@@ -131,8 +136,8 @@ class Views:
 
     @cached_property
     def hr_valid(self) -> DataFrame:
-        """Without the two failures that block publishing."""
-        return self.hr_dirty_once.filter("transport_mode <> 'Inconnu'")
+        """All rows, without the two failures that block publishing."""
+        return self.hr_dirty_once.withColumn("transport_mode", F.expr(REPAIRED))
 
     @cached_property
     def geo(self) -> DataFrame:
@@ -188,7 +193,8 @@ class Views:
             seen = rows.filter(condition)
             gone = F.lit(None)
             payload = F.struct(
-                F.lit(op).alias("op"), (start_ms + later).alias("ts_ms"),
+                F.lit(op).alias("op"), (start_ms + F.expr(later)).alias("ts_ms"),
+                F.struct((F.col("n") * 10 + PLACES[op]).alias("lsn")).alias("source"),
                 (F.struct("id") if op == "d" else gone).alias("before"),
                 (gone if op == "d" else image(op)).alias("after"))
             parts.append(seen.select(F.to_json(F.struct(payload.alias("payload"))).alias("value")))
@@ -348,7 +354,7 @@ SQL = {
       {years('birthday')} as age, {years('entry_date')} as seniority_years from employees""",
     "hr_dirty_once": f"select {', '.join(DIRTY)} from hr",
     "hr_dirty": "select * from hr_dirty_once union all select * from hr_dirty_once where n % 250 < 3",
-    "hr_valid": "select * from hr_dirty_once where transport_mode <> 'Inconnu'",
+    "hr_valid": f"select * replace ({REPAIRED} as transport_mode) from hr_dirty_once",
     "geo": """select address, 43.0::double + cast(distance_kms as double) / 25 as lat,
       3.5::double + cast(distance_kms as double) / 30 as lon from employees where n % 41 <> 0""",
     "known_employees": "select * from employees where n % 17 <> 0",
@@ -359,7 +365,7 @@ SQL = {
     "stored": f"""select {', '.join(schemas.STORED_COLUMNS[:-2])}, 'c' || id as comment,
       {FINGERPRINT} as fingerprint from older where n % 10 <> 3""",
     "activity_events": " union all ".join(
-        f"""select id, '{op}' as op, epoch_us(begin_date) // 1000 + {later} as ts_ms, """
+        f"""select id, '{op}' as op, epoch_us(begin_date) // 1000 + {later} as ts_ms, n * 10 + {PLACES[op]} as lsn, """
         + ("null as employee_id, null as sport, null as begin_date, null as duration_sec, "
            "null as distance_meters, null as situation" if op == "d" else
            f"employee_id, sport, begin_date, duration_sec + {added} as duration_sec, distance_meters, situation")
@@ -369,7 +375,7 @@ SQL = {
       date_trunc('second', begin_date) as activity_date, {social_year('begin_date')} as social_year
       from activity_events where op <> 'd'""",
     "employee_events": " union all ".join(
-        f"""select id, n, '{op}' as op, n * 1000 + {later} as ts_ms, """
+        f"""select id, n, '{op}' as op, n * 1000 + {later} as ts_ms, n * 10 + {PLACES[op]} as lsn, """
         + ("null as last_name, null as first_name, null as age, null as business_unit, null as salary, "
            "null as distance_kms, null as margin_kms, null as sport_type, null as transport_mode" if op == "d" else
            "last_name, case when n % 59 = 0 then 'Error_Decrypt' else first_name end as first_name, age, "

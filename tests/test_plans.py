@@ -2,6 +2,10 @@
 
 import datetime as dt
 import glob
+import os
+from functools import reduce
+
+from pyspark.sql import DataFrame
 
 from activity_lake import schemas
 from activity_lake.functions.privacy import decrypt, decrypted
@@ -59,10 +63,19 @@ def test_ingest_hr(spark, tmp_path):
 def test_nothing_written_names_people(spark, tmp_path, monkeypatch):
     shared = str(tmp_path / "shared")
     monkeypatch.setattr("activity_lake.session.shared_dir", lambda _: shared)
+    monkeypatch.setattr("activity_lake.sources.tables.remove_path", lambda *_: None)
     sport = spark.createDataFrame([("1", "run")], schemas.SPORT_SHEET)
     ingest(spark, hr_sheet(spark, "1"), sport, str(tmp_path / "employees"))
-    stages = glob.glob(f"{shared}/activity_lake/*")
-    assert stages
+    # Rows that break every rule of the suite, the failing ones included.
+    broken = [
+        hr_sheet(spark, "2", "2"), hr_sheet(spark, "3", transport_mode="Inconnu", employement_contract="x"),
+        hr_sheet(spark, "4", salary=5, birthday="2020-01-01", entry_date="1990-01-01"),
+        hr_sheet(spark, "5", address="nowhere"), hr_sheet(spark, None),
+    ]
+    assert ingest(spark, reduce(DataFrame.unionByName, broken), sport, str(tmp_path / "more"))["hr"] == "FAILED"
+    files = glob.glob(f"{shared}/activity_lake/**/*.parquet", recursive=True)
+    stages = {os.path.dirname(f) for f in files}
+    assert len(stages) > 10
     for stage in stages:
         for row in spark.read.parquet(stage).collect():
             assert "Blanc" not in str(tuple(row)) and "home" not in str(tuple(row)), stage

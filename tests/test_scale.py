@@ -11,7 +11,7 @@ from activity_lake.operators.comments import parse_answers
 from activity_lake.operators.diff import (
     apply_changes, diff_labels, fingerprint, mark_duplicates, snapshot_diff,
 )
-from activity_lake.operators.quality import NotNull, Unique, Between, run_suite, samples
+from activity_lake.operators.quality import NotNull, Unique, Between, run_suite, samples, violations
 from activity_lake.operators.places import flatten_places
 from activity_lake.operators.reporting import social_year_stats
 from activity_lake.operators.shaping import dedupe, enrich_names, exists_in, orphans, share, with_batch
@@ -107,7 +107,7 @@ def test_hot_keys_give_whole_results(spark, hot, no_broadcast):
     assert mark_duplicates(hot).groupBy("duplicated").count().orderBy("duplicated").collect() == [(False, 10_000), (True, 20_000)]
     report = run_suite(hot, [Unique("id", ""), NotNull("id", ""), Between("v", "", high=10)])
     assert [r["broken"] for r in report.orderBy("position").collect()][:2] == [20_000, 0]
-    assert samples(hot, [Unique("id", "")]).first()["sample"].count(";") == 19
+    assert samples(violations(hot, [Unique("id", "")])).first()["sample"].count(";") == 19
     shares = share(hot.withColumn("w", F.lit(1)), "id", "w").agg(F.round(F.sum("share"), 6)).first()[0]
     assert shares == hot.select("id").distinct().count()
     keys = hot.filter("id <> 'hot'").select("id").distinct()
