@@ -41,12 +41,12 @@ SPORT_DIMENSION = T.StructType([
     T.StructField("strava_list", T.IntegerType()),
 ])
 
-# Columns of an activity that make up its fingerprint; the id is not one.
+# Columns of an activity that make up its fingerprint; the id is not one.
 FINGERPRINT_COLUMNS = [
     "employee_id", "sport", "situation", "distance_meters", "begin_date", "duration_sec",
 ]
 
-# Columns of a stored activity.
+# Columns of a stored activity, in their order.
 STORED_COLUMNS = [
     "id", "employee_id", "sport", "situation", "distance_meters", "begin_date",
     "duration_sec", "comment", "fingerprint",

@@ -26,6 +26,7 @@ KEY = "0123456789abcdef"
 
 # --- expressions both dialects read -----------------------------------------
 
+# Contract types and transport modes, as the rules name them.
 CONTRACT = "case when c_custkey % 50 = 0 then 'Stage' when c_custkey % 3 = 0 then 'CDD' else 'CDI' end"
 MODE = """case when c_custkey % 97 = 0 then 'Inconnu'
   when c_mktsegment = 'FURNITURE' then 'Transports en commun'
