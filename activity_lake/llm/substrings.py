@@ -7,8 +7,8 @@ before any words are shuffled.
 
 The remaining suffixes are dealt by prefix. A prefix is the anchor's gram; where more suffixes share it than a task
 should hold, it is lengthened to the window, which is deep enough that only its first place matters. In a group
-the suffixes are sorted, which is the leaf order of the subtree, and neighbours' common prefixes give its internal nodes:
-a window with its anchor ``k`` words in repeats where leaves below a node of depth ``WINDOW - k`` agree in the
+the suffixes are sorted, which is the leaf order of the subtree, and neighbours' common prefixes give its internal
+nodes: a window with its anchor ``k`` words in repeats where leaves below a node of depth ``WINDOW - k`` agree in the
 ``k`` words before.
 """
 
@@ -22,8 +22,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from activity_lake.llm.common import id_and_text, stage
+from activity_lake.llm.common import column, stage
 
 WINDOW = 20
 GRAM = 5
@@ -53,10 +54,25 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
     """Hash of each run of ``length`` words."""
-    total = np.zeros(max(0, len(words) - length + 1), np.uint64)
-    for k in range(length):
-        total = mixed(total + words[k:k + len(total)])
-    return total
+    size = max(0, len(words) - length + 1)
+    total = words[:size].copy()
+    for k in range(1, length):
+        total *= MIX
+        total += words[k:k + size]
+    return mixed(total)
+
+
+def least_places(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the least of each ``width`` neighbours, the first if there are several."""
+    place = np.arange(len(values))
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        left, right = values[:len(values) - step], values[step:]
+        place = np.where(left <= right, place[:len(left)], place[step:])
+        values = np.minimum(left, right)
+        done += step
+    return place
 
 
 def anchors(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -65,8 +81,7 @@ def anchors(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.n
     if len(words) < window:
         return none, none.astype(np.uint64), none, none
     grams = run_hashes(words, gram)
-    views = np.lib.stride_tricks.sliding_window_view(grams, window - gram + 1)
-    place = views.argmin(axis=1) + np.arange(len(views))
+    place = least_places(grams, window - gram + 1)
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     return place[first], grams[place[first]], first, np.r_[first[1:] - 1, len(place) - 1]
 
@@ -76,6 +91,24 @@ def hashed_words(text: bytes, seen: WordHashes) -> tuple[list[bytes], np.ndarray
     return words, np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
 
 
+def packed(place, before, run):
+    """An anchor as one number; the lowest bit is free for a mark."""
+    return place << 17 | before << 9 | run << 1
+
+
+def unpacked(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places, the first and the last window at each, and the marks."""
+    place, mark = codes >> 17, (codes & 1).astype(bool)
+    lo = place - (codes >> 9 & 255)
+    return place, lo, lo + (codes >> 1 & 255), mark
+
+
+def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """Each row's numbers; none for a null."""
+    at, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return (values[i:j] for i, j in zip(at[:-1], at[1:]))
+
+
 def _batch(fields: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in fields.values()], list(fields))
 
@@ -86,14 +119,14 @@ def _anchor_rows(window: int, gram: int):
         for batch in batches:
             docs, places, grams = [], [], []
             for doc, text in zip(batch.column("doc_no").to_numpy(), batch.column("text").to_pylist()):
-                place, hashes, _, _ = anchors(hashed_words(text, seen)[1], window, gram)
+                place, hashes, lo, hi = anchors(hashed_words(text, seen)[1], window, gram)
                 docs.append(np.full(len(place), doc))
-                places.append(place)
+                places.append(packed(place, place - lo, hi - lo))
                 grams.append(hashes)
             if docs:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(docs)),
-                    pa.array(np.concatenate(places).astype(np.int32))], ["gram", "doc_no", "place"])
+                    pa.array(np.concatenate(places))], ["gram", "doc_no", "anchor"])
 
     return run
 
@@ -106,31 +139,28 @@ def _suffix_rows(window: int, gram: int):
             least: dict[tuple, tuple] = {}
             for doc, text, shared in zip(
                     batch.column("doc_no").to_pylist(), batch.column("text").to_pylist(),
-                    batch.column("shared").to_pylist()):
-                if not shared:
+                    _lists(batch.column("shared"))):
+                if not len(shared):
                     continue
                 _, words = hashed_words(text, seen)
-                whole = run_hashes(words, window) if any(s["long"] for s in shared) else None
-                narrow = words.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]
-                long = {s["place"] for s in shared if s["long"]}
-                wanted = {s["place"] for s in shared}
-                for place, key, lo, hi in zip(*(x.tolist() for x in anchors(words, window, gram))):
-                    if place not in wanted:
-                        continue
-                    if place in long:
-                        for at in range(lo, hi + 1):
-                            content = (key, int(whole[at]), b"")
-                            if content not in least or (doc, at) < least[content]:
-                                least[content] = (doc, at)
+                places, lows, highs, long = unpacked(np.sort(shared))
+                grams = run_hashes(words, gram)[places].view(np.int64)
+                whole = run_hashes(words, window).view(np.int64) if long.any() else None
+                narrow = np.ascontiguousarray(words.view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES]).tobytes()
+                for place, key, lo, hi, by_window in zip(*(x.tolist() for x in (places, grams, lows, highs, long))):
+                    if by_window:
+                        found = [((key, at, b""), (doc, start)) for start, at in enumerate(
+                            whole[lo:hi + 1].tolist(), lo)]
                     else:
-                        content = (key, place - lo, narrow[lo:hi + window].tobytes())
-                        if content not in least or (doc, place) < least[content]:
-                            least[content] = (doc, place)
+                        words_here = narrow[lo * WORD_BYTES:(hi + window) * WORD_BYTES]
+                        found = [((key, place - lo, words_here), (doc, place))]
+                    for content, where in found:
+                        if content not in least or where < least[content]:
+                            least[content] = where
             keys, wheres = list(least), list(least.values())
-            signed = lambda x: x - (1 << 64) if x >> 63 else x
             yield _batch({
-                "gram": ([signed(k[0]) for k in keys], pa.int64()),
-                "before": ([signed(k[1]) for k in keys], pa.int64()),
+                "gram": ([k[0] for k in keys], pa.int64()),
+                "before": ([k[1] for k in keys], pa.int64()),
                 "words": ([k[2] for k in keys], pa.binary()),
                 "doc_no": ([w[0] for w in wheres], pa.int64()),
                 "place": ([w[1] for w in wheres], pa.int64()),
@@ -174,115 +204,118 @@ def _firsts_of_bin(window: int, gram: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         doc, place = rows["doc_no"].to_numpy(), rows["place"].to_numpy()
         bits = subtree_firsts(rows["words"].tolist(), rows["before"].to_numpy(), doc, place, window, gram)
-        return pd.DataFrame({"doc_no": doc, "place": place, "bits": bits})[bits != 0]
+        return pd.DataFrame({"doc_no": doc, "first": place << 32 | bits})[bits != 0]
 
     return run
 
 
-def _cut_rows(window: int, gram: int):
+def _cut_rows(window: int, gram: int, passed: list[str], keep_layout: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = WordHashes()
         for batch in batches:
-            out = {"doc_id": [], "n_words": [], "n_removed": [], "spans": [], "kept_text": []}
-            for doc, text, shared, firsts in zip(*(batch.column(c).to_pylist() for c in (
-                    "doc_id", "text", "shared", "firsts"))):
-                words, hashes = hashed_words(text, seen)
-                gone = np.zeros(len(words) + 1, np.int64)
-                if shared:
-                    wanted = np.fromiter((s["place"] for s in shared), np.int64, len(shared))
-                    place, _, lo, hi = anchors(hashes, window, gram)
-                    starts = np.zeros(len(words) + 1, np.int64)
-                    at = np.isin(place, wanted)
-                    np.add.at(starts, lo[at], 1)
-                    np.add.at(starts, hi[at] + 1, -1)
-                    starts = np.cumsum(starts) > 0
-                    for first in firsts or ():
-                        if first["bits"] == 0:
-                            starts[first["place"]] = False
-                        for k in range(window - gram + 1):
-                            if first["bits"] >> k & 1:
-                                starts[first["place"] - k] = False
+            out = {"n_words": [], "n_removed": [], "spans": [], "kept_text": []}
+            for text, shared, firsts in zip(
+                    batch.column("text").to_pylist(), _lists(batch.column("shared")), _lists(batch.column("firsts"))):
+                words = text.split()
+                cut, edges = 0, []
+                if len(shared):
+                    _, lo, hi, _ = unpacked(shared)
+                    size = len(words) + 1
+                    starts = np.cumsum(np.bincount(lo, minlength=size) - np.bincount(hi + 1, minlength=size)) > 0
+                    place, bits = firsts >> 32, firsts & 0xFFFFFFFF
+                    starts[place[bits == 0]] = False
+                    for k in range(window - gram + 1):
+                        starts[place[bits >> k & 1 == 1] - k] = False
                     at = np.flatnonzero(starts)
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + window, -1)
-                cut = np.cumsum(gone)[:-1] > 0
-                edges = np.flatnonzero(np.diff(np.r_[False, cut, False].astype(np.int8)))
-                out["doc_id"].append(doc)
+                    if len(at):
+                        gone = np.cumsum(
+                            np.bincount(at, minlength=size) - np.bincount(at + window, minlength=size))[:-1] > 0
+                        edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
+                        edges = edges.reshape(-1, 2).tolist()
+                        cut = int(gone.sum())
                 out["n_words"].append(len(words))
-                out["n_removed"].append(int(cut.sum()))
-                out["spans"].append(edges.reshape(-1, 2).tolist())
-                if cut.any():
-                    words = [words[i] for i in np.flatnonzero(~cut)]
-                out["kept_text"].append(b" ".join(words).decode())
-            yield _batch({
-                "doc_no": (batch.column("doc_no").to_pylist(), pa.int64()),
-                "doc_id": (out["doc_id"], pa.int64()),
-                "n_words": (out["n_words"], pa.int64()), "n_removed": (out["n_removed"], pa.int64()),
-                "spans": (out["spans"], pa.list_(pa.list_(pa.int64()))),
-                "kept_text": (out["kept_text"], pa.string()),
-            })
+                out["n_removed"].append(cut)
+                out["spans"].append(edges)
+                for start, stop in reversed(edges):
+                    del words[start:stop]
+                out["kept_text"].append((text if keep_layout and not cut else b" ".join(words)).decode())
+            yield pa.RecordBatch.from_arrays([
+                *[batch.column(c) for c in passed],
+                pa.array(out["n_words"], pa.int64()), pa.array(out["n_removed"], pa.int64()),
+                pa.array(out["spans"], pa.list_(pa.list_(pa.int64()))), pa.array(out["kept_text"], pa.string()),
+            ], [*passed, "n_words", "n_removed", "spans", "kept_text"])
 
     return run
 
 
 def ordered(rows: DataFrame) -> DataFrame:
-    """(doc_no, doc_id, text) with one number per document, in the order of ids.
+    """``rows`` (doc_id, text, ...) with doc_no, one number per document in the order of ids.
 
     Where ids are unique, they are the numbers. Otherwise rows that repeat an id are told apart by their text, in
     the order of its hash, nulls first; rows that repeat both are one document.
     """
     n, ids = rows.agg(F.count("*"), F.count_distinct("doc_id")).first()
     if n == ids:
-        return rows.select(F.col("doc_id").alias("doc_no"), "doc_id", "text")
+        return rows.withColumn("doc_no", F.col("doc_id"))
     keyed = rows.withColumn("content", F.xxhash64("text")).dropDuplicates(["doc_id", "content"])
     numbers = stage(
         keyed.select("doc_id", "content").orderBy(F.asc_nulls_first("doc_id"), "content")
         .withColumn("doc_no", F.monotonically_increasing_id()), "document-numbers").toDF("n_id", "n_content", "doc_no")
     return stage(keyed.join(
         numbers, keyed["doc_id"].eqNullSafe(F.col("n_id")) & (keyed["content"] == F.col("n_content"))
-    ).select("doc_no", "doc_id", "text"), "numbered-documents")
+    ).select("doc_no", *rows.columns), "numbered-documents")
 
 
 def substring_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
-    bin_rows: int = BIN_ROWS, prefix_rows: int = PREFIX_ROWS,
+    bin_rows: int = BIN_ROWS, prefix_rows: int = PREFIX_ROWS, carry: list[str] | None = None,
+    keep_layout: bool = False,
 ) -> DataFrame:
     """One row per document: doc_no, doc_id, n_words, n_removed, spans, kept_text.
 
     Words covered by a window whose words also start earlier (smaller doc_id, or the same document further left) are
     removed; ``spans`` lists them as [from, to) in words, joined where they touch: the maximal repeats. ``kept_text``
-    has the other words, joined by one space. Windows are judged on the input. Documents shorter than a window lose
-    nothing.
+    has the other words, joined by one space; with ``keep_layout`` a text that loses nothing stays as it is. Windows
+    are judged on the input. Documents shorter than a window lose nothing. Columns named in ``carry`` come along
+    as the fields of ``carried``.
 
     Null text has no words. Rows that repeat an id count as one document if their texts are equal, else as several in
     the order of a hash of the text; a null id comes first. An empty table gives an empty result; other columns are
     not read. Words are compared by 48 bits of a hash, grams by 64 bits.
     """
-    rows = ordered(id_and_text(docs, id_col, text_col)).withColumn("text", F.col("text").cast("binary"))
+    if not gram <= window <= gram + 31:
+        raise ValueError("a window has between its gram and 31 words more")
+    rows = docs.select(
+        column(id_col).cast("long").alias("doc_id"),
+        F.coalesce(column(text_col).cast("string"), F.lit("")).cast("binary").alias("text"),
+        *([F.struct(*[column(c) for c in carry]).alias("carried")] if carry else []))
+    passed = ["doc_no", *[c for c in rows.columns if c != "text"]]
+    rows = ordered(rows)
     found = rows.select("doc_no", "text").mapInArrow(
-        _anchor_rows(window, gram), "gram long, doc_no long, place int")
+        _anchor_rows(window, gram), "gram long, doc_no long, anchor long")
     shared = stage(
         found.select("gram").groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "shared-grams")
-    total = shared.agg(F.sum("n")).first()[0] or 0
+    total, most = shared.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
     places = stage(
-        found.join(shared, "gram").groupBy("doc_no").agg(
-            F.collect_list(F.struct("place", (F.col("n") > prefix_rows).alias("long"))).alias("shared")),
-        "shared-places")
+        found.join(shared, "gram").groupBy("doc_no").agg(F.collect_list(
+            F.col("anchor") + F.when(F.col("n") > prefix_rows, 1).otherwise(0)).alias("shared")), "shared-places")
 
     # Both uses below have the same shuffle of the texts; Spark runs it once.
-    read = rows.join(places, "doc_no", "left").select("doc_no", "doc_id", "text", "shared")
+    read = rows.join(places, "doc_no", "left").select(*passed, "text", "shared")
     suffixes = read.mapInArrow(
         _suffix_rows(window, gram), "gram long, before long, words binary, doc_no long, place long")
     bins = max(1, -(-total // bin_rows))
-    by_tree = suffixes.filter(F.length("words") > 0).groupBy(
+    firsts = suffixes.filter(F.length("words") > 0).groupBy(
         F.pmod(F.xxhash64("gram"), F.lit(bins)).alias("bin")
-    ).applyInPandas(_firsts_of_bin(window, gram), "doc_no long, place long, bits long")
-    firsts = by_tree
-    if not shared.filter(F.col("n") > prefix_rows).isEmpty():
-        by_window = suffixes.filter(F.length("words") == 0).groupBy("before").agg(
+    ).applyInPandas(_firsts_of_bin(window, gram), "doc_no long, first long")
+    if most > prefix_rows:
+        by_window = suffixes.filter(F.length("words") == 0).groupBy("gram", "before").agg(
             F.min(F.struct("doc_no", "place")).alias("least"))
-        firsts = firsts.unionByName(by_window.select("least.*", F.lit(0).cast("long").alias("bits")))
-    firsts = firsts.groupBy("doc_no").agg(F.collect_list(F.struct("place", "bits")).alias("firsts"))
-    return read.join(firsts, "doc_no", "left").select("doc_no", "doc_id", "text", "shared", "firsts").mapInArrow(
-        _cut_rows(window, gram),
-        "doc_no long, doc_id long, n_words long, n_removed long, spans array<array<long>>, kept_text string")
+        firsts = firsts.unionByName(
+            by_window.select("least.doc_no", F.shiftleft("least.place", 32).alias("first")))
+    firsts = firsts.groupBy("doc_no").agg(F.collect_list("first").alias("firsts"))
+    cut = read.join(firsts, "doc_no", "left").select(*passed, "text", "shared", "firsts")
+    schema = T.StructType([
+        *[cut.schema[c] for c in passed], T.StructField("n_words", T.LongType()),
+        T.StructField("n_removed", T.LongType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
+        T.StructField("kept_text", T.StringType())])
+    return cut.mapInArrow(_cut_rows(window, gram, passed, keep_layout), schema)
