@@ -142,7 +142,8 @@ def _read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for before, body in zip(batch.column("before").to_pylist(), batch.column("body")):
             shard = Shard(body.as_py())
-            ids = [shard.document(k).tobytes() for k in range(len(shard.docs))]
+            every = shard.ids(0, shard.n_ids).tobytes()
+            ids = [every[4 * i:4 * j] for i, j in zip(shard.starts[:-1], shard.starts[1:])]
             missing = shard.docs == np.iinfo(np.int64).min
             yield pa.RecordBatch.from_arrays([
                 pa.array(shard.docs, mask=missing), pa.array(shard.starts[:-1] + before),

@@ -13,25 +13,44 @@ PIECES_KEPT = 500_000
 # Blanks other than single spaces and line feeds; a text with one is split with care.
 ODD_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-# Letters that are one code point in every normal form, with the marks that stay apart from them.
-LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-PLAIN_WORD = re.compile(f"( ?)([{LETTERS}]+)([.,!?;:]*)")
+# Letters, beside those of ASCII, that are one code point in every normal form; marks that stay apart from letters.
 ACCENTED = [chr(c) for c in range(0xC0, 0x100) if chr(c) not in "×÷"]
+OTHER_LETTER = re.compile(f"[^A-Za-z{''.join(ACCENTED)}]")
+MARKS = ".,!?;:"
+LINE_FEED = "Ċ"
 
 
-class Memory(dict):
-    """Values of ``make``, remembered while there is room."""
+class Chunks(dict):
+    """Ids of chunks, each a run of characters without spaces; ``space`` stands for the space that belongs before it.
 
-    def __init__(self, make):
+    Most chunks are letters with marks behind, which every step of the tokenizer treats alike; the library's own
+    steps cut the others. A chunk with line feeds between other characters, but no other blank, is cut there.
+    """
+
+    def __init__(self, encoder: Encoder, space: str):
         super().__init__()
-        self.make = make
+        self.encoder, self.space = encoder, space
+        self.before = "Ġ" if space else ""
 
-    def __missing__(self, key):
-        value = self.make(key)
+    def __missing__(self, chunk: str | bytes) -> bytes:
         if len(self) >= PIECES_KEPT:
             self.clear()
-        self[key] = value
-        return value
+        ids = self[chunk] = self.ids_of(chunk if isinstance(chunk, str) else chunk.decode())
+        return ids
+
+    def ids_of(self, chunk: str) -> bytes:
+        encoder = self.encoder
+        word = chunk.rstrip(MARKS)
+        if word.isalpha():
+            plain = word.lower() if encoder.lower else word
+            if plain.isascii() or not OTHER_LETTER.search(plain):
+                ids = encoder.letters(self.before + plain)
+                return ids if len(word) == len(chunk) else ids + encoder.piece(chunk[len(word):])
+        elif "\n" in chunk:
+            first, *rest = chunk.split("\n")
+            if [first, *rest] == chunk.split():
+                return encoder.piece(LINE_FEED).join([self[first], *[encoder.first[c] for c in rest]])
+        return encoder.chunk(self.space + chunk)
 
 
 class Encoder:
@@ -59,28 +78,31 @@ class Encoder:
         else:
             self.encode = self._whole
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.as_bytes = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in ACCENTED}
-        self.pieces = Memory(self._piece)
-        self.first, self.later = Memory(self._chunk), Memory(lambda c: self._chunk(" " + c))
-        self.words = Memory(lambda w: self._chunk(w.decode()))
+        self.bytes_of = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in ACCENTED}
+        self.pieces: dict[str, bytes] = {}
+        self.first, self.later = Chunks(self, ""), Chunks(self, " ")
+        self.words = Chunks(self, "")
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        return pack(f"<{len(found := self.tokenizer.model.tokenize(piece))}I", *[t.id for t in found])
-
-    def _chunk(self, chunk: str) -> bytes:
-        plain = PLAIN_WORD.fullmatch(chunk)
-        if plain:
-            space, word, mark = plain.groups()
-            word = word.lower() if self.lower else word
-            word = word if word.isascii() else word.translate(self.as_bytes)
-            ids = self.pieces["Ġ" + word if space else word]
-            return ids + self.pieces[mark] if mark else ids
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) >= PIECES_KEPT:
+                self.pieces.clear()
+            found = [t.id for t in self.tokenizer.model.tokenize(piece)]
+            ids = self.pieces[piece] = pack(f"<{len(found)}I", *found)
+        return ids
+
+    def letters(self, word: str) -> bytes:
+        """Ids of letters out of ASCII and ``ACCENTED``, the space before them already as the tokenizer writes it."""
+        return self.piece(word if word.isascii() else word.translate(self.bytes_of))
+
+    def chunk(self, chunk: str) -> bytes:
         normal = self.tokenizer.normalizer
         cut = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal.normalize_str(chunk) if normal else chunk)
-        return b"".join([self.pieces[piece] for piece, _ in cut])
+        return b"".join([self.piece(piece) for piece, _ in cut])
 
     def _by_blank(self, text: str) -> bytes:
         return b"".join(map(self.words.__getitem__, text.encode().split()))
@@ -88,13 +110,10 @@ class Encoder:
     def _by_space(self, text: str) -> bytes:
         if not text:
             return b""
-        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or ODD_BLANKS.search(text):
+        if text[0] == " " or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or ODD_BLANKS.search(text):
             chunks = LONE_SPACE.split(text)
         else:
             chunks = text.split(" ")
-            if text[0] == " ":
-                del chunks[0]
-                return b"".join(map(self.later.__getitem__, chunks))
         return self.first[chunks[0]] + b"".join(map(self.later.__getitem__, chunks[1:]))
 
 
