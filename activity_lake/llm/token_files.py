@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import id_and_text
+from activity_lake.llm.common import id_and_text, stage
 from activity_lake.llm.tokens import encoder
 
 MAGIC = b"TOKBITS1"
@@ -154,9 +154,10 @@ def _read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids) of each document; ids are little-endian unsigned 32-bit bytes."""
     shards = spark.read.schema(SHARD_FIELDS).parquet(path)
-    # One row per write task is what is summed here.
+    # One row per write task is what is summed here; as a written table it is known to be small, and shards stay put.
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    parts = parts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("part_before"))
+    parts = stage(parts.select(
+        "part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("part_before")), "token-parts")
     return shards.join(parts, "part").select(
         (F.col("part_before") + F.col("ids_before")).alias("before"), "body",
     ).mapInArrow(_read_rows, "doc_id long, start long, n_tokens long, ids binary")
