@@ -112,9 +112,10 @@ def spanning(members: np.ndarray, start: int) -> list[tuple[int, int]]:
 
 def _links_of_bin(rows: pd.DataFrame) -> pd.DataFrame:
     fp, value, mask, start = (rows[c].to_numpy() for c in ("fp", "value", "mask", "start"))
-    order = np.lexsort((fp, value, mask))
+    order = np.lexsort((fp, value, mask, start))
     fp, value, mask, start = fp[order].view(np.uint64), value[order], mask[order], start[order]
-    new = np.r_[True, (value[1:] != value[:-1]) | (mask[1:] != mask[:-1])] if len(fp) else np.zeros(0, bool)
+    new = np.r_[True, (value[1:] != value[:-1]) | (mask[1:] != mask[:-1]) | (start[1:] != start[:-1])] if len(
+        fp) else np.zeros(0, bool)
     first = np.flatnonzero(new)
     size = np.diff(np.r_[first, len(fp)])
     found = []
@@ -136,7 +137,8 @@ def near_links(
 
     A fingerprint is filed under 24 shared parts of 32 bits. Buckets are compared whole, many to a task, and give
     links that span them instead of all pairs. A bucket above ``bucket_rows`` is filed again under finer parts, which
-    loses no link, until few open bits bound it.
+    loses no link, until few open bits bound it. Finer parts of neighbouring starts coincide, and a link may be seen
+    from one of them only, so that each start has buckets of its own.
     """
     filed = distinct.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("start"), F.lit(signed(m)).cast("long").alias("mask")) for i, m in chain_masks()
@@ -147,13 +149,13 @@ def near_links(
         filed = filed.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
         bounded = 64 - min(map(int.bit_count, masks)) <= LEAST_OPEN_BITS
         full = None if bounded else stage(
-            filed.groupBy("mask", "value").agg(F.count("*").alias("n"))
-            .filter(F.col("n") > bucket_rows).select("mask", "value"), "full-buckets")
+            filed.groupBy("start", "mask", "value").agg(F.count("*").alias("n"))
+            .filter(F.col("n") > bucket_rows).select("start", "mask", "value"), "full-buckets")
         last = bounded or full.isEmpty()
-        ready = filed if last else filed.join(full, ["mask", "value"], "left_anti")
+        ready = filed if last else filed.join(full, ["start", "mask", "value"], "left_anti")
         bins = bins_of(ready, bin_rows)
         found.append(stage(
-            ready.groupBy(F.pmod(F.xxhash64("mask", "value"), F.lit(bins)).alias("bin"))
+            ready.groupBy(F.pmod(F.xxhash64("start", "mask", "value"), F.lit(bins)).alias("bin"))
             .applyInPandas(_links_of_bin, "a long, b long"), "near-links"))
         if last:
             return reduce(DataFrame.unionByName, found)
@@ -161,8 +163,8 @@ def near_links(
         masks = dict.fromkeys(x for parts in finer.values() for x in parts)
         table = distinct.sparkSession.createDataFrame(
             [(signed(m), [signed(x) for x in parts]) for m, parts in finer.items()], "mask long, finer array<long>")
-        filed = filed.join(full, ["mask", "value"], "left_semi").join(table, "mask").select(
-            "fp", "start", F.explode("finer").alias("mask"))
+        filed = filed.join(full, ["start", "mask", "value"], "left_semi").join(table, "mask").select(
+            "fp", "start", F.explode("finer").alias("mask")).distinct()
 
 
 def simhash_groups(

@@ -65,6 +65,25 @@ def test_links_join_a_dense_cloud(spark, bucket_rows):
     assert len({roots.get(signed(x), signed(x)) for x in cloud | far}) == len(linked(cloud | far))
 
 
+def test_links_seen_from_one_start_only_are_kept_in_full_buckets(spark):
+    rng = random.Random(9)
+    values, pairs = set(), []
+    for start in range(8):
+        byte = lambda k, x: x << 8 * ((start + k) % 8)
+        shared = sum(byte(k, rng.randrange(256)) for k in range(5))
+        one, *others = [shared | sum(byte(k, rng.randrange(256)) for k in (5, 6, 7)) for _ in range(300)]
+        two = one ^ sum(byte(k, 1 << rng.randrange(8)) for k in (5, 6, 7))
+        values |= {one, two} | {x for x in others if min((x ^ one).bit_count(), (x ^ two).bit_count()) > 6}
+        pairs.append((one, two))
+    nodes = spark.createDataFrame([(signed(x),) for x in values], "fp long")
+    roots = {r["node"]: r["root"] for r in components(near_links(nodes, 50, 500)).collect()}
+    root = lambda x: roots.get(signed(x), signed(x))
+    assert [s for s, (a, b) in enumerate(pairs) if root(a) != root(b)] == []
+    groups = linked(values)
+    assert all(len({root(x) for x in group}) == 1 for group in groups)
+    assert len({root(x) for x in values}) == len(groups)
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (None, 3), (100, 101)]
     rng = random.Random(2)
