@@ -15,10 +15,9 @@ from activity_lake.llm.common import id_and_text
 # The mark that stands for a space, and the name of a piece that stands for one byte.
 SPACE = "▁"
 BYTE_PIECE = "<0x%02X>"
-# Segmentations of a word that may occur at one dropout; the place of the word in its document chooses.
-VARIANTS = 4
-# Chunks remembered per worker and variant; longest chunk that is merged together with others.
+# Chunks, and outcomes of draws, remembered per worker; longest chunk that is merged together with others.
 CHUNKS_KEPT = 150_000
+NODES_KEPT = 2_000_000
 LONG = 48
 NONE = np.iinfo(np.int64).max
 
@@ -80,8 +79,8 @@ class Merges:
         hit = self.pairs[at] == key
         return np.where(hit, self.ranks[at], NONE), self.merged[at]
 
-    def segment(self, chunks: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
-        """Ids of each chunk, as little-endian unsigned 32-bit bytes.
+    def segment(self, chunks: list[str], keys: np.ndarray, dropout: float, trace: list | None = None) -> list[bytes]:
+        """Ids of each chunk, as little-endian unsigned 32-bit bytes; ``trace`` takes (chunk, draw, skipped) per round.
 
         Each round takes the first merge of every chunk's agenda: the lowest rank, then the leftmost. It is skipped,
         and leaves the agenda, when the hash of the chunk's key, its two ends and its result is below ``dropout``.
@@ -115,7 +114,11 @@ class Merges:
             at = at[np.r_[True, owner[at[1:]] != owner[at[:-1]]]]
             if dropout:
                 base = starts[owner[at]]
-                skip = keyed(keys[owner[at]], at - base, after[at] - base, result[at]) < limit
+                # Never 0, which marks a leaf.
+                draw = keyed(at - base, after[at] - base, result[at]) | np.uint64(1)
+                skip = keyed(keys[owner[at]] ^ draw) < limit
+                if trace is not None:
+                    trace.append((owner[at], draw, skip.astype(np.int64)))
                 rank[at[skip]] = NONE
                 at = at[~skip]
                 if not len(at):
@@ -155,12 +158,24 @@ class Merges:
 
 
 class Encoder:
-    """Encodes texts; remembers the segmentation of each chunk and variant while there is room."""
+    """Encodes texts; remembers, per chunk, what follows from each outcome of the draws.
 
-    def __init__(self, merges: Merges, seed: int, dropout: float, variants: int):
-        self.merges, self.seed, self.dropout = merges, seed, dropout
-        self.variants = variants if dropout else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+    The agenda of a chunk is a tree: a node is a merge to draw for, its children are what comes up when the merge is
+    done or skipped, a leaf is a segmentation. Every occurrence draws anew, by its own key, on its way down; only nodes
+    that no occurrence has reached are worked out. Chunks longer than ``LONG`` are worked out each time.
+    """
+
+    def __init__(self, merges: Merges, seed: int, dropout: float, nodes_kept: int = NODES_KEPT):
+        self.merges, self.seed, self.dropout, self.nodes_kept = merges, seed, dropout, nodes_kept
+        self.limit = np.uint64(min(int(dropout * 2**64), 2**64 - 1))
+        self.forget()
+
+    def forget(self) -> None:
+        self.roots: dict[str, int] = {}
+        self.size = 0
+        # Draw of a node (0 at a leaf), and its children when the merge is done and skipped (-1: not known).
+        self.draw, self.after = np.zeros(1 << 16, np.uint64), np.full((1 << 16, 2), -1, np.int64)
+        self.ids: list[bytes | None] = []
 
     def chunks(self, text: str) -> list[str]:
         """A text with a space before it, cut before each run of spaces, where no merge reaches across."""
@@ -171,30 +186,83 @@ class Encoder:
         return RUN.findall(" " + text)
 
     def encode(self, docs: list[int | None], texts: list[str]) -> list[bytes]:
+        if self.size >= self.nodes_kept or len(self.roots) >= CHUNKS_KEPT:
+            self.forget()
         cut = [self.chunks(t) for t in texts]
-        chosen = [
-            (keyed(self.seed, doc or 0, np.arange(len(c))) % np.uint64(self.variants)).tolist()
-            for doc, c in zip(docs, cut)]
-        for variant in self.known:
-            if len(variant) >= CHUNKS_KEPT:
-                variant.clear()
-        wanted: dict[tuple[int, str], None] = {}
-        for chunks, variants in zip(cut, chosen):
-            for chunk, v in zip(chunks, variants):
-                if chunk not in self.known[v]:
-                    wanted[v, chunk] = None
-        self._learn([w for w in wanted if len(w[1]) <= LONG])
-        for w in wanted:
-            if len(w[1]) > LONG:
-                self._learn([w])
-        return [b"".join([self.known[v][c] for c, v in zip(*x)]) for x in zip(cut, chosen)]
-
-    def _learn(self, wanted: list[tuple[int, str]]) -> None:
-        for at in range(0, len(wanted), 1 << 15):
-            part = wanted[at:at + (1 << 15)]
-            keys = keyed(self.seed, 1, np.array([v for v, _ in part], np.uint64))
-            for (v, chunk), ids in zip(part, self.merges.segment([c for _, c in part], keys, self.dropout)):
-                self.known[v][chunk] = ids
+        flat = [c for chunks in cut for c in chunks]
+        if not flat:
+            return [b""] * len(texts)
+        counts = [len(c) for c in cut]
+        places = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
+        owners = np.repeat(np.array([d or 0 for d in docs], np.int64), counts)
+        keys = keyed(self.seed, owners, places)
+        found = self._encode(flat, keys)
+        ends = np.cumsum(counts).tolist()
+        return [b"".join(found[i:j]) for i, j in zip([0, *ends[:-1]], ends)]
+
+    def _encode(self, flat: list[str], keys: np.ndarray) -> list[bytes]:
+        at = np.array([self.roots.get(c, -1) for c in flat], np.int64)
+        self._walk(at, keys, np.flatnonzero(at >= 0))
+        unknown = np.flatnonzero(at < 0).tolist()
+        long = [i for i in unknown if len(flat[i]) > LONG]
+        # Once what the first occurrence of each outcome needs is known, others can walk.
+        rest = [i for i in unknown if len(flat[i]) <= LONG]
+        while rest:
+            seen: dict[tuple[str, int], int] = {}
+            for i in rest:
+                seen.setdefault((flat[i], int(at[i])), i)
+            self._learn(list(seen.values()), flat, keys)
+            at[rest] = [self.roots[flat[i]] for i in rest]
+            self._walk(at, keys, np.array(rest))
+            rest = [i for i in rest if at[i] < 0]
+        out = list(map(self.ids.__getitem__, at.tolist())) if self.ids else [b""] * len(flat)
+        for i in long:
+            out[i] = self.merges.segment([flat[i]], keys[i:i + 1], self.dropout)[0]
+        return out
+
+    def _walk(self, at: np.ndarray, keys: np.ndarray, going: np.ndarray) -> None:
+        """Moves the nodes ``at[going]`` to leaves; where a child is not known, to -2 less the node's and draw's number."""
+        while len(going):
+            node = at[going]
+            draw = self.draw[node]
+            inner = draw != 0
+            going, node, draw = going[inner], node[inner], draw[inner]
+            skipped = (keyed(keys[going] ^ draw) < self.limit).astype(np.int64)
+            child = self.after[node, skipped]
+            at[going] = np.where(child >= 0, child, -2 - 2 * node - skipped)
+            going = going[child >= 0]
+
+    def _learn(self, which: list[int], flat: list[str], keys: np.ndarray) -> None:
+        """Adds the ways of these occurrences to the trees."""
+        for begin in range(0, len(which), 1 << 15):
+            part = which[begin:begin + (1 << 15)]
+            trace: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            ids = self.merges.segment([flat[i] for i in part], keys[part], self.dropout, trace)
+            ways: list[list[tuple[int, int]]] = [[] for _ in part]
+            for owner, draw, skip in trace:
+                for o, d, s in zip(owner.tolist(), draw.tolist(), skip.tolist()):
+                    ways[o].append((d, s))
+            steps = sum(map(len, ways)) + len(part)
+            while self.size + steps > len(self.draw):
+                self.draw = np.r_[self.draw, np.zeros_like(self.draw)]
+                self.after = np.r_[self.after, np.full_like(self.after, -1)]
+            draws, after = memoryview(self.draw), memoryview(self.after.reshape(-1))
+            for i, way, found in zip(part, ways, ids):
+                node = self.roots.get(flat[i], -1)
+                if node < 0:
+                    node = self.roots[flat[i]] = self._node()
+                for d, s in way:
+                    draws[node] = d
+                    child = after[2 * node + s]
+                    if child < 0:
+                        child = after[2 * node + s] = self._node()
+                    node = child
+                self.ids[node] = found
+
+    def _node(self) -> int:
+        self.ids.append(None)
+        self.size += 1
+        return self.size - 1
 
 
 _merges: dict[str, Merges] = {}
@@ -206,9 +274,9 @@ def merges(path: str) -> Merges:
     return _merges[path]
 
 
-def _encode_rows(path: str, seed: int, dropout: float, variants: int):
+def _encode_rows(path: str, seed: int, dropout: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(merges(path), seed, dropout, variants)
+        encoder = Encoder(merges(path), seed, dropout)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -221,18 +289,18 @@ def _encode_rows(path: str, seed: int, dropout: float, variants: int):
 
 
 def encode_with_dropout(
-    docs: DataFrame, model: str, seed: int = 0, dropout: float = 0.1, variants: int = VARIANTS,
+    docs: DataFrame, model: str, seed: int = 0, dropout: float = 0.1,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, n_tokens, ids) of each row's whole text; ids are little-endian unsigned 32-bit bytes.
 
     With ``dropout`` 0 these are the model's own merges. Else each candidate merge is skipped with that probability, by
-    a hash of the seed, the word's variant and the merge; the document and the place in it choose among ``variants``
-    variants of a word. The same seed gives the same ids. Null and empty texts have no ids. Rows are encoded one by one;
-    a null id chooses like 0; other columns are not read.
+    a hash of the seed, the document, the place of the word in it and the merge, so that every occurrence draws for
+    itself. The same seed gives the same ids. Null and empty texts have no ids. Rows are encoded one by one;
+    a null id draws like 0; other columns are not read.
     """
     return id_and_text(docs, id_col, text_col).mapInArrow(
-        _encode_rows(model, seed, dropout, variants), "doc_id long, n_tokens long, ids binary")
+        _encode_rows(model, seed, dropout), "doc_id long, n_tokens long, ids binary")
 
 
 def decode_ids(encoded: DataFrame, model: str) -> DataFrame:

@@ -186,6 +186,19 @@ def test_dropout_is_seeded_and_varies():
     assert encode(1, 5) == encode(1, 5) and encode(1, 5) != encode(2, 5) and encode(1, 5) != encode(1, 6)
 
 
+def test_every_occurrence_draws_for_itself():
+    merges = merge_dropout.merges(PIECES)
+    encoder = merge_dropout.Encoder(merges, 7, 0.2)
+    text = " ".join(["internationalization", "thing", "x" * 60] * 300)
+    for doc in (5, 6):
+        keys = merge_dropout.keyed(7, doc, np.arange(900))
+        chunks = encoder.chunks(text)
+        alone = [merges.segment([c], keys[i:i + 1], 0.2)[0] for i, c in enumerate(chunks)]
+        assert encoder.encode([doc], [text])[0] == b"".join(alone)
+        assert len(set(alone[::3])) > 20 and len(set(alone[1::3])) > 4
+    assert encoder.encode([5, None, 6], ["", "", text])[2] == b"".join(alone)
+
+
 def test_dropout_rows(spark):
     docs = table(spark, ODD)
     encoded = merge_dropout.encode_with_dropout(docs, PIECES, seed=3)
