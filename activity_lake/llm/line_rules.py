@@ -62,6 +62,12 @@ def line_key(line: Column) -> Column:
     return F.xxhash64(F.regexp_replace(F.regexp_replace(F.lower(trimmed(line)), BLANKS, " "), "[0-9]+", "0"))
 
 
+def lines_left(text: Column, removed: Column) -> Column:
+    """The text without the lines at these places, counted from 0."""
+    return bound(F.split(text, "\n"), lambda x: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(x) - 1), removed), lambda i: F.get(x, i)), "\n"))
+
+
 def base_figures(text: Column) -> dict[str, Column]:
     lines = F.filter(F.split(text, "\n"), lambda x: trimmed(x) != "")
     return {
@@ -80,12 +86,13 @@ def line_rules(
     min_left_words: int = MIN_LEFT_WORDS,
     min_left_percent: int = MIN_LEFT_PERCENT,
 ) -> DataFrame:
-    """One row per input row: the base figures, base_failed, n_common_lines, n_words_left, kept.
+    """One row per input row: the base figures, base_failed, n_common_lines, n_words_left, kept, text_left.
 
     Lines are compared by ``line_key`` within a host. One that more than ``max_texts`` different texts of its host
     have is common and counts as removed; copies of a text count once, since finding copies is not this rule's work.
     A document whose words outside common lines are fewer than ``min_left_words``, or than ``min_left_percent`` of
-    its words, is depleted. ``kept`` is false for documents that fail the base rules or are depleted.
+    its words, is depleted. ``kept`` is false for documents that fail the base rules or are depleted. ``text_left`` is
+    the text without its common lines, whether kept or not; a caller that drops it does not pay for its making.
 
     Null text has no words and fails the base rules; a null host is a host of its own. Repeated rows are judged
     alike, each in a row of its own; an empty table gives an empty result; other columns are not read.
@@ -96,11 +103,12 @@ def line_rules(
         column(host_col).cast("string").alias("host"),
         text.alias("text"))
     per_line = F.transform(
-        F.filter(F.split("text", "\n"), lambda x: trimmed(x) != ""),
-        lambda x: F.struct(line_key(x).alias("line"), F.size(words_of(x)).alias("words")))
+        F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("x"), i.alias("no"))),
+                 lambda x: trimmed(x["x"]) != ""),
+        lambda x: F.struct(line_key(x["x"]).alias("line"), F.size(words_of(x["x"])).alias("words"), x["no"]))
     judged = stage(rows.select(
         F.monotonically_increasing_id().alias("row"),
-        "doc_id", "host",
+        "doc_id", "host", "text",
         F.xxhash64("text").alias("content"),
         *[c.alias(n) for n, c in base_figures(F.col("text")).items()],
         bound(words_of(F.col("text")), lambda w: F.struct(
@@ -116,7 +124,8 @@ def line_rules(
     common = stage(common, "common-lines")
     removed = lines.join(
         common, F.col("host").eqNullSafe(F.col("c_host")) & (F.col("line") == F.col("c_line"))
-    ).groupBy("row").agg(F.count("*").alias("n_common_lines"), F.sum("words").alias("words_removed"))
+    ).groupBy("row").agg(F.count("*").alias("n_common_lines"), F.sum("words").alias("words_removed"),
+                         F.collect_list("no").alias("removed"))
 
     n_words, left = F.col("n_words"), F.col("n_words_left")
     base_failed = (n_words < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n_words)
@@ -126,4 +135,8 @@ def line_rules(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.coalesce("n_common_lines", F.lit(0)).cast("long").alias("n_common_lines"),
         (n_words - F.coalesce("words_removed", F.lit(0))).alias("n_words_left"),
-    ).select("*", base_failed.alias("base_failed"), (~base_failed & ~depleted).alias("kept"))
+        F.when(F.col("removed").isNull(), F.col("text")).otherwise(
+            lines_left(F.col("text"), F.col("removed"))).alias("text_left"),
+    ).select("*", base_failed.alias("base_failed"), (~base_failed & ~depleted).alias("kept")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_common_lines", "n_words_left",
+        "base_failed", "kept", "text_left")

@@ -69,7 +69,7 @@ b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_fail
 select *, not base_failed and not (n_common_lines > 0 and (n_words_left < 50 or 100 * n_words_left < 50 * n_words))
   as kept from b""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_rules(documents(spark, sf_dir))
+    return line_rules(documents(spark, sf_dir)).drop("text_left")
 
 
 @query("op5_substring_dedup", r"""

@@ -33,6 +33,14 @@ def test_common_lines_by_host(spark):
     assert all(r["kept"] and r["n_common_lines"] == 0 for r in got)
 
 
+def test_common_lines_are_removed(spark):
+    rows = [(k, f"Menu {k}\n\n{filler(k)}\n menu  7 \nown {filler(k, 3)}\n") for k in range(12)] + [(12, "alone\n\n"), (13, None)]
+    got = {r["doc_id"]: r["text_left"] for r in line_rules(table(spark, rows)).collect()}
+    assert got == {k: f"\n{filler(k)}\nown {filler(k, 3)}\n" for k in range(12)} | {12: "alone\n\n", 13: ""}
+    got = line_rules(table(spark, [(k, "menu 1\nmenu 2" + " " * k) for k in range(12)])).collect()
+    assert {r["text_left"] for r in got} == {""}
+
+
 def test_copies_count_once_and_repeated_rows_stay(spark):
     rows = [(k, filler(1)) for k in range(30)] + [(0, filler(1))]
     got = line_rules(table(spark, rows)).collect()
