@@ -85,11 +85,12 @@ def line_rules(
     max_texts: int = MAX_TEXTS,
     min_left_words: int = MIN_LEFT_WORDS,
     min_left_percent: int = MIN_LEFT_PERCENT,
+    count_copies: bool = False,
 ) -> DataFrame:
     """One row per input row: the base figures, base_failed, n_common_lines, n_words_left, kept, text_left.
 
     Lines are compared by ``line_key`` within a host. One that more than ``max_texts`` different texts of its host
-    have is common and counts as removed; copies of a text count once, since finding copies is not this rule's work.
+    have is common and counts as removed; copies of a text count once, or each with ``count_copies``, where all rows are documents of their own.
     A document whose words outside common lines are fewer than ``min_left_words``, or than ``min_left_percent`` of
     its words, is depleted. ``kept`` is false for documents that fail the base rules or are depleted. ``text_left`` is
     the text without its common lines, whether kept or not; a caller that drops it does not pay for its making.
@@ -118,7 +119,7 @@ def line_rules(
 
     lines = judged.select("row", "host", "content", F.explode("lines").alias("l")).select(
         "row", "host", "content", "l.*")
-    texts = lines.groupBy("host", "line", "content").agg(F.lit(1).alias("one"))
+    texts = lines.groupBy("host", "line", "row" if count_copies else "content").agg(F.lit(1).alias("one"))
     common = texts.groupBy("host", "line").agg(F.count("*").alias("n_texts")).filter(
         F.col("n_texts") > max_texts).select(F.col("host").alias("c_host"), F.col("line").alias("c_line"))
     common = stage(common, "common-lines")

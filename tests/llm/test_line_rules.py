@@ -47,5 +47,12 @@ def test_copies_count_once_and_repeated_rows_stay(spark):
     assert len(got) == 31 and all(r["kept"] for r in got)
 
 
+def test_copies_are_counted_where_asked(spark):
+    docs = table(spark, [(k, filler(1)) for k in range(11)] + [(20 + k, f"{filler(2)}\n{filler(2)}") for k in range(10)])
+    got = {r["doc_id"]: r for r in line_rules(docs, count_copies=True).collect()}
+    assert all(got[k]["n_common_lines"] == 1 and not got[k]["kept"] and got[k]["text_left"] == "" for k in range(11))
+    assert all(got[20 + k]["n_common_lines"] == 0 for k in range(10))
+
+
 def test_empty_table(spark):
     assert line_rules(table(spark, ODD).limit(0)).count() == 0
