@@ -16,6 +16,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+
+
 def column(name: str) -> Column:
     """A top-level column, whatever characters its name has."""
     return F.col("`" + name.replace("`", "``") + "`")
