@@ -17,6 +17,7 @@ from activity_lake.operators.diff import (
 )
 from activity_lake.operators.quality import FAILED, SUCCESS, WARNING, publish
 from activity_lake.operators.shaping import attach_comments, conform, with_batch
+from activity_lake.operators.versions import BucketTable
 from activity_lake.plans.suites import activity_suite
 from activity_lake.session import new_path
 from activity_lake.sources.tables import append_token_records, job_stages, write_stage
@@ -67,18 +68,20 @@ def comment_actions(
 
 def ingest_activities(
     sheet: DataFrame,
-    stored: DataFrame,
+    stored: DataFrame | BucketTable,
     employees: DataFrame,
     key: str,
-    target: str,
+    target: str | None = None,
     writers: dict[str, Callable[[str], str]] | None = None,
     token_path: str | None = None,
     parallel: int | None = None,
     account: str | None = None,
 ) -> dict[str, str]:
-    """Audit, compare, comment and write the new version to ``target``.
+    """Audit, compare, comment and carry out the changes.
 
-    ``target`` must not be the folder ``stored`` is read from. Returns the
+    A ``stored`` table in buckets gets its next version: equal buckets are not
+    read, untouched ones not written. Otherwise the whole new table goes to
+    ``target``, which must not be the folder ``stored`` is read from. Returns the
     step statuses and whether the flow went on; with writers also whether they
     wrote all comments. ``account`` is a folder for what the run did: all
     ``violations``, the ``audit`` of old and new values, the ``counts`` per kind
@@ -98,10 +101,13 @@ def _ingest(sheet, stored, employees, key, target, writers, token_path, parallel
     if status == FAILED:
         return {"validate": status, "continue": "NO"}
     incoming = write_stage(fingerprint(spark.read.parquet(valid_path)), name="fingerprinted")
-    stored = stored.select(*schemas.STORED_COLUMNS)
     # The suite has just checked the incoming ids; stored ones are keys.
-    labels = write_stage(diff_labels(incoming, stored, unique=True), name="labels")
-    actions = write_stage(snapshot_diff(incoming, stored, labels=labels), name="actions")
+    if isinstance(stored, BucketTable):
+        actions = write_stage(stored.diff(incoming), name="actions")
+    else:
+        stored = stored.select(*schemas.STORED_COLUMNS)
+        labels = write_stage(diff_labels(incoming, stored, unique=True), name="labels")
+        actions = write_stage(snapshot_diff(incoming, stored, labels=labels), name="actions")
     gate = diff_gate(diff_summary(actions, incoming)).first()
     statuses = {"validate": status, "scan": gate["status"], "continue": gate["continue"]}
     if gate["continue"] == "YES":
@@ -113,5 +119,8 @@ def _ingest(sheet, stored, employees, key, target, writers, token_path, parallel
             statuses["comments"] = SUCCESS if spark.read.parquet(rejects).isEmpty() else WARNING
         change_counts(commented).write.mode("overwrite").parquet(f"{account}/counts")
         change_audit(actions, schemas.FINGERPRINT_COLUMNS).write.mode("overwrite").parquet(f"{account}/audit")
-        apply_changes(stored, commented).write.mode("overwrite").parquet(target)
+        if isinstance(stored, BucketTable):
+            stored.apply(commented)
+        else:
+            apply_changes(stored, commented).write.mode("overwrite").parquet(target)
     return statuses

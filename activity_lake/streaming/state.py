@@ -2,17 +2,13 @@
 
 Each micro-batch adds its last event per key to a change folder of its own, at
 a cost that depends on the batch and not on the table. Readers take the last
-event of each key; compacting bounds what they have to read. A snapshot goes
-to a new folder, which the pointer then names: nothing that is read is ever
-overwritten.
+event of each key; compacting bounds what they have to read. Folders count only
+once they are marked complete (see ``sources.commits``), so readers and
+compaction may run beside the stream.
 """
 
 from __future__ import annotations
 
-import time
-import uuid
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,10 +16,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from activity_lake.operators.cdc import EVENT_ORDER, cdc_events, latest_state
 from activity_lake.operators.diff import chosen_actions
-from activity_lake.sources.tables import read_or_empty, remove_path
+from activity_lake.sources.commits import BatchStore
 from activity_lake.streaming.gold import foreach_batch
 
 ORDER = (*EVENT_ORDER, "batch_id")
+# A stream's events are ordered by the source's clock, runs by their number: they cannot share a state.
+STREAM, RUNS = "events of a stream", "numbered runs"
 
 
 def start_upsert(
@@ -31,26 +29,32 @@ def start_upsert(
 ) -> StreamingQuery:
     """Keep the state under ``path`` up to date.
 
-    A repeated batch replaces its own folder. State and checkpoint belong
-    together: a new checkpoint needs a new path.
+    A repeated batch that is complete is left as it is. State and checkpoint
+    belong together: a new checkpoint needs a new path.
     """
+    store = BatchStore(raw.sparkSession, path)
+    store.claim(STREAM)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest_state(batch).write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        store.add(latest_state(batch).withColumn("batch_id", F.lit(batch_id).cast("long")), batch_id)
 
     return foreach_batch(cdc_events(raw, row), write, checkpoint, once)
 
 
-def record_changes(actions: DataFrame, row: T.StructType, path: str, run: int, key: str = "id") -> None:
+def record_changes(actions: DataFrame, row: T.StructType, path: str, run: int, key: str = "id") -> bool:
     """Carry the actions of a snapshot comparison out as changes of run ``run``.
 
     What is written depends on the actions, not on the table. Runs are numbered
-    upwards; a repeated run replaces its own folder.
+    without gaps from the first one on. A run that is complete is not repeated:
+    its actions were found against a state that had none of them.
     """
+    store = BatchStore(actions.sparkSession, path)
+    store.claim(RUNS, first=run)
     op = F.when(F.col("status") == "deleted", "d").when(F.col("status") == "new", "c").otherwise("u")
-    chosen_actions(actions, key).select(
-        *row.fieldNames(), op.alias("op"), F.lit(run).cast("long").alias("ts_ms"),
-        F.lit(None).cast("long").alias("lsn"),
-    ).write.mode("overwrite").parquet(f"{path}/changes/batch_id={run}")
+    number = F.lit(run).cast("long")
+    return store.add(chosen_actions(actions, key).select(
+        *row.fieldNames(), op.alias("op"), number.alias("ts_ms"), F.lit(None).cast("long").alias("lsn"),
+        number.alias("batch_id")), run)
 
 
 def _event_schema(row: T.StructType) -> T.StructType:
@@ -60,70 +64,27 @@ def _event_schema(row: T.StructType) -> T.StructType:
     ])
 
 
-def _pointer(spark: SparkSession, path: str) -> tuple[int, str | None]:
-    """Last batch in the current snapshot and the snapshot's folder; -1 without one."""
-    try:
-        pointer = spark.read.schema("upto long, folder string").json(f"{path}/pointer")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return -1, None
-        raise
-    last = pointer.agg(F.max(F.struct("upto", "folder")).alias("p")).first()["p"]
-    return (last["upto"], last["folder"]) if last else (-1, None)
-
-
-def _changes(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:
-    return read_or_empty(spark, f"{path}/changes", _event_schema(row))
-
-
-def _last_events(spark: SparkSession, path: str, row: T.StructType, until: int | None = None) -> DataFrame:
-    upto, folder = _pointer(spark, path)
-    events = _changes(spark, path, row).filter(F.col("batch_id") > upto)
-    if until is not None:
-        events = events.filter(F.col("batch_id") <= until)
-    if folder:
-        events = events.unionByName(
-            spark.read.schema(_event_schema(row)).parquet(f"{path}/snapshots/{folder}"))
-    return latest_state(events, order=ORDER)
-
-
 def current_state(spark: SparkSession, path: str, row: T.StructType) -> DataFrame:
     """The rows alive now; none before the first batch."""
     alive = F.coalesce(F.col("op") != "d", F.lit(True))
-    return _last_events(spark, path, row).filter(alive).select(*row.fieldNames())
+    events, _ = BatchStore(spark, path).read(_event_schema(row))
+    return latest_state(events, order=ORDER).filter(alive).select(*row.fieldNames())
 
 
 def compact(spark: SparkSession, path: str, row: T.StructType) -> int:
     """Write a new snapshot and then point to it; deleted keys stay marked in it.
 
-    Returns the last batch it covers. Without a batch after the snapshot there
-    is nothing to do.
+    Returns the last batch it covers: the last of the unbroken run of complete
+    ones. Without a batch after the snapshot there is nothing to do.
     """
-    upto, _ = _pointer(spark, path)
-    last = _changes(spark, path, row).agg(F.max("batch_id").alias("m")).first()["m"]
-    if last is None or last <= upto:
-        return upto
-    folder = f"upto={last}-{uuid.uuid4().hex}"
-    _last_events(spark, path, row, until=last).write.parquet(f"{path}/snapshots/{folder}")
-    spark.createDataFrame([(last, folder)], "upto long, folder string").coalesce(1) \
-        .write.mode("append").json(f"{path}/pointer")
+    store = BatchStore(spark, path)
+    upto, _ = store.snapshot()
+    events, last = store.read(_event_schema(row))
+    if last > upto:
+        store.point(latest_state(events, order=ORDER), last)
     return last
 
 
 def prune(spark: SparkSession, path: str, keep_hours: float = 24.0) -> int:
-    """Remove change folders and snapshots that the pointer has superseded; returns how many.
-
-    Folders younger than ``keep_hours`` stay for readers that still use them.
-    """
-    upto, folder = _pointer(spark, path)
-    before, removed = (time.time() - 3600 * keep_hours) * 1000, 0
-    for part in ("changes", "snapshots") if folder else ():
-        top = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}")
-        for found in top.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(top):
-            name = found.getPath().getName()
-            number = name.removeprefix("batch_id=")
-            covered = number.isdigit() and int(number) <= upto if part == "changes" else name != folder
-            if covered and found.isDirectory() and found.getModificationTime() <= before:
-                remove_path(spark, found.getPath().toString())
-                removed += 1
-    return removed
+    """Remove change folders and snapshots that the pointer has superseded; returns how many."""
+    return BatchStore(spark, path).prune(keep_hours)

@@ -85,10 +85,10 @@ def test_recorded_changes_leave_other_folders_alone(spark, tmp_path):
         record_changes(write_stage(snapshot_diff(incoming, stored, labels=labels)), schema, path, run)
 
     step(1, table(*[(str(i), "run") for i in range(200)]))
-    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/changes/batch_id=1/*")}
+    before = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/changes/1-*/*")}
     step(2, table(*[(str(i), "ski" if i == 7 else "run") for i in range(1, 200)], ("new", "run")))
-    assert before == {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/changes/batch_id=1/*")}
-    assert spark.read.parquet(f"{path}/changes/batch_id=2").count() == 3
+    assert before == {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/changes/1-*/*")}
+    assert spark.read.parquet(*glob.glob(f"{path}/changes/2-*")).count() == 3
     assert rows(current_state(spark, path, ROW)) == sorted(
         [(str(i), "ski" if i == 7 else "run") for i in range(1, 200)] + [("new", "run")])
 
