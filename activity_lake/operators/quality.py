@@ -86,46 +86,42 @@ class Between(Rule):
         return F.coalesce(reduce(Column.__or__, tests), F.lit(False))
 
 
+def _text(df: DataFrame, name: str) -> Column:
+    """A column's value as text that is equal where the values are."""
+    return (F.col(name) + 0.0 if dict(df.dtypes)[name] in ("float", "double") else F.col(name)).cast("string")
+
+
 @dataclass(frozen=True)
 class ByValue(Rule):
     """A rule decided by the distinct values of the column.
 
-    ``found`` holds the bad values once they have been looked up.
+    ``found`` holds the bad values, as text, once they have been looked up.
     """
 
     found: DataFrame | None = field(default=None, compare=False, kw_only=True)
 
     def settled(self, df: DataFrame) -> ByValue:
         """The same rule with its bad values looked up, for report and cleaning to share."""
-        return replace(self, found=self.lookup(df))
-
-    def lookup(self, df: DataFrame) -> DataFrame:
-        """Bad values as a written table.
+        return settle(df, [self])[0]
 
-        The planner knows from its size whether it may be broadcast; where it
-        may not, AQE can split an oversized side, which it cannot next to an
-        aggregate on the same key.
-        """
-        return write_stage(self.bad_values(df), name="values") if self.found is None else self.found
-
-    def bad_values(self, df: DataFrame) -> DataFrame:
-        """``_value`` and ``_rows`` of each value that breaks the rule."""
+    def bad(self, rows: Column, known: Column) -> Column:
+        """Whether a value with so many rows, that is known or not, breaks the rule."""
         raise NotImplementedError
 
-    def _values(self, df: DataFrame) -> DataFrame:
-        named = df.select(F.col(self.column).alias("_value")).filter(F.col("_value").isNotNull())
-        return named.groupBy("_value").agg(F.count("*").alias("_rows"))
+    def known_values(self) -> tuple[DataFrame, str] | None:
+        """The table and column of known values, if the rule has one."""
+        return None
 
     def violating(self, df: DataFrame) -> DataFrame:
-        bad = self.lookup(df).select("_value")
-        return df.join(bad, F.col(self.column) == F.col("_value"), "left_semi")
+        bad = self.settled(df).found.select("_value")
+        return df.join(bad, _text(df, self.column) == F.col("_value"), "left_semi")
 
     def satisfying(self, df: DataFrame) -> DataFrame:
-        bad = self.lookup(df).select("_value")
-        return df.join(bad, F.col(self.column) == F.col("_value"), "left_anti")
+        bad = self.settled(df).found.select("_value")
+        return df.join(bad, _text(df, self.column) == F.col("_value"), "left_anti")
 
     def count(self, df: DataFrame) -> DataFrame:
-        bad = self.bad_values(df) if self.found is None else self.found
+        bad = bad_values(df, [(1, self)]) if self.found is None else self.found
         return bad.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("broken"))
 
 
@@ -133,8 +129,8 @@ class ByValue(Rule):
 class Unique(ByValue):
     """No repeated value; every copy breaks the rule, nulls pass."""
 
-    def bad_values(self, df: DataFrame) -> DataFrame:
-        return self._values(df).filter("_rows > 1")
+    def bad(self, rows: Column, known: Column) -> Column:
+        return rows > 1
 
 
 @dataclass(frozen=True)
@@ -144,9 +140,50 @@ class DistinctInSet(ByValue):
     known: DataFrame = field(default=None, compare=False)
     known_column: str = "id"
 
-    def bad_values(self, df: DataFrame) -> DataFrame:
-        known = self.known.select(F.col(self.known_column).alias("_value")).distinct()
-        return self._values(df).join(known, "_value", "left_anti")
+    def bad(self, rows: Column, known: Column) -> Column:
+        return (rows > 0) & ~known
+
+    def known_values(self) -> tuple[DataFrame, str] | None:
+        return self.known, self.known_column
+
+
+def bad_values(df: DataFrame, numbered: list[tuple[int, ByValue]]) -> DataFrame:
+    """``position``, ``_value`` and ``_rows`` of each value that breaks its by-value rule.
+
+    One aggregate for any number of rules, which combines per task: the values
+    of all their columns, and the known values beside them.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+    cells = [F.when(F.col(r.column).isNotNull(), F.struct(F.lit(p).alias("position"), _text(df, r.column).alias("_value")))
+             for p, r in numbered]
+    parts = [df.select(F.inline(F.array_compact(F.array(*cells)))).withColumns({"_n": F.lit(1), "_known": F.lit(False)})]
+    for p, rule in numbered:
+        if rule.known_values():
+            table, name = rule.known_values()
+            typed = table.select(F.col(name).try_cast(kinds[rule.column]).alias(name))
+            parts.append(typed.select(
+                F.lit(p).alias("position"), _text(typed, name).alias("_value"), F.lit(0).alias("_n"),
+                F.lit(True).alias("_known")).filter(F.col("_value").isNotNull()))
+    values = reduce(DataFrame.unionByName, parts).groupBy("position", "_value").agg(
+        F.sum("_n").alias("_rows"), F.bool_or("_known").alias("_known"))
+    broken = reduce(lambda found, pr: F.when(F.col("position") == pr[0], pr[1].bad(F.col("_rows"), F.col("_known"))).otherwise(
+        found), numbered, F.lit(False))
+    return values.filter(broken).select("position", "_value", "_rows")
+
+
+def settle(df: DataFrame, suite: list[Rule]) -> list[Rule]:
+    """The suite with the bad values of its by-value rules looked up, all by one aggregate.
+
+    They are a written table: the planner knows from its size whether it may be
+    broadcast; where it may not, AQE can split an oversized side, which it
+    cannot next to an aggregate on the same key.
+    """
+    todo = [(p, r) for p, r in enumerate(suite) if isinstance(r, ByValue) and r.found is None]
+    if not todo:
+        return suite
+    found = write_stage(bad_values(df, todo), name="values")
+    settled = {p: replace(r, found=found.filter(F.col("position") == p).drop("position")) for p, r in todo}
+    return [settled.get(p, r) for p, r in enumerate(suite)]
 
 
 def rank(status: Column) -> Column:
@@ -177,14 +214,19 @@ def violations(
             shown(rule.reference).alias("reference"), shown(rule.column).alias("value"),
         )
 
-    numbered = [(p, r) for p, r in enumerate(suite, 1) if not (dropping and r.keep_row)]
-    if not numbered:
+    chosen = [(p, r) for p, r in enumerate(suite, 1) if not (dropping and r.keep_row)]
+    if not chosen:
         return df.sparkSession.createDataFrame([], "position int, rule string, reference string, value string")
+    numbered = [(p, r) for (p, _), r in zip(chosen, settle(df, [r for _, r in chosen]))]
     direct = [(p, r) for p, r in numbered if not isinstance(r, ByValue)]
-    parts = [
-        r.violating(df).select(entry(p, r).alias("v")).select("v.*")
-        for p, r in numbered if isinstance(r, ByValue)
-    ]
+    by_value = [(p, r) for p, r in numbered if isinstance(r, ByValue)]
+    parts = []
+    if by_value:
+        cells = F.array(*[F.struct(F.lit(p).alias("_p"), _text(df, r.column).alias("_v"), entry(p, r).alias("v"))
+                          for p, r in by_value])
+        bad = reduce(DataFrame.unionByName, [r.found.select(F.lit(p).alias("_position"), "_value") for p, r in by_value])
+        same = (F.col("_p") == F.col("_position")) & (F.col("_v") == F.col("_value"))
+        parts.append(df.select(F.inline(cells)).join(bad, same, "left_semi").select("v.*"))
     if direct:
         found = F.array_compact(F.array(*[F.when(r.broken(), entry(p, r)) for p, r in direct]))
         parts.append(df.select(F.explode(found).alias("v")).select("v.*"))
@@ -208,11 +250,6 @@ def samples(found: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
     )
 
 
-def settle(df: DataFrame, suite: list[Rule]) -> list[Rule]:
-    """The suite with its by-value rules looked up, each by one aggregate."""
-    return [r.settled(df) if isinstance(r, ByValue) else r for r in suite]
-
-
 def run_suite(
     df: DataFrame, suite: list[Rule], with_sample: bool = True, sample_size: int = SAMPLE_SIZE
 ) -> DataFrame:
@@ -220,46 +257,49 @@ def run_suite(
 
     ``position, rule, severity, result, broken`` and, if asked for, ``sample``:
     the first ``sample_size`` violations, a reading aid. ``violations`` lists
-    them all. Counts are exact.
+    them all. Counts are exact. The shuffles do not grow with the suite: one to
+    look up bad values, one for the samples, one for the report, and two more
+    where the bad values are too many to be broadcast.
     """
-    if with_sample:
-        suite = settle(df, suite)
+    suite = settle(df, suite)
     numbered = list(enumerate(suite, 1))
-    direct = [(p, r) for p, r in numbered if not isinstance(r, ByValue)]
+    direct = [F.when(r.broken(), F.lit(p)) for p, r in numbered if not isinstance(r, ByValue)]
     parts = [
-        r.count(df).select(F.lit(p).alias("position"), "broken")
+        r.found.select(F.lit(p).alias("position"), F.col("_rows").alias("broken"))
         for p, r in numbered if isinstance(r, ByValue)
     ]
     if direct:
-        counted = df.agg(*[F.count_if(r.broken()).alias(f"_{p}") for p, r in direct])
-        cells = [F.struct(F.lit(p).alias("position"), F.col(f"_{p}").alias("broken")) for p, _ in direct]
-        parts.append(counted.select(F.explode(F.array(*cells)).alias("c")).select("c.*"))
-    report = _report(reduce(DataFrame.unionByName, parts), suite)
-    if not with_sample:
-        return report
-    return report.join(samples(violations(df, suite), sample_size), "position", "left")
+        broken = df.select(F.explode(F.array_compact(F.array(*direct))).alias("position"))
+        parts.append(broken.withColumn("broken", F.lit(1).cast("long")))
+    return _report(df, parts, suite, samples(violations(df, suite), sample_size) if with_sample else None)
 
 
 def report_of(found: DataFrame, suite: list[Rule], sample_size: int = SAMPLE_SIZE) -> DataFrame:
     """The same report from the listed violations, which are a written table."""
-    positions = range(1, len(suite) + 1)
-    counted = found.agg(*[F.count_if(F.col("position") == p).alias(f"_{p}") for p in positions])
-    cells = [F.struct(F.lit(p).alias("position"), F.col(f"_{p}").alias("broken")) for p in positions]
-    counts = counted.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-    return _report(counts, suite).join(samples(found, sample_size), "position", "left")
+    counts = found.select("position", F.lit(1).cast("long").alias("broken"))
+    return _report(found, [counts], suite, samples(found, sample_size))
 
 
-def _report(counts: DataFrame, suite: list[Rule]) -> DataFrame:
-    numbered = enumerate(suite, 1)
+def _report(df: DataFrame, counts: list[DataFrame], suite: list[Rule], sampled: DataFrame | None) -> DataFrame:
+    """One aggregate over the counts of broken rows, the samples, and a zero for each rule."""
+    numbered = list(enumerate(suite, 1))
+    zeros = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(p) for p, _ in numbered])).alias("position"), F.lit(0).cast("long").alias("broken"))
+    none = F.lit(None).cast("string")
+    parts = [part.withColumn("sample", none) for part in [zeros, *counts]]
+    if sampled is not None:
+        parts.append(sampled.select("position", F.lit(0).cast("long").alias("broken"), "sample"))
+    total = reduce(DataFrame.unionByName, parts).groupBy("position").agg(
+        F.sum("broken").alias("broken"), F.max("sample").alias("sample"))
     # The suite itself is a short list, so its texts go in as a literal map.
     texts = F.create_map(*[c for p, r in numbered for c in (
         F.lit(p), F.struct(F.lit(r.description).alias("rule"), F.lit(r.severity).alias("severity")))])
     about = texts[F.col("position")]
     result = F.when(F.col("broken") == 0, SUCCESS).when(F.col("severity") == FAILED, FAILED).otherwise(WARNING)
-    return (
-        counts.select("position", about["rule"].alias("rule"), about["severity"].alias("severity"), "broken")
-        .withColumn("result", result)
-    )
+    report = total.select(
+        "position", about["rule"].alias("rule"), about["severity"].alias("severity"), "broken", "sample"
+    ).withColumn("result", result)
+    return report if sampled is not None else report.drop("sample")
 
 
 def suite_status(report: DataFrame) -> DataFrame:
@@ -285,6 +325,7 @@ def _droppers(suite: list[Rule]) -> list[Rule]:
 
 def clean(df: DataFrame, suite: list[Rule], status: str | None = None) -> DataFrame:
     """Rows fit for publishing; none, with the same columns, when the suite fails."""
+    suite = settle(df, suite)
     status = status or status_of(run_suite(df, suite, with_sample=False))
     return df.filter(F.lit(False)) if status == FAILED else keep_valid(df, suite)
 

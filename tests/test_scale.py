@@ -11,7 +11,9 @@ from activity_lake.operators.comments import parse_answers
 from activity_lake.operators.diff import (
     apply_changes, diff_labels, fingerprint, mark_duplicates, snapshot_diff,
 )
-from activity_lake.operators.quality import NotNull, Unique, Between, run_suite, samples, violations
+from activity_lake.operators.quality import (
+    Between, DistinctInSet, NotNull, Unique, bad_values, run_suite, samples, settle, violations,
+)
 from activity_lake.operators.places import flatten_places
 from activity_lake.operators.reporting import social_year_stats
 from activity_lake.operators.shaping import dedupe, enrich_names, exists_in, orphans, share, with_batch
@@ -73,7 +75,7 @@ def test_keys_are_combined_before_the_shuffle(spark, hot, no_broadcast):
     assert exchanges(diff_labels(hot, hot, unique=True)) == 2
     assert set(re.findall(r"ReadSchema: (\S+)", text)) == {"struct<id:string,fingerprint:string>"}
     unique = Unique("id", "")
-    assert exchanges(unique.count(hot)) == 2 and "partial_count" in plan(unique.count(hot))
+    assert exchanges(unique.count(hot)) == 2 and "partial_sum" in plan(unique.count(hot))
     gold = hot.selectExpr("id as employee_id", "'y' as social_year", "v as distance_meters", "v as duration_sec")
     assert exchanges(social_year_stats(gold)) == 1 and "partial_sum" in plan(social_year_stats(gold))
 
@@ -103,6 +105,18 @@ def test_no_full_outer_join_or_cartesian_product(views):
         assert "FullOuter" not in text and "CartesianProduct" not in text, name
 
 
+def test_shuffles_of_a_report_do_not_grow_with_the_suite(spark, hot):
+    known = write_stage(hot.select("id").distinct().filter("id <> 'hot'"))
+    by_value = [Unique("id", ""), DistinctInSet("id", "", known=known), Unique("v", ""), Unique("fingerprint", "")]
+    for times in (1, 3):
+        suite = [*by_value, NotNull("id", ""), Between("v", "", high=10)] * times
+        assert exchanges(bad_values(hot, list(enumerate(suite[:4] * times)))) == 1
+        report = run_suite(hot, suite)
+        # One more looked up the bad values: three in all.
+        assert exchanges(report) == 2 and exchanges(run_suite(hot, settle(hot, suite), with_sample=False)) == 1
+        assert [r["broken"] for r in report.orderBy("position").collect()] == [20_000, 10_000, 10_001, 10_001, 0, 19_993] * times
+
+
 def test_hot_keys_give_whole_results(spark, hot, no_broadcast):
     assert mark_duplicates(hot).groupBy("duplicated").count().orderBy("duplicated").collect() == [(False, 10_000), (True, 20_000)]
     report = run_suite(hot, [Unique("id", ""), NotNull("id", ""), Between("v", "", high=10)])
