@@ -39,9 +39,9 @@ def exact_dedup(
         F.octet_length("norm").alias("size"),
         F.xxhash64(F.substring("norm", 1, prefix_chars)).alias("head"),
     ), "exact-keys")
-    sizes = keys.groupBy("size").agg(F.count("*").alias("n")).filter("n > 1").select("size")
+    sizes = stage(keys.groupBy("size").agg(F.count("*").alias("n")).filter("n > 1").select("size"), "exact-sizes")
     by_size = keys.join(sizes, "size", "left_semi")
-    heads = by_size.groupBy("size", "head").agg(F.count("*").alias("n")).filter("n > 1").select("size", "head")
+    heads = stage(by_size.groupBy("size", "head").agg(F.count("*").alias("n")).filter("n > 1").select("size", "head"), "exact-heads")
     open_ids = stage(
         by_size.join(heads, ["size", "head"], "left_semi").select("doc_id").distinct(), "exact-open")
 
@@ -49,8 +49,8 @@ def exact_dedup(
     hashed = stage(
         keep_rows(rows, open_ids).select("doc_id", digest)
         .groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n_rows")), "exact-hashed")
-    groups = hashed.groupBy("text_sha256").agg(
-        F.min("doc_id").alias("keep_id"), F.sum("n_rows").alias("group_size"))
+    groups = stage(hashed.groupBy("text_sha256").agg(
+        F.min("doc_id").alias("keep_id"), F.sum("n_rows").alias("group_size")), "exact-groups")
     grouped = hashed.join(groups, "text_sha256").withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int"))))
     grouped = grouped.select(

@@ -11,9 +11,10 @@ from activity_lake.llm.common import stage
 def _hung_on_least(links: DataFrame, keep_least: bool) -> DataFrame:
     """Links (node, other) of each node, moved to the least of the node's others.
 
-    The least is aggregated apart, so a node with very many links is only the many side of a join.
+    The least is aggregated apart and written, so a node with very many links is only the many side of a join that AQE
+    can split.
     """
-    least = links.groupBy("node").agg(F.min("other").alias("least"))
+    least = stage(links.groupBy("node").agg(F.min("other").alias("least")), "least")
     moved = links.join(least, "node").select(
         F.col("other").alias("node"), F.least("least", "node").alias("other"), F.col("node").alias("was"))
     if keep_least:

@@ -12,8 +12,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-# A line is common when more than this many different texts of one host have it.
-MAX_TEXTS = 10
+# A line is common when more than this many documents of one host have it.
+MAX_DOCS = 10
 # A document is depleted when its words outside common lines are fewer than either bound.
 MIN_LEFT_WORDS = 50
 MIN_LEFT_PERCENT = 50
@@ -82,18 +82,18 @@ def line_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     host_col: str = "source",
-    max_texts: int = MAX_TEXTS,
+    max_docs: int = MAX_DOCS,
     min_left_words: int = MIN_LEFT_WORDS,
     min_left_percent: int = MIN_LEFT_PERCENT,
-    count_copies: bool = False,
+    with_text: bool = False,
 ) -> DataFrame:
-    """One row per input row: the base figures, base_failed, n_common_lines, n_words_left, kept, text_left.
+    """One row per input row: the base figures, base_failed, n_common_lines, n_words_left, kept.
 
-    Lines are compared by ``line_key`` within a host. One that more than ``max_texts`` different texts of its host
-    have is common and counts as removed; copies of a text count once, or each with ``count_copies``, where all rows are documents of their own.
+    Lines are compared by ``line_key`` within a host. One that more than ``max_docs`` documents of its host have, by
+    their ids, is common and counts as removed; a row without an id is a document of its own.
     A document whose words outside common lines are fewer than ``min_left_words``, or than ``min_left_percent`` of
-    its words, is depleted. ``kept`` is false for documents that fail the base rules or are depleted. ``text_left`` is
-    the text without its common lines, whether kept or not; a caller that drops it does not pay for its making.
+    its words, is depleted. ``kept`` is false for documents that fail the base rules or are depleted. ``with_text``
+    adds ``text_left``, the text without its common lines, whether kept or not; the texts are then written on the way.
 
     Null text has no words and fails the base rules; a null host is a host of its own. Repeated rows are judged
     alike, each in a row of its own; an empty table gives an empty result; other columns are not read.
@@ -109,35 +109,35 @@ def line_rules(
         lambda x: F.struct(line_key(x["x"]).alias("line"), F.size(words_of(x["x"])).alias("words"), x["no"]))
     judged = stage(rows.select(
         F.monotonically_increasing_id().alias("row"),
-        "doc_id", "host", "text",
-        F.xxhash64("text").alias("content"),
+        "doc_id", "host", *(["text"] if with_text else []),
         *[c.alias(n) for n, c in base_figures(F.col("text")).items()],
         bound(words_of(F.col("text")), lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"), repeat_words(w).alias("n_repeat_words"))).alias("of_words"),
         per_line.alias("lines"),
     ).select("*", "of_words.*").drop("of_words"), "line-rules")
 
-    lines = judged.select("row", "host", "content", F.explode("lines").alias("l")).select(
-        "row", "host", "content", "l.*")
-    texts = lines.groupBy("host", "line", "row" if count_copies else "content").agg(F.lit(1).alias("one"))
-    common = texts.groupBy("host", "line").agg(F.count("*").alias("n_texts")).filter(
-        F.col("n_texts") > max_texts).select(F.col("host").alias("c_host"), F.col("line").alias("c_line"))
+    lines = judged.select("row", "doc_id", "host", F.explode("lines").alias("l")).select("row", "doc_id", "host", "l.*")
+    nameless = F.when(F.col("doc_id").isNull(), F.col("row"))
+    docs_with = lines.groupBy("host", "line", "doc_id", nameless.alias("nameless")).agg(F.lit(1).alias("one"))
+    common = docs_with.groupBy("host", "line").agg(F.count("*").alias("n_docs")).filter(
+        F.col("n_docs") > max_docs).select(F.col("host").alias("c_host"), F.col("line").alias("c_line"))
     common = stage(common, "common-lines")
     removed = lines.join(
         common, F.col("host").eqNullSafe(F.col("c_host")) & (F.col("line") == F.col("c_line"))
     ).groupBy("row").agg(F.count("*").alias("n_common_lines"), F.sum("words").alias("words_removed"),
-                         F.collect_list("no").alias("removed"))
+                         *([F.collect_list("no").alias("removed")] if with_text else []))
 
     n_words, left = F.col("n_words"), F.col("n_words_left")
     base_failed = (n_words < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n_words)
     depleted = (F.col("n_common_lines") > 0) & (
         (left < min_left_words) | (100 * left < min_left_percent * n_words))
-    return judged.drop("lines", "content", "host").join(removed, "row", "left").select(
+    text_left = [F.when(F.col("removed").isNull(), F.col("text")).otherwise(
+        lines_left(F.col("text"), F.col("removed"))).alias("text_left")] if with_text else []
+    return judged.drop("lines", "host").join(removed, "row", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.coalesce("n_common_lines", F.lit(0)).cast("long").alias("n_common_lines"),
         (n_words - F.coalesce("words_removed", F.lit(0))).alias("n_words_left"),
-        F.when(F.col("removed").isNull(), F.col("text")).otherwise(
-            lines_left(F.col("text"), F.col("removed"))).alias("text_left"),
+        *text_left,
     ).select("*", base_failed.alias("base_failed"), (~base_failed & ~depleted).alias("kept")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_common_lines", "n_words_left",
-        "base_failed", "kept", "text_left")
+        "base_failed", "kept", *(["text_left"] if with_text else []))

@@ -67,7 +67,7 @@ per_line as (select doc_id, host, text, l, len(list_filter(regexp_split_to_array
   as n, regexp_replace(regexp_replace(trim(lower(l), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
   '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g') as line
   from (select doc_id, host, text, unnest(lines) as l from w)),
-common as (select host, line from per_line group by all having count(distinct text) > 10),
+common as (select host, line from per_line group by all having count(distinct doc_id) > 10),
 removed as (select doc_id, count(*) as n_common_lines, sum(n) as gone from per_line join common
   on per_line.line = common.line and per_line.host is not distinct from common.host group by doc_id),
 f as (select doc_id, cast(len(words) as bigint) as n_words,
@@ -82,7 +82,7 @@ b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_fail
 select *, not base_failed and not (n_common_lines > 0 and (n_words_left < 50 or 100 * n_words_left < 50 * n_words))
   as kept from b""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_rules(documents(spark, sf_dir)).drop("text_left")
+    return line_rules(documents(spark, sf_dir))
 
 
 @query("op5_substring_dedup", r"""

@@ -24,34 +24,34 @@ def test_common_lines_by_host(spark):
     common = " ".join(f"menu{i}" for i in range(80))
     rows = [(k, f"{filler(k)}\n  {common.upper() if k % 2 else common} ") for k in range(12)]
     docs = table(spark, rows, source="case when doc_id < 11 then 'a' else null end")
-    got = {r["doc_id"]: r for r in line_rules(docs, max_texts=10).collect()}
+    got = {r["doc_id"]: r for r in line_rules(docs, max_docs=10).collect()}
     assert all(got[k]["n_common_lines"] == 1 and got[k]["n_words_left"] == 60 and not got[k]["kept"] for k in range(11))
     assert got[11]["n_common_lines"] == 0 and got[11]["kept"]
-    got = line_rules(docs, max_texts=10, min_left_percent=40).collect()
+    got = line_rules(docs, max_docs=10, min_left_percent=40).collect()
     assert all(r["kept"] for r in got)
-    got = line_rules(docs, max_texts=11).collect()
+    got = line_rules(docs, max_docs=11).collect()
     assert all(r["kept"] and r["n_common_lines"] == 0 for r in got)
 
 
 def test_common_lines_are_removed(spark):
     rows = [(k, f"Menu {k}\n\n{filler(k)}\n menu  7 \nown {filler(k, 3)}\n") for k in range(12)] + [(12, "alone\n\n"), (13, None)]
-    got = {r["doc_id"]: r["text_left"] for r in line_rules(table(spark, rows)).collect()}
+    got = {r["doc_id"]: r["text_left"] for r in line_rules(table(spark, rows), with_text=True).collect()}
     assert got == {k: f"\n{filler(k)}\nown {filler(k, 3)}\n" for k in range(12)} | {12: "alone\n\n", 13: ""}
-    got = line_rules(table(spark, [(k, "menu 1\nmenu 2" + " " * k) for k in range(12)])).collect()
+    got = line_rules(table(spark, [(k, "menu 1\nmenu 2" + " " * k) for k in range(12)]), with_text=True).collect()
     assert {r["text_left"] for r in got} == {""}
 
 
-def test_copies_count_once_and_repeated_rows_stay(spark):
-    rows = [(k, filler(1)) for k in range(30)] + [(0, filler(1))]
+def test_copies_are_documents_and_repeated_rows_are_one(spark):
+    rows = [(k, filler(1)) for k in range(11)] + [(20 + k, f"{filler(2)}\n{filler(2)}") for k in range(10)]
+    rows += [(20, f"{filler(2)}\n{filler(2)}")] * 5
     got = line_rules(table(spark, rows)).collect()
-    assert len(got) == 31 and all(r["kept"] for r in got)
+    assert len(got) == len(rows)
+    assert all((r["n_common_lines"] == 1 and not r["kept"]) == (r["doc_id"] < 11) for r in got)
 
 
-def test_copies_are_counted_where_asked(spark):
-    docs = table(spark, [(k, filler(1)) for k in range(11)] + [(20 + k, f"{filler(2)}\n{filler(2)}") for k in range(10)])
-    got = {r["doc_id"]: r for r in line_rules(docs, count_copies=True).collect()}
-    assert all(got[k]["n_common_lines"] == 1 and not got[k]["kept"] and got[k]["text_left"] == "" for k in range(11))
-    assert all(got[20 + k]["n_common_lines"] == 0 for k in range(10))
+def test_rows_without_an_id_are_documents(spark):
+    got = line_rules(table(spark, [(None, filler(1))] * 11)).collect()
+    assert all(r["n_common_lines"] == 1 for r in got)
 
 
 def test_empty_table(spark):
