@@ -15,9 +15,10 @@ from activity_lake.operators.comments import (
 from activity_lake.operators.diff import (
     apply_changes, change_audit, change_counts, diff_gate, diff_labels, diff_summary, fingerprint, snapshot_diff,
 )
-from activity_lake.operators.quality import FAILED, SUCCESS, WARNING, publish
+from activity_lake.operators.quality import FAILED, WARNING, publish
 from activity_lake.operators.shaping import attach_comments, conform, with_batch
 from activity_lake.operators.versions import BucketTable
+from activity_lake.plans.runs import RunLog
 from activity_lake.plans.suites import activity_suite
 from activity_lake.session import new_path
 from activity_lake.sources.tables import append_token_records, job_stages, write_stage
@@ -76,6 +77,7 @@ def ingest_activities(
     token_path: str | None = None,
     parallel: int | None = None,
     account: str | None = None,
+    log: RunLog | None = None,
 ) -> dict[str, str]:
     """Audit, compare, comment and carry out the changes.
 
@@ -83,44 +85,62 @@ def ingest_activities(
     read, untouched ones not written. Otherwise the whole new table goes to
     ``target``, which must not be the folder ``stored`` is read from. Returns the
     step statuses and whether the flow went on; with writers also whether they
-    wrote all comments. ``account`` is a folder for what the run did: all
+    wrote all comments. A load that changes or deletes what was stored is a
+    WARNING. Every step leaves a row in the run table of ``log``, by default in
+    ``account``. ``account`` is a folder for what the run did: all
     ``violations``, the ``audit`` of old and new values, the ``counts`` per kind
     of change, and the ``rejects`` of the writers. Stages are removed at the end.
     """
-    with job_stages(sheet.sparkSession):
-        return _ingest(sheet, stored, employees, key, target, writers, token_path, parallel, account)
+    spark = sheet.sparkSession
+    account = account or new_path(spark, "activities-account")
+    log = log or RunLog(spark, f"{account}/runs", "ingest_activities")
+    with job_stages(spark):
+        return _ingest(sheet, stored, employees, key, target, writers, token_path, parallel, account, log)
 
 
-def _ingest(sheet, stored, employees, key, target, writers, token_path, parallel, account) -> dict[str, str]:
+def _ingest(sheet, stored, employees, key, target, writers, token_path, parallel, account, log) -> dict[str, str]:
     spark = sheet.sparkSession
-    account = account or new_path(spark, "activities-account")
     valid_path = new_path(spark, "activities")
-    status, _ = publish(
-        conform(sheet, schemas.ACTIVITY_SHEET), activity_suite(employees), valid_path,
-        violations_path=f"{account}/violations")
-    if status == FAILED:
-        return {"validate": status, "continue": "NO"}
-    incoming = write_stage(fingerprint(spark.read.parquet(valid_path)), name="fingerprinted")
-    # The suite has just checked the incoming ids; stored ones are keys.
-    if isinstance(stored, BucketTable):
-        actions = write_stage(stored.diff(incoming), name="actions")
-    else:
-        stored = stored.select(*schemas.STORED_COLUMNS)
-        labels = write_stage(diff_labels(incoming, stored, unique=True), name="labels")
-        actions = write_stage(snapshot_diff(incoming, stored, labels=labels), name="actions")
-    gate = diff_gate(diff_summary(actions, incoming)).first()
-    statuses = {"validate": status, "scan": gate["status"], "continue": gate["continue"]}
-    if gate["continue"] == "YES":
+    with log.step("validate") as step:
+        step.status, _ = publish(
+            step.counts(conform(sheet, schemas.ACTIVITY_SHEET)), activity_suite(employees), valid_path,
+            violations_path=f"{account}/violations")
+        statuses = {"validate": step.status}
+    if statuses["validate"] == FAILED:
+        return {**statuses, "continue": "NO"}
+    with log.step("scan") as step:
+        incoming = write_stage(fingerprint(spark.read.parquet(valid_path)), name="fingerprinted")
+        # The suite has just checked the incoming ids; stored ones are keys.
+        if isinstance(stored, BucketTable):
+            found = stored.diff(incoming)
+        else:
+            stored = stored.select(*schemas.STORED_COLUMNS)
+            labels = write_stage(diff_labels(incoming, stored, unique=True), name="labels")
+            found = snapshot_diff(incoming, stored, labels=labels)
+        actions = write_stage(step.counts(found), name="actions")
+        gate = diff_gate(diff_summary(actions, incoming)).first()
+        step.status = gate["status"]
+        statuses |= {"scan": gate["status"], "continue": gate["continue"]}
+    if gate["continue"] == "NO":
+        return statuses
+    with log.step("comments") as step:
         rejects = f"{account}/rejects"
-        commented = comment_actions(
-            actions, employees, key, writers, token_path=token_path, parallel=parallel, rejects_path=rejects)
-        commented = write_stage(commented, name="commented")
+        commented = write_stage(step.counts(comment_actions(
+            actions, employees, key, writers, token_path=token_path, parallel=parallel, rejects_path=rejects)),
+            name="commented")
+        if writers and not spark.read.parquet(rejects).isEmpty():
+            step.status = WARNING
         if writers:
-            statuses["comments"] = SUCCESS if spark.read.parquet(rejects).isEmpty() else WARNING
+            statuses["comments"] = step.status
+    with log.step("load") as step:
         change_counts(commented).write.mode("overwrite").parquet(f"{account}/counts")
         change_audit(actions, schemas.FINGERPRINT_COLUMNS).write.mode("overwrite").parquet(f"{account}/audit")
         if isinstance(stored, BucketTable):
             stored.apply(commented)
         else:
             apply_changes(stored, commented).write.mode("overwrite").parquet(target)
+        # At most one row per kind of change.
+        changed = {r["status"]: r["rows"] for r in spark.read.parquet(f"{account}/counts").collect()}
+        step.status = statuses["load"] = gate["status"]
+        step.message = ", ".join(f"{n} {kind}" for kind, n in sorted(changed.items()))
     return statuses

@@ -82,10 +82,10 @@ def job_stages(spark: SparkSession) -> Iterator[None]:
             remove_path(spark, path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet table, empty if nothing was written there yet."""
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A table, empty if nothing was written there yet."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

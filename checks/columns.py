@@ -88,7 +88,10 @@ def _vincenty_sql() -> str:
       from ({inner})"""
 
 
-@check("home_distance", _vincenty_sql())
+HOME_DISTANCE = _vincenty_sql()
+
+
+@check("home_distance", HOME_DISTANCE)
 def _(v: Views):
     people = v.employees.select("id", "transport_mode", "address")
     return with_distance(people, v.geo, COMPANY).select("id", "distance_kms")

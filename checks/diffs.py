@@ -9,6 +9,9 @@ from activity_lake.operators.cdc import latest_state, latest_state_with_deletes
 from activity_lake.operators.diff import (
     apply_changes, change_counts, diff_gate, diff_labels, diff_summary, fingerprint, mark_duplicates,
 )
+from activity_lake.operators.versions import BucketTable
+from activity_lake.session import new_path
+from activity_lake.sources.tables import write_stage
 from checks.joins import DIFF
 from checks.registry import check
 from checks.views import FINGERPRINT, Views
@@ -35,6 +38,11 @@ def _(v: Views):
     return _flat(v.diff)
 
 
+@check("snapshot_diff_buckets", f"with {DIFF} select {_ROW}, _merge, status from diff")
+def _(v: Views):
+    return _flat(BucketTable.create(v.stored, new_path(v.spark, "table"), buckets=32).diff(v.incoming))
+
+
 @check("snapshot_labels", f"with {DIFF} select id, fingerprint, _merge, status from diff")
 def _(v: Views):
     return diff_labels(v.incoming, v.stored)
@@ -65,6 +73,15 @@ def _(v: Views):
     return _flat(apply_changes(v.stored, v.actions)).drop("comment")
 
 
+@check("apply_changes_buckets", f"""select id, employee_id, sport, situation, distance_meters,
+  epoch_us(begin_date) as begin_micros, duration_sec, fingerprint, 1 as version from incoming""")
+def _(v: Views):
+    table = BucketTable.create(v.stored, new_path(v.spark, "table"), buckets=32)
+    version = table.apply(write_stage(table.diff(v.incoming), name="actions"))
+    assert table.differing(v.incoming) == set()
+    return _flat(table.read(version)).drop("comment").withColumn("version", F.lit(version))
+
+
 @check("change_counts", f"""with {DIFF} select status, count(*) as rows from diff
   where not (status = 'modified' and _merge = 'right_only') group by status""")
 def _(v: Views):

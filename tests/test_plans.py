@@ -5,7 +5,9 @@ import glob
 import os
 from functools import reduce
 
+import pytest
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from activity_lake import schemas
 from activity_lake.functions.privacy import decrypt, decrypted
@@ -33,9 +35,9 @@ def hr_inputs(spark):
     return geo, sports
 
 
-def ingest(spark, sheet, sport, target):
+def ingest(spark, sheet, sport, target, **more):
     geo, sports = hr_inputs(spark)
-    return ingest_hr(sheet, sport, geo, sports, (0.0, 0.0), "2026-01-01", KEY, target)
+    return ingest_hr(sheet, sport, geo, sports, (0.0, 0.0), "2026-01-01", KEY, target, **more)
 
 
 def test_transform_hr(spark):
@@ -105,14 +107,14 @@ def test_ingest_activities(spark, tmp_path):
         *[c if c != "comment" else "cast(null as string) as comment" for c in schemas.STORED_COLUMNS])
     first, second = str(tmp_path / "v1"), str(tmp_path / "v2")
     statuses = ingest_activities(activity_sheet(spark, ("a", 1), ("b", 2), ("c", 3)), empty, people, KEY, first)
-    assert statuses == {"validate": "SUCCESS", "scan": "SUCCESS", "continue": "YES"}
+    assert statuses == {"validate": "SUCCESS", "scan": "SUCCESS", "continue": "YES", "load": "SUCCESS"}
     stored = spark.read.parquet(first)
 
     again = ingest_activities(activity_sheet(spark, ("a", 1), ("b", 2), ("c", 3)), stored, people, KEY, second)
     assert again["continue"] == "NO"
 
     statuses = ingest_activities(activity_sheet(spark, ("a", 1), ("b", 9), ("d", 4)), stored, people, KEY, second)
-    assert statuses == {"validate": "SUCCESS", "scan": "WARNING", "continue": "YES"}
+    assert statuses == {"validate": "SUCCESS", "scan": "WARNING", "continue": "YES", "load": "WARNING"}
     result = spark.read.parquet(second)
     assert result.columns == schemas.STORED_COLUMNS
     clear = result.withColumn("comment", decrypted("comment", KEY))
@@ -148,3 +150,32 @@ def test_writers_are_used(spark, tmp_path):
     commented = comment_actions(actions, people, KEY, {"w": writer}, token_path=tokens)
     assert token_log(spark, tokens).filter("total_tokens = context_tokens + llm_tokens").count() == 1
     assert commented.select(decrypted("comment", KEY)).first()[0] == "Ana B. 0.0 km en 1 min"
+
+
+def test_steps_are_recorded_whatever_becomes_of_them(spark, tmp_path):
+    from activity_lake.plans.runs import RunLog, run_table
+
+    path = str(tmp_path / "runs")
+    assert run_table(spark, path).count() == 0
+    log = RunLog(spark, path, "flow", "first")
+    with log.step("count") as step:
+        step.counts(spark.range(7).withColumn("b", F.lit(1))).write.parquet(str(tmp_path / "out"))
+    with pytest.raises(ValueError), log.step("break"):
+        raise ValueError("no such sheet")
+    got = run_table(spark, path).orderBy("place").collect()
+    assert [(r["step"], r["status"], r["rows"], r["columns"], r["message"]) for r in got] == [
+        ("count", "SUCCESS", 7, 2, None), ("break", "FAILED", None, None, "ValueError: no such sheet")]
+    assert all(r["started"] <= r["ended"] for r in got)
+
+
+def test_jobs_record_their_steps(spark, tmp_path):
+    from activity_lake.operators.reporting import alerts, rollup
+    from activity_lake.plans.runs import run_table
+
+    account = str(tmp_path / "account")
+    sport = spark.createDataFrame([("1", "run"), ("9", "run")], schemas.SPORT_SHEET)
+    ingest(spark, hr_sheet(spark, "1"), sport, str(tmp_path / "employees"), account=account)
+    steps = run_table(spark, f"{account}/runs")
+    assert rows(steps, "step", "status", "rows") == [
+        ("hr", "SUCCESS", 1), ("merge", "FAILED", 1), ("sport", "SUCCESS", 2)]
+    assert rows(alerts(rollup(steps)), "status") == [("FAILED",)]
