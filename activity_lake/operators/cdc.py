@@ -12,13 +12,13 @@ from activity_lake.schemas import envelope
 EVENT_ORDER = ("ts_ms", "lsn")
 
 
-def cdc_parse(df: DataFrame, row: T.StructType, with_event: bool = True) -> DataFrame:
+def cdc_parse(df: DataFrame, row: T.StructType, with_event: bool = True, old_image: bool = False) -> DataFrame:
     """Message bytes or text as a typed envelope ``data``; unreadable ones become null.
 
     Exploding a list of one keeps the parsed value in a column of its own:
     otherwise a later filter is pushed below it and parses every message again.
     """
-    parsed = F.from_json(F.col("value").cast("string"), envelope(row, with_event))
+    parsed = F.from_json(F.col("value").cast("string"), envelope(row, with_event, old_image))
     return df.select(F.explode(F.array(parsed)).alias("data"))
 
 
@@ -56,6 +56,28 @@ def cdc_events(raw: DataFrame, row: T.StructType) -> DataFrame:
     return cdc_upserts(cdc_flatten(cdc_parse(raw, row), with_event=True))
 
 
+def first_deliveries(events: DataFrame, within: str) -> DataFrame:
+    """Events of a stream without those that are delivered again, by id and place in the log.
+
+    A source that delivers at least once may repeat what it sent. Keys are
+    remembered for ``within`` of event time (``ts_ms``), which bounds the state; an
+    event that comes again after that counts as new. Events without a time take
+    that of their arrival.
+    """
+    time = F.coalesce(F.timestamp_millis("ts_ms"), F.current_timestamp())
+    return events.withColumn("_event_time", time).withWatermark("_event_time", within).dropDuplicatesWithinWatermark(
+        ["id", "lsn"]).drop("_event_time")
+
+
+def cdc_images(raw: DataFrame, row: T.StructType) -> DataFrame:
+    """Messages to ``id``, ``op``, ``ts_ms``, ``lsn`` and the whole rows ``before`` and ``after`` the change."""
+    image = cdc_parse(raw, row, old_image=True).select(
+        F.coalesce("data.payload.after.id", "data.payload.before.id").alias("id"), F.col("data.payload.op").alias("op"),
+        F.col("data.payload.ts_ms").alias("ts_ms"), F.col("data.payload.source.lsn").alias("lsn"),
+        F.col("data.payload.before").alias("before"), F.col("data.payload.after").alias("after"))
+    return cdc_upserts(image)
+
+
 def latest_state(log: DataFrame, key: str = "id", order: tuple[str, ...] | None = None) -> DataFrame:
     """Last row of each key, by time and then by place in the source's log.
 

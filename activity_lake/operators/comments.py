@@ -7,12 +7,14 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from activity_lake import schemas
 from activity_lake.functions.text import (
     answer_tokens, default_comment, display_name, format_performance, parse_answer, prompt_tokens,
 )
 from activity_lake.operators.shaping import enrich_names, with_batch
+from activity_lake.sources.tables import read_or_empty, write_stage
 
 # Fixed value: rows per batch.
 BATCH_SIZE = 100
@@ -107,6 +109,43 @@ def score_batches(
     })
 
 
+LEDGER = T.StructType([
+    T.StructField("digest", T.StringType()), T.StructField("answer", T.StringType()), T.StructField("writer", T.StringType()),
+    T.StructField("error", T.StringType()), T.StructField("context_tokens", T.LongType()), T.StructField("llm_tokens", T.LongType()),
+])
+
+
+def score_once(
+    prompts: DataFrame,
+    writers: dict[str, Callable[[str], str]],
+    ledger: str,
+    pause: float = 0.0,
+    per_task: int = 1,
+    seal: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
+    """``score_batches`` with a ledger of answered prompts, so that no rerun repeats a call already paid for.
+
+    A prompt is known by its digest. Answers are appended to the ledger as
+    their task ends: what is lost with an executor, or with the job, are the
+    calls of tasks that had not ended, ``per_task`` prompts each. Failed prompts
+    are noted with their errors and asked again by the next run. ``seal``
+    encrypts the answers before they are written; prompts never are.
+    """
+    spark = prompts.sparkSession
+    keyed = write_stage(prompts.select("batch", "rows", F.sha2("prompt", 256).alias("digest")), name="digests")
+    answered = read_or_empty(spark, ledger, LEDGER).filter("answer is not null").select("digest").distinct()
+    todo = prompts.withColumn("digest", F.sha2("prompt", 256)).join(
+        write_stage(answered, name="answered"), "digest", "left_anti").dropDuplicates(["digest"])
+    tasks = max(1, -(-keyed.join(answered, "digest", "left_anti").count() // per_task))
+    scored = seal(score_batches(todo, writers, pause, tasks).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER]))
+    # With this way of committing, files of ended tasks stay where a job fails.
+    scored.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(ledger)
+    best = F.max_by(F.struct(*[c for c in LEDGER.fieldNames() if c != "digest"]), F.col("answer").isNotNull())
+    known = spark.read.schema(LEDGER).parquet(ledger).groupBy("digest").agg(best.alias("b")).select("digest", "b.*")
+    return keyed.join(write_stage(known, name="ledger"), "digest", "left").drop("digest")
+
+
 def token_records(scored: DataFrame, operation: str = "search") -> DataFrame:
     """Token record of each answered batch; the time of the record names its session."""
     now = F.current_timestamp()

@@ -49,18 +49,22 @@ def bonus_what_if(employees: DataFrame, rates: list[str]) -> DataFrame:
     )
 
 
-def employee_sheet(employees: DataFrame, gold: DataFrame, comments: DataFrame) -> DataFrame:
+def employee_sheet(
+    employees: DataFrame, gold: DataFrame | None, comments: DataFrame, stats: DataFrame | None = None
+) -> DataFrame:
     """One row per employee: bonus, activity totals and the latest comment.
 
     ``gold`` and ``comments`` are reduced to one row per employee before the
-    joins. ``comments`` has ``employee_id, begin_date, id, comment``.
+    joins. ``comments`` has ``employee_id, begin_date, id, comment``. Totals that
+    are kept up to date, as ``stats`` per employee and social year, take the
+    place of ``gold``, which is then not read.
     """
-    totals = gold.groupBy("employee_id").agg(
-        F.count("*").alias("activities"),
-        F.count_distinct("social_year").alias("social_years"),
-        F.sum("distance_meters").alias("distance_meters"),
-        F.sum("duration_sec").alias("duration_sec"),
-    )
+    if stats is None:
+        counts = [F.count("*").alias("activities"), F.count_distinct("social_year").alias("social_years")]
+    else:
+        counts = [F.sum("activities").alias("activities"), F.count("social_year").alias("social_years")]
+    totals = (gold if stats is None else stats).groupBy("employee_id").agg(
+        *counts, F.sum("distance_meters").alias("distance_meters"), F.sum("duration_sec").alias("duration_sec"))
     last = latest_state(comments, "employee_id", ("begin_date", "id")).select(
         "employee_id", F.col("comment").alias("last_comment"))
     sheet = (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from activity_lake import schemas
 from activity_lake.functions.privacy import decrypt, encrypt, encrypt_new
 from activity_lake.operators.comments import (
-    BATCH_SIZE, build_prompts, comment_context, default_comments, parse_answers, score_batches, token_records,
+    BATCH_SIZE, build_prompts, comment_context, default_comments, parse_answers, score_batches, score_once, token_records,
 )
 from activity_lake.operators.diff import (
     apply_changes, change_audit, change_counts, diff_gate, diff_labels, diff_summary, fingerprint, snapshot_diff,
@@ -34,6 +34,7 @@ def comment_actions(
     parallel: int | None = None,
     rejects_path: str | None = None,
     instructions: str | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Write comments for the new images and encrypt them.
 
@@ -42,7 +43,8 @@ def comment_actions(
     gets a token record per answered batch. ``parallel`` tasks call the
     writers, as many as the cluster has cores if it is not given. A new image
     whose batch failed, could not be read or left its id out gets the default
-    comment; ``rejects_path`` lists these ids with the writers' errors.
+    comment; ``rejects_path`` lists these ids with the writers' errors. With a
+    ``ledger`` a repeated run does not ask again what was answered.
     """
     spark = actions.sparkSession
     plain = decrypt(employees.select("id", "first_name", "last_name"), ["first_name", "last_name"], key)
@@ -50,9 +52,13 @@ def comment_actions(
         fresh = with_batch(actions.filter(F.col("_merge") == "left_only"), BATCH_SIZE)
         fresh = write_stage(fresh, name="numbered")
         prompts = build_prompts(comment_context(fresh, plain), instructions=instructions)
-        parallel = parallel or spark.sparkContext.defaultParallelism
-        scored = score_batches(prompts, writers, pause, parallel).drop("prompt")
-        answers = write_stage(encrypt(scored, ["answer"], key), name="answers")
+        if ledger:
+            answers = write_stage(score_once(
+                prompts, writers, ledger, pause, seal=lambda df: encrypt(df, ["answer"], key)), name="answers")
+        else:
+            parallel = parallel or spark.sparkContext.defaultParallelism
+            scored = score_batches(prompts, writers, pause, parallel).drop("prompt")
+            answers = write_stage(encrypt(scored, ["answer"], key), name="answers")
         if token_path:
             append_token_records(token_records(answers), token_path)
         comments, _ = parse_answers(decrypt(answers, ["answer"], key))
@@ -78,6 +84,7 @@ def ingest_activities(
     parallel: int | None = None,
     account: str | None = None,
     log: RunLog | None = None,
+    ledger: str | None = None,
 ) -> dict[str, str]:
     """Audit, compare, comment and carry out the changes.
 
@@ -95,10 +102,10 @@ def ingest_activities(
     account = account or new_path(spark, "activities-account")
     log = log or RunLog(spark, f"{account}/runs", "ingest_activities")
     with job_stages(spark):
-        return _ingest(sheet, stored, employees, key, target, writers, token_path, parallel, account, log)
+        return _ingest(sheet, stored, employees, key, target, writers, token_path, parallel, account, log, ledger)
 
 
-def _ingest(sheet, stored, employees, key, target, writers, token_path, parallel, account, log) -> dict[str, str]:
+def _ingest(sheet, stored, employees, key, target, writers, token_path, parallel, account, log, ledger) -> dict[str, str]:
     spark = sheet.sparkSession
     valid_path = new_path(spark, "activities")
     with log.step("validate") as step:
@@ -126,7 +133,8 @@ def _ingest(sheet, stored, employees, key, target, writers, token_path, parallel
     with log.step("comments") as step:
         rejects = f"{account}/rejects"
         commented = write_stage(step.counts(comment_actions(
-            actions, employees, key, writers, token_path=token_path, parallel=parallel, rejects_path=rejects)),
+            actions, employees, key, writers, token_path=token_path, parallel=parallel, rejects_path=rejects,
+            ledger=ledger)),
             name="commented")
         if writers and not spark.read.parquet(rejects).isEmpty():
             step.status = WARNING

@@ -112,18 +112,20 @@ PLACES = T.StructType([
 ])
 
 
-def envelope(row: T.StructType, with_event: bool = True) -> T.StructType:
+def envelope(row: T.StructType, with_event: bool = True, old_image: bool = False) -> T.StructType:
     """Change envelope around ``row``; fields not named here are skipped when parsing.
 
     The event fields ``op``, ``ts_ms`` and the key of the old image let readers
     see deletes, whose ``after`` is null; ``lsn`` is the change's place in the
-    source's log, which orders changes of one millisecond.
+    source's log, which orders changes of one millisecond. ``old_image`` reads
+    the whole old row, for sources that log it.
     """
+    key = T.StructType([T.StructField("id", T.StringType())])
     event = [
         T.StructField("op", T.StringType()),
         T.StructField("ts_ms", T.LongType()),
         T.StructField("source", T.StructType([T.StructField("lsn", T.LongType())])),
-        T.StructField("before", T.StructType([T.StructField("id", T.StringType())])),
+        T.StructField("before", row if old_image else key),
     ]
     payload = T.StructType([*(event if with_event else []), T.StructField("after", row)])
     return T.StructType([T.StructField("payload", payload)])

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from activity_lake import schemas
@@ -14,6 +15,7 @@ from activity_lake.functions.dates import activity_date, social_year
 from activity_lake.functions.privacy import decrypt
 from activity_lake.operators.cdc import cdc_rows
 from activity_lake.operators.shaping import stamp
+from activity_lake.sources.commits import BatchStore
 
 
 def activities_gold(raw: DataFrame, first_month: int = 6) -> DataFrame:
@@ -35,6 +37,29 @@ def enrich_stream(stream: DataFrame, static: DataFrame, on: str) -> DataFrame:
     return stream.join(static, on, "left")
 
 
+def start_enriched(
+    stream: DataFrame, dimension: Callable[[], DataFrame], on: str, path: str, checkpoint: str, once: bool = False
+) -> StreamingQuery:
+    """Left join of each micro-batch with the dimension as it is then, one row per key.
+
+    ``dimension`` is asked for every batch: the newest version of a table in
+    buckets, or the current state that another stream keeps. Batches are kept
+    and marked as those of the upserted state, so a repeated one counts once.
+    """
+    store = BatchStore(stream.sparkSession, path)
+    store.claim("enriched rows")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.add(enrich_stream(batch, dimension(), on), batch_id)
+
+    return foreach_batch(stream, write, checkpoint, once)
+
+
+def enriched(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows that ``start_enriched`` has finished so far."""
+    return BatchStore(spark, path).read(schema)[0]
+
+
 def start_gold(
     df: DataFrame,
     path: str,

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from activity_lake import schemas
 from activity_lake.functions.privacy import decrypted
 from activity_lake.functions.text import clean_comment, clean_markup
-from activity_lake.operators.cdc import cdc_rows
+from activity_lake.operators.cdc import cdc_events, cdc_rows, first_deliveries
 from activity_lake.streaming.gold import foreach_batch
 
 # Notification targets.
@@ -27,14 +27,22 @@ def clean_comments(df: DataFrame, key: str) -> DataFrame:
     return df.select("id", F.explode(F.filter(text, lambda t: F.length(t) > 0)).alias("text"))
 
 
-def notifications(raw: DataFrame, key: str, target: str) -> DataFrame:
-    """One message per change event with a comment, as ``id, target, text``."""
-    messages = clean_comments(cdc_rows(raw, schemas.COMMENT_EVENT), key)
+def notifications(raw: DataFrame, key: str, target: str, within: str | None = None) -> DataFrame:
+    """One message per change event with a comment, as ``id, target, text``.
+
+    ``within`` gives no second message for an event that a stream delivers again
+    within that event time.
+    """
+    if within:
+        rows = first_deliveries(cdc_events(raw, schemas.COMMENT_EVENT), within)
+    else:
+        rows = cdc_rows(raw, schemas.COMMENT_EVENT)
+    messages = clean_comments(rows, key)
     return messages.select("id", F.lit(target).alias("target"), "text")
 
 
 def start_outbox(
-    raw: DataFrame, key: str, target: str, path: str, checkpoint: str, once: bool = False
+    raw: DataFrame, key: str, target: str, path: str, checkpoint: str, once: bool = False, within: str | None = None
 ) -> StreamingQuery:
     """Write each micro-batch to its own folder of the outbox.
 
@@ -47,7 +55,7 @@ def start_outbox(
         if target != NONE:
             batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return foreach_batch(notifications(raw, key, target), write, checkpoint, once)
+    return foreach_batch(notifications(raw, key, target, within), write, checkpoint, once)
 
 
 def route(outbox: DataFrame) -> DataFrame:
