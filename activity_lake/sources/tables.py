@@ -29,20 +29,23 @@ def typed_scan(
 ) -> DataFrame:
     """Sheet exported as CSV; the schema names and types columns by position.
 
-    Cells with line breaks need ``multi_line``, which reads each file in one
-    task. ``reject_column`` adds a column that holds the line of a row that
+    Cells with line breaks need ``multi_line``: many tasks read a file then as
+    well, and its records are cut by the parity of quotes. ``reject_column`` adds a column that holds the line of a row that
     does not fit the schema and is null for the others. A line break in a cell
     shows there by the second half of its row: the sheet then needs
     ``multi_line``. ``max_rows`` caps a trial run and is off by default.
     """
-    reader = (
-        spark.read.option("header", header).option("enforceSchema", True)
-        .option("multiLine", multi_line).option("escape", '"')
-    )
     if reject_column:
         schema = T.StructType([*schema.fields, T.StructField(reject_column, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", reject_column)
-    sheet = reader.schema(schema).csv(path)
+    if multi_line:
+        from activity_lake.sources.records import parsed_records, quoted_records
+
+        sheet = parsed_records(quoted_records(spark, path), schema, header, reject_column)
+    else:
+        reader = spark.read.option("header", header).option("enforceSchema", True).option("escape", '"')
+        if reject_column:
+            reader = reader.option("columnNameOfCorruptRecord", reject_column)
+        sheet = reader.schema(schema).csv(path)
     return sheet if max_rows is None else sheet.limit(max_rows)
 
 

@@ -48,6 +48,18 @@ def _(v: Views):
     return typed_scan(v.spark, path, schemas.HR_SHEET).withColumn("salary", F.col("salary").cast("double"))
 
 
+@check("typed_scan_breaks", """select cast(o_orderkey as varchar) as id, o_orderstatus || ' "' || o_orderpriority || '"' || chr(10)
+  || case when o_orderkey % 3 = 0 then 'a, b' || chr(10) || chr(10) || '"' else '' end || o_orderdate as sport_type from orders""")
+def _(v: Views):
+    path = new_path(v.spark, "sheet")
+    cell = F.expr("""concat(o_orderstatus, ' "', o_orderpriority, '"', chr(10),
+      case when o_orderkey % 3 = 0 then concat('a, b', chr(10), chr(10), '"') else '' end, o_orderdate)""")
+    quoted = F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), quoted).alias("value")
+    v.table("orders").select(line).coalesce(1).write.text(path)
+    return typed_scan(v.spark, path, schemas.SPORT_SHEET, header=False, multi_line=True)
+
+
 @check("parquet_scan", "select o_orderkey, o_custkey, o_orderstatus from orders")
 def _(v: Views):
     return v.spark.read.parquet(f"{v.sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus")
