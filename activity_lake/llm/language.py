@@ -19,6 +19,8 @@ from activity_lake.llm.toxicity import held_out
 ORDER = 3
 # Bound of the training sample, in documents per language.
 MAX_TEXTS = 500
+# How many times as many texts pass the bound on their hash that is set before they are ranked.
+SPARE = 4
 # Bytes scored at a time.
 CHUNK_BYTES = 1 << 21
 
@@ -137,9 +139,16 @@ def train_languages(
         column(id_col).cast("long").alias("doc_id"), column(text_col).cast("string").alias("text"),
         column(lang_col).cast("string").alias("lang"),
     ).filter("doc_id is not null and text is not null and lang is not null").filter(~held_out(F.col("doc_id")))
+    ids = rows.select("doc_id", "lang").distinct()
+    # The first in order of a hash lie below a bound on it that lets several times as many through as are wanted: what is
+    # ranked does not grow with the rows of a language. As many counts come to the driver as the model has languages.
+    bounds = [(r["lang"], (1 << 64) * SPARE * max_texts // r["count"] - (1 << 63)) for r in ids.groupBy("lang").count().collect()]
+    first = F.lit(False)
+    for lang, bound in bounds:
+        first = first | ((F.col("lang") == lang) & (F.xxhash64("doc_id") <= min(bound, (1 << 63) - 1)))
     place = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     wanted = stage(
-        rows.select("doc_id", "lang").distinct().withColumn("place", place)
+        ids.filter(first).withColumn("place", place)
         .filter(F.col("place") <= max_texts).drop("place"), "language-sample")
     sample = rows.join(wanted, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     counts = sample.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long").groupBy(

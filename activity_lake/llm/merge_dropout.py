@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ BYTE_PIECE = "<0x%02X>"
 CHUNKS_KEPT = 150_000
 NODES_KEPT = 2_000_000
 LONG = 48
+# Text that is encoded at a time.
+GROUP_BYTES = 2_000_000
 NONE = np.iinfo(np.int64).max
 
 RUN = re.compile(" +[^ ]*|[^ ]+")
@@ -203,20 +206,24 @@ class Encoder:
     def _encode(self, flat: list[str], keys: np.ndarray) -> list[bytes]:
         at = np.array([self.roots.get(c, -1) for c in flat], np.int64)
         self._walk(at, keys, np.flatnonzero(at >= 0))
-        unknown = np.flatnonzero(at < 0).tolist()
-        long = [i for i in unknown if len(flat[i]) > LONG]
-        # Once what the first occurrence of each outcome needs is known, others can walk.
-        rest = [i for i in unknown if len(flat[i]) <= LONG]
-        while rest:
-            seen: dict[tuple[str, int], int] = {}
-            for i in rest:
-                seen.setdefault((flat[i], int(at[i])), i)
-            self._learn(list(seen.values()), flat, keys)
-            at[rest] = [self.roots[flat[i]] for i in rest]
-            self._walk(at, keys, np.array(rest))
-            rest = [i for i in rest if at[i] < 0]
+        unknown = np.flatnonzero(at < 0)
+        long = np.array([len(flat[i]) > LONG for i in unknown.tolist()], bool)
+        # Once what the first occurrence of each outcome needs is known, others can walk on.
+        rest = unknown[~long]
+        while len(rest):
+            new, open_ = rest[at[rest] == -1], rest[at[rest] < -1]
+            first: dict[str, int] = {}
+            for i in new.tolist():
+                first.setdefault(flat[i], i)
+            _, one_of_each = np.unique(at[open_], return_index=True)
+            self._learn([*first.values(), *open_[one_of_each].tolist()], flat, keys)
+            at[new] = [self.roots[flat[i]] for i in new.tolist()]
+            way = -2 - at[open_]
+            at[open_] = self.after[way // 2, way % 2]
+            self._walk(at, keys, rest)
+            rest = rest[at[rest] < 0]
         out = list(map(self.ids.__getitem__, at.tolist())) if self.ids else [b""] * len(flat)
-        for i in long:
+        for i in unknown[long].tolist():
             out[i] = self.merges.segment([flat[i]], keys[i:i + 1], self.dropout)[0]
         return out
 
@@ -238,31 +245,28 @@ class Encoder:
             part = which[begin:begin + (1 << 15)]
             trace: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             ids = self.merges.segment([flat[i] for i in part], keys[part], self.dropout, trace)
-            ways: list[list[tuple[int, int]]] = [[] for _ in part]
-            for owner, draw, skip in trace:
-                for o, d, s in zip(owner.tolist(), draw.tolist(), skip.tolist()):
-                    ways[o].append((d, s))
-            steps = sum(map(len, ways)) + len(part)
+            steps = sum(len(owner) for owner, _, _ in trace) + len(part)
             while self.size + steps > len(self.draw):
                 self.draw = np.r_[self.draw, np.zeros_like(self.draw)]
                 self.after = np.r_[self.after, np.full_like(self.after, -1)]
-            draws, after = memoryview(self.draw), memoryview(self.after.reshape(-1))
-            for i, way, found in zip(part, ways, ids):
-                node = self.roots.get(flat[i], -1)
-                if node < 0:
-                    node = self.roots[flat[i]] = self._node()
-                for d, s in way:
-                    draws[node] = d
-                    child = after[2 * node + s]
-                    if child < 0:
-                        child = after[2 * node + s] = self._node()
-                    node = child
-                self.ids[node] = found
-
-    def _node(self) -> int:
-        self.ids.append(None)
-        self.size += 1
-        return self.size - 1
+            # No two of these occurrences take the same unknown way, so their new nodes are their own.
+            for i in part:
+                if flat[i] not in self.roots:
+                    self.roots[flat[i]] = self.size
+                    self.size += 1
+            node = np.array([self.roots[flat[i]] for i in part], np.int64)
+            for owner, draw, skip in trace:
+                here = node[owner]
+                self.draw[here] = draw
+                child = self.after[here, skip]
+                unknown = np.flatnonzero(child < 0)
+                child[unknown] = np.arange(self.size, self.size + len(unknown))
+                self.after[here[unknown], skip[unknown]] = child[unknown]
+                self.size += len(unknown)
+                node[owner] = child
+            self.ids.extend([None] * (self.size - len(self.ids)))
+            for leaf, found in zip(node.tolist(), ids):
+                self.ids[leaf] = found
 
 
 _merges: dict[str, Merges] = {}
@@ -274,12 +278,20 @@ def merges(path: str) -> Merges:
     return _merges[path]
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``GROUP_BYTES`` of text together, so that memory is bounded whatever their lengths."""
+    before = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)) // GROUP_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), batch.num_rows]
+    for start, stop in zip(cuts, cuts[1:]):
+        if stop > start:
+            yield batch.slice(start, stop - start)
+
+
 def _encode_rows(path: str, seed: int, dropout: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(merges(path), seed, dropout)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in _groups(batch):
                 ids = encoder.encode(part.column("doc_id").to_pylist(), part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],

@@ -8,8 +8,8 @@ from struct import pack
 
 import numpy as np
 
-# Pieces remembered per worker; the memory forgets all when it is full.
-PIECES_KEPT = 500_000
+# Chunks remembered per worker; the memory forgets all when it is full.
+PIECES_KEPT = 1_000_000
 # Blanks other than single spaces and line feeds; a text with one is split with care.
 ODD_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -23,19 +23,21 @@ LINE_FEED = "Ċ"
 class Chunks(dict):
     """Ids of chunks, each a run of characters without spaces; ``space`` stands for the space that belongs before it.
 
+    ``as_bytes`` says that chunks are given as their bytes.
+
     Most chunks are letters with marks behind, which every step of the tokenizer treats alike; the library's own
     steps cut the others. A chunk with line feeds between other characters, but no other blank, is cut there.
     """
 
-    def __init__(self, encoder: Encoder, space: str):
+    def __init__(self, encoder: Encoder, space: str, as_bytes: bool = False):
         super().__init__()
-        self.encoder, self.space = encoder, space
+        self.encoder, self.space, self.as_bytes = encoder, space, as_bytes
         self.before = "Ġ" if space else ""
 
     def __missing__(self, chunk: str | bytes) -> bytes:
         if len(self) >= PIECES_KEPT:
             self.clear()
-        ids = self[chunk] = self.ids_of(chunk if isinstance(chunk, str) else chunk.decode())
+        ids = self[chunk] = self.ids_of(chunk.decode() if self.as_bytes else chunk)
         return ids
 
     def ids_of(self, chunk: str) -> bytes:
@@ -44,8 +46,9 @@ class Chunks(dict):
         if word.isalpha():
             plain = word.lower() if encoder.lower else word
             if plain.isascii() or not OTHER_LETTER.search(plain):
-                ids = encoder.letters(self.before + plain)
-                return ids if len(word) == len(chunk) else ids + encoder.piece(chunk[len(word):])
+                if len(word) < len(chunk):
+                    return self[word.encode() if self.as_bytes else word] + encoder.piece(chunk[len(word):])
+                return encoder.letters(self.before + plain)
         elif "\n" in chunk:
             first, *rest = chunk.split("\n")
             if [first, *rest] == chunk.split():
@@ -58,8 +61,8 @@ class Encoder:
 
     A text is cut where the tokenizer must cut too, so that each cut piece can be encoded once and remembered: at
     blanks for a tokenizer that drops them, at single spaces between two other characters for byte-level ones that
-    keep the space with the word. Other kinds of tokenizers encode whole texts. Strings of special tokens in a text are
-    ordinary text.
+    keep the space with the word. Other kinds of tokenizers encode whole texts. Strings of added tokens in a text become
+    their ids, as the library does by default; what lies between them is encoded apart.
     """
 
     def __init__(self, path: str):
@@ -67,21 +70,30 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.id_bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         steps = _steps(self.tokenizer.to_str())
         self.lower = "Lowercase" in steps
-        if steps == ["ByteLevel"]:
-            self.encode = self._by_space
-        elif steps == ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]:
-            self.encode = self._by_blank
+        added = self.tokenizer.get_added_tokens_decoder()
+        plain = not any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values())
+        self.added = {t.content: pack("<I", i) for i, t in added.items()}
+        self.between = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        self.start = os.path.commonprefix(list(self.added))
+        if plain and steps == ["ByteLevel"]:
+            self.part = self._by_space
+        elif plain and steps == ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]:
+            self.part = self._by_blank
         else:
-            self.encode = self._whole
+            self.part = self._whole
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes_of = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in ACCENTED}
         self.pieces: dict[str, bytes] = {}
         self.first, self.later = Chunks(self, ""), Chunks(self, " ")
-        self.words = Chunks(self, "")
+        self.words = Chunks(self, "", as_bytes=True)
+
+    def encode(self, text: str) -> bytes:
+        if self.part == self._whole or not self.added or self.start not in text:
+            return self.part(text)
+        return b"".join([self.added[x] if x in self.added else self.part(x) for x in self.between.split(text)])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -91,13 +103,16 @@ class Encoder:
         if ids is None:
             if len(self.pieces) >= PIECES_KEPT:
                 self.pieces.clear()
-            found = [t.id for t in self.tokenizer.model.tokenize(piece)]
-            ids = self.pieces[piece] = pack(f"<{len(found)}I", *found)
+            ids = self.pieces[piece] = self._merged(piece)
         return ids
 
+    def _merged(self, piece: str) -> bytes:
+        found = [t.id for t in self.tokenizer.model.tokenize(piece)]
+        return pack(f"<{len(found)}I", *found)
+
     def letters(self, word: str) -> bytes:
         """Ids of letters out of ASCII and ``ACCENTED``, the space before them already as the tokenizer writes it."""
-        return self.piece(word if word.isascii() else word.translate(self.bytes_of))
+        return self._merged(word if word.isascii() else word.translate(self.bytes_of))
 
     def chunk(self, chunk: str) -> bytes:
         normal = self.tokenizer.normalizer

@@ -106,3 +106,13 @@ def without_repeats(rows, window=20):
 def repeat_words(ws):
     counts = Counter(tuple(ws[i:i + 3]) for i in range(len(ws) - 2))
     return len({i + k for i in range(len(ws) - 2) if counts[tuple(ws[i:i + 3])] > 1 for k in range(3)})
+
+
+def plain_hash(*parts):
+    """The keyed hash of merge dropout, on Python's integers."""
+    total, all_bits = 0x243F6A8885A308D3, (1 << 64) - 1
+    for part in parts:
+        x = (total ^ (part & all_bits)) * 0x9E3779B97F4A7C15 & all_bits
+        x = (x ^ x >> 32) * 0xD6E8FEB86659FD93 & all_bits
+        total = x ^ x >> 32
+    return total

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer, models, normalizers
 from activity_lake.llm import merge_dropout, packing, token_counts, token_files
 from activity_lake.llm.tokens import Encoder
 from activity_lake.session import new_path
-from tests.llm.helpers import ODD, table
+from tests.llm.helpers import ODD, plain_hash, table
 
 BYTES, WORDS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -24,16 +24,15 @@ def odd_texts(n=3000):
 
 
 def ids_of(path, text):
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_encoder_equals_the_library(path):
-    encoder = Encoder(path)
-    for text in odd_texts():
-        ids = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    encoder, library = Encoder(path), Tokenizer.from_file(path)
+    special = ["a<|endoftext|>b", "<|startoftext|><|endoftext|> x,", "<|ENDOFTEXT|>  <|endoftext|>\n\n<|end", "word <| word"]
+    for text in odd_texts() + special:
+        ids = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids, repr(text[:80])
 
 
@@ -180,6 +179,50 @@ def test_merges_equal_the_library_and_decode():
     assert len(single) // 4 == len(" the thing")
 
 
+@pytest.mark.parametrize("dropout", [0.1, 0.5])
+def test_dropout_equals_a_plain_agenda(dropout):
+    """The agenda of each chunk as a list of symbols, the same keyed hash, one merge or skip at a time."""
+    merges, texts = merge_dropout.merges(PIECES), odd_texts(300) + ["internationalization of the thing"] * 20
+    table = {int(p): (int(r), int(m)) for p, r, m in zip(merges.pairs, merges.ranks, merges.merged)}
+    encoder = merge_dropout.Encoder(merges, 5, dropout)
+    limit = min(int(dropout * 2**64), 2**64 - 1)
+
+    def plain(chunk, key):
+        symbols, skipped = [(k, int(merges.of_char[ord(c)])) for k, c in enumerate(chunk)], set()
+        while True:
+            agenda = []
+            for (i, a), (j, b) in zip(symbols, symbols[1:]):
+                found = table.get(a * (merges.unknown + 1) + b)
+                if found and (i, a, j, b) not in skipped:
+                    agenda.append((found[0], i, a, j, b, found[1]))
+            if not agenda:
+                break
+            _, i, a, j, b, merged = min(agenda)
+            if plain_hash(key ^ (plain_hash(i, j, merged) | 1)) < limit:
+                skipped.add((i, a, j, b))
+            else:
+                at = symbols.index((i, a))
+                symbols[at:at + 2] = [(i, merged)]
+        out = []
+        for i, s in symbols:
+            out += [s] if s < len(merges.texts) else [merges.byte_ids[b] for b in chunk[i].encode()]
+        return out
+
+    got = encoder.encode(list(range(len(texts))), texts)
+    for doc, (text, ids) in enumerate(zip(texts, got)):
+        if len(text) > 2000:
+            continue
+        want = [i for place, chunk in enumerate(encoder.chunks(text)) for i in plain(chunk, plain_hash(5, doc, place))]
+        assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
+
+
+def test_groups_of_rows_are_bounded_by_their_bytes():
+    texts = ["x" * n for n in (0, 5, merge_dropout.GROUP_BYTES, 3, merge_dropout.GROUP_BYTES * 2, 1, 1, 0)]
+    batch = merge_dropout.pa.RecordBatch.from_pydict({"text": texts})
+    groups = [g.column("text").to_pylist() for g in merge_dropout._groups(batch)]
+    assert [t for g in groups for t in g] == texts and max(len(g) for g in groups) <= 4
+
+
 def test_dropout_is_seeded_and_varies():
     merges, word = merge_dropout.merges(PIECES), "internationalization " * 40
     encode = lambda seed, doc: merge_dropout.Encoder(merges, seed, 0.2, 4).encode([doc], [word])[0]
