@@ -316,7 +316,10 @@ def encode_with_dropout(
 
 
 def decode_ids(encoded: DataFrame, model: str) -> DataFrame:
-    """``encoded`` (doc_id, ids) as (doc_id, ids, text), exactly the texts that were encoded."""
+    """``encoded`` (doc_id, ids) as (doc_id, ids, text), exactly the texts that were encoded.
+
+    Null and empty ids are an empty text; rows are decoded one by one; other columns are not read.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = merges(model).decode
         for batch in batches:

@@ -276,7 +276,7 @@ def substring_dedup(
     removed; ``spans`` lists them as [from, to) in words, joined where they touch: the maximal repeats. ``kept_text``
     has the other words, joined by one space; with ``keep_layout`` a text that loses nothing stays as it is. Windows
     are judged on the input. Documents shorter than a window lose nothing. Columns named in ``carry`` come along
-    as the fields of ``carried``.
+    as the fields of ``carried``, where their names clash with none.
 
     Null text has no words. Rows that repeat an id count as one document if their texts are equal, else as several in
     the order of a hash of the text; a null id comes first. An empty table gives an empty result; other columns are

@@ -152,7 +152,10 @@ def _read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of each document; ids are little-endian unsigned 32-bit bytes."""
+    """(doc_id, start, n_tokens, ids) of each document; ids are little-endian unsigned 32-bit bytes.
+
+    A document without an id has a null one; an empty folder gives no rows. The files have no other columns.
+    """
     shards = spark.read.schema(SHARD_FIELDS).parquet(path)
     # One row per write task is what is summed here; as a written table it is known to be small, and shards stay put.
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))

@@ -229,7 +229,10 @@ def score_toxicity(
 
 
 def drop_toxic(docs: DataFrame, model: Classifier, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """Rows of ``docs``, with all their columns, whose whole text scores below ``threshold``; null text is empty."""
+    """Rows of ``docs``, with all their columns, whose whole text scores below ``threshold``; null text is empty.
+
+    Rows are judged one by one, repeated ones alike; the text is found by its place, so other names do not matter.
+    """
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
