@@ -9,7 +9,7 @@ from struct import pack
 import numpy as np
 
 # Chunks remembered per worker; the memory forgets all when it is full.
-PIECES_KEPT = 700_000
+PIECES_KEPT = 1_200_000
 # Blanks other than single spaces and line feeds; a text with one is split with care.
 ODD_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
