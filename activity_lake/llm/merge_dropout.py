@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,10 @@ BYTE_PIECE = "<0x%02X>"
 CHUNKS_KEPT = 150_000
 NODES_KEPT = 2_000_000
 LONG = 48
+# Marks, by hash, of chunks that came once.
+MET = 1 << 22
+# Chunks that are merged together.
+TOGETHER = 1 << 15
 # Text that is encoded at a time.
 GROUP_BYTES = 2_000_000
 NONE = np.iinfo(np.int64).max
@@ -165,7 +170,8 @@ class Encoder:
 
     The agenda of a chunk is a tree: a node is a merge to draw for, its children are what comes up when the merge is
     done or skipped, a leaf is a segmentation. Every occurrence draws anew, by its own key, on its way down; only nodes
-    that no occurrence has reached are worked out. Chunks longer than ``LONG`` are worked out each time.
+    that no occurrence has reached are worked out. A chunk has no tree before it comes again, as most come once; chunks
+    longer than ``LONG`` never have one.
     """
 
     def __init__(self, merges: Merges, seed: int, dropout: float, nodes_kept: int = NODES_KEPT):
@@ -176,6 +182,7 @@ class Encoder:
     def forget(self) -> None:
         self.roots: dict[str, int] = {}
         self.size = 0
+        self.met = np.zeros(MET, bool)
         # Draw of a node (0 at a leaf), and its children when the merge is done and skipped (-1: not known).
         self.draw, self.after = np.zeros(1 << 16, np.uint64), np.full((1 << 16, 2), -1, np.int64)
         self.ids: list[bytes | None] = []
@@ -206,10 +213,10 @@ class Encoder:
     def _encode(self, flat: list[str], keys: np.ndarray) -> list[bytes]:
         at = np.array([self.roots.get(c, -1) for c in flat], np.int64)
         self._walk(at, keys, np.flatnonzero(at >= 0))
-        unknown = np.flatnonzero(at < 0)
-        long = np.array([len(flat[i]) > LONG for i in unknown.tolist()], bool)
+        open_ = np.flatnonzero(at < -1)
+        long, once, again = self._unknown(flat, np.flatnonzero(at == -1).tolist())
+        rest = np.r_[open_, again]
         # Once what the first occurrence of each outcome needs is known, others can walk on.
-        rest = unknown[~long]
         while len(rest):
             new, open_ = rest[at[rest] == -1], rest[at[rest] < -1]
             first: dict[str, int] = {}
@@ -223,10 +230,29 @@ class Encoder:
             self._walk(at, keys, rest)
             rest = rest[at[rest] < 0]
         out = list(map(self.ids.__getitem__, at.tolist())) if self.ids else [b""] * len(flat)
-        for i in unknown[long].tolist():
+        for begin in range(0, len(once), TOGETHER):
+            part = once[begin:begin + TOGETHER]
+            for i, ids in zip(part, self.merges.segment([flat[i] for i in part], keys[part], self.dropout)):
+                out[i] = ids
+        for i in long:
             out[i] = self.merges.segment([flat[i]], keys[i:i + 1], self.dropout)[0]
         return out
 
+    def _unknown(self, flat: list[str], unknown: list[int]) -> tuple[list[int], list[int], np.ndarray]:
+        """Occurrences without a tree: of long chunks, of chunks met for the first and only time, and the others."""
+        times = Counter([flat[i] for i in unknown])
+        long, once, others = [], [], []
+        for i in unknown:
+            chunk = flat[i]
+            if len(chunk) > LONG:
+                long.append(i)
+            elif times[chunk] > 1 or self.met[mark := hash(chunk) % MET]:
+                others.append(i)
+            else:
+                self.met[mark] = True
+                once.append(i)
+        return long, once, np.array(others, np.int64)
+
     def _walk(self, at: np.ndarray, keys: np.ndarray, going: np.ndarray) -> None:
         """Moves the nodes ``at[going]`` to leaves; where a child is not known, to -2 less the node's and draw's number."""
         while len(going):
@@ -241,8 +267,8 @@ class Encoder:
 
     def _learn(self, which: list[int], flat: list[str], keys: np.ndarray) -> None:
         """Adds the ways of these occurrences to the trees."""
-        for begin in range(0, len(which), 1 << 15):
-            part = which[begin:begin + (1 << 15)]
+        for begin in range(0, len(which), TOGETHER):
+            part = which[begin:begin + TOGETHER]
             trace: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             ids = self.merges.segment([flat[i] for i in part], keys[part], self.dropout, trace)
             steps = sum(len(owner) for owner, _, _ in trace) + len(part)
