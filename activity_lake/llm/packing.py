@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from activity_lake.llm.common import id_and_text, stage
+from activity_lake.llm.common import giving_back, id_and_text, stage
 from activity_lake.llm.tokens import encoder
 
 CAPACITY = 4096
@@ -52,7 +52,7 @@ def cut_pieces(
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): ids of each whole text and its end, cut every ``capacity`` ids."""
     return id_and_text(docs, id_col, text_col).mapInArrow(
-        _cut_pieces(tokenizer, end_id, capacity),
+        giving_back(_cut_pieces(tokenizer, end_id, capacity)),
         "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from activity_lake.llm.common import column, stage
+from activity_lake.llm.common import column, give_back, giving_back, stage
 
 WINDOW = 20
 GRAM = 5
@@ -204,6 +204,7 @@ def _firsts_of_bin(window: int, gram: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         doc, place = rows["doc_no"].to_numpy(), rows["place"].to_numpy()
         bits = subtree_firsts(rows["words"].tolist(), rows["before"].to_numpy(), doc, place, window, gram)
+        give_back()
         return pd.DataFrame({"doc_no": doc, "first": place << 32 | bits})[bits != 0]
 
     return run
@@ -291,7 +292,7 @@ def substring_dedup(
     passed = ["doc_no", *[c for c in rows.columns if c != "text"]]
     rows = ordered(rows)
     found = rows.select("doc_no", "text").mapInArrow(
-        _anchor_rows(window, gram), "gram long, doc_no long, anchor long")
+        giving_back(_anchor_rows(window, gram)), "gram long, doc_no long, anchor long")
     shared = stage(
         found.select("gram").groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"), "shared-grams")
     total, most = shared.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
@@ -302,7 +303,7 @@ def substring_dedup(
     # Both uses below have the same shuffle of the texts; Spark runs it once.
     read = rows.join(places, "doc_no", "left").select(*passed, "text", "shared")
     suffixes = read.mapInArrow(
-        _suffix_rows(window, gram), "gram long, before long, words binary, doc_no long, place long")
+        giving_back(_suffix_rows(window, gram)), "gram long, before long, words binary, doc_no long, place long")
     bins = max(1, -(-total // bin_rows))
     firsts = suffixes.filter(F.length("words") > 0).groupBy(
         F.pmod(F.xxhash64("gram"), F.lit(bins)).alias("bin")
@@ -318,4 +319,4 @@ def substring_dedup(
         *[cut.schema[c] for c in passed], T.StructField("n_words", T.LongType()),
         T.StructField("n_removed", T.LongType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
         T.StructField("kept_text", T.StringType())])
-    return cut.mapInArrow(_cut_rows(window, gram, passed, keep_layout), schema)
+    return cut.mapInArrow(giving_back(_cut_rows(window, gram, passed, keep_layout)), schema)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import column, id_and_text, stage
+from activity_lake.llm.common import column, giving_back, id_and_text, stage
 
 # Bounds of the training sample, in documents.
 MAX_POSITIVE = 4_000
@@ -176,13 +176,13 @@ def train_toxicity(
     n_p, n_u = sample.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
     if not n_p or not n_u:
         return Classifier(np.zeros(0, np.int64), np.zeros(0), -np.inf)
-    counts = sample.mapInArrow(_texts_with, "bucket long, confirmed long, others long").groupBy("bucket").agg(
+    counts = sample.mapInArrow(giving_back(_texts_with), "bucket long, confirmed long, others long").groupBy("bucket").agg(
         F.sum("confirmed").alias("p"), F.sum("others").alias("u"))
     p, u = (F.col("p") + 0.5) / (n_p + 1), (F.col("u") + 0.5) / (n_u + 1)
     error = F.sqrt(p * (1 - p) / n_p + u * (1 - u) / n_u)
     clear = counts.filter((F.col("p") >= MIN_TEXTS) & (p >= MIN_LIFT * u) & (p - u >= MIN_ERRORS * error))
     known = np.sort(clear.select("bucket").toArrow()["bucket"].to_numpy())
-    found = sample.mapInArrow(_strengths(known), "positive boolean, at array<long>, strength array<double>").toArrow()
+    found = sample.mapInArrow(giving_back(_strengths(known)), "positive boolean, at array<long>, strength array<double>").toArrow()
     texts = {True: [], False: []}
     for flag, at, strength in zip(found["positive"].to_pylist(), found["at"], found["strength"]):
         texts[flag].append((at.values.to_numpy(), strength.values.to_numpy()))
@@ -223,7 +223,7 @@ def score_toxicity(
     """
     rows = id_and_text(docs, id_col, text_col)
     return rows.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        _score(model), "doc_id long, score double",
+        giving_back(_score(model)), "doc_id long, score double",
     ).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
              (F.col("score") >= threshold).cast("int").alias("predicted"))
 
@@ -240,4 +240,4 @@ def drop_toxic(docs: DataFrame, model: Classifier, text_col: str = "text", thres
         for batch in batches:
             yield batch.filter(pa.array(score((t or "").encode() for t in batch.column(at).to_pylist()) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)
