@@ -1,4 +1,9 @@
-"""Near copies: texts whose sets of word shingles are alike, found by prefixes of rare shingles without loss.
+"""Near copies: texts whose sets of word shingles are alike, by SimHash first, then without loss.
+
+A set's SimHash fingerprint links it to others at few differing bits, by the chains of segments of ``simhash``; what is
+linked is compared shingle by shingle. Texts with four fifths of their shingles in common differ in some ten bits of 64,
+and no parts that such fingerprints must share would keep buckets small. So prefixes of rare shingles find, without
+loss, what the fingerprints leave apart.
 
 Sets are as large as their texts, so they are not kept: they are made from the texts again for the few texts that may
 have a partner. What is shuffled for all texts are the hashed shingles of their prefixes, once.
@@ -16,6 +21,7 @@ from pyspark.sql import functions as F
 
 from activity_lake.llm.common import giving_back, id_and_text, stage
 from activity_lake.llm.graph import components
+from activity_lake.llm.simhash import bit_counts, majority, near_links
 from activity_lake.session import new_path
 from activity_lake.sources.tables import job_stages, write_stage
 
@@ -61,6 +67,11 @@ def _node(values: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(values.tobytes())).astype(np.int64))
 
 
+def set_fingerprint(values: np.ndarray) -> int:
+    """The SimHash fingerprint of a set, as a signed 64-bit number; 0 for none."""
+    return int(np.uint64(majority(bit_counts(values), len(values))).astype(np.int64))
+
+
 def parity_map(values: np.ndarray) -> bytes:
     """One bit per hash bucket, some four for each value: whether it holds an odd number of them.
 
@@ -95,11 +106,11 @@ def _batches(batches: Iterator[pa.RecordBatch], size: int):
 def _nodes(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _batches(batches, size):
-            found = [(_node(s), len(s), parity_map(s)) for s in sets]
-            node, n, maps = zip(*found) if found else ((), (), ())
+            found = [(_node(s), len(s), parity_map(s), set_fingerprint(s)) for s in sets]
+            node, n, maps, fp = zip(*found) if found else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(maps, pa.binary())],
-                ["doc_id", "node", "n", "map"])
+                [batch.column("doc_id"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(maps, pa.binary()),
+                 pa.array(fp, pa.int64())], ["doc_id", "node", "n", "map", "fp"])
 
     return run
 
@@ -254,20 +265,43 @@ def _alike_links(possible: DataFrame, rows: DataFrame, nodes: DataFrame, size: i
             "a", "b", "set_a", "set_b").mapInArrow(giving_back(_alike(percent)), "a long, b long").distinct(), "near-links")
 
 
+def simhash_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that span what SimHash links: equal fingerprints, and those with few differing bits."""
+    heads = stage(nodes.groupBy("fp").agg(F.min("node").alias("head")), "near-fingerprints")
+    equal = nodes.select("fp", "node").join(heads, "fp").filter("head < node").select(
+        F.col("head").alias("a"), F.col("node").alias("b"))
+    links = near_links(heads.select("fp")).distinct()
+    near = links.join(heads.toDF("a", "head_a"), "a").join(heads.toDF("b", "head_b"), "b").select(
+        F.least("head_a", "head_b").alias("a"), F.greatest("head_a", "head_b").alias("b"))
+    return stage(equal.unionByName(near).distinct(), "near-simhash")
+
+
+def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that the links leave in different components."""
+    roots = components(links, "near-linked")
+    return pairs.join(roots.toDF("a", "root_a"), "a", "left").join(roots.toDF("b", "root_b"), "b", "left").filter(
+        F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
 def near_copy_links(rows: DataFrame, nodes: DataFrame, size: int = SHINGLE, percent: int = MIN_PERCENT) -> DataFrame:
     """Links (a, b) that join all nodes with at least ``percent`` of their shingles in common.
 
-    Such sets share a shingle of their prefixes. Each shingle's nodes are first compared with the least one of its
-    group, and the least ones of a frequent shingle's groups with the least of all. Where that leaves them in several components, nodes of different ones are compared in pairs, so that a large
-    group of copies costs its size and not its pairs.
+    What SimHash links is compared first. Sets that are alike also share a shingle of their prefixes: of nodes that are
+    still apart, each shingle's are compared with the least one of its group, and the least ones of a frequent shingle's
+    groups with the least of all. Where that leaves them in several components, nodes of different ones are compared in
+    pairs, so that a large group of copies costs its size and not its pairs.
     """
+    by_simhash = simhash_pairs(nodes)
+    links = _verified(by_simhash, rows, nodes, size, percent)
     shared = stage(shared_prefixes(rows, size, percent), "near-shared")
     tops = stage(shared.groupBy("shingle").agg(F.min("least").alias("top"), F.max("least").alias("most")).filter(
         "top < most").select("shingle", "top"), "near-tops")
     between = shared.select("shingle", "least").distinct().join(tops, "shingle").filter("top < least")
-    tried = stage(shared.filter("least < node").select(F.col("least").alias("a"), F.col("node").alias("b")).unionByName(
-        between.select(F.col("top").alias("a"), F.col("least").alias("b"))).distinct(), "near-first")
-    links = _verified(tried, rows, nodes, size, percent)
+    first = shared.filter("least < node").select(F.col("least").alias("a"), F.col("node").alias("b")).unionByName(
+        between.select(F.col("top").alias("a"), F.col("least").alias("b"))).distinct()
+    first = stage(_apart(first, links).join(by_simhash, ["a", "b"], "left_anti"), "near-first")
+    links = stage(links.unionByName(_verified(first, rows, nodes, size, percent)), "near-links")
+    tried = stage(by_simhash.unionByName(first), "near-tried")
 
     members = stage(shared.select("shingle", "node").distinct(), "near-members")
     for turn in range(TURNS):
@@ -381,9 +415,10 @@ def near_copy_groups(
     spark = docs.sparkSession
     with job_stages(spark):
         rows = id_and_text(docs, id_col, text_col)
-        named = stage(rows.mapInArrow(giving_back(_nodes(shingle)), "doc_id long, node long, n long, map binary"), "near-nodes")
+        named = stage(rows.mapInArrow(giving_back(_nodes(shingle)), "doc_id long, node long, n long, map binary, fp long"), "near-nodes")
         nodes = stage(named.groupBy("node").agg(
-            F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("map").alias("map")), "near-sets")
+            F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("map").alias("map"),
+            F.first("fp").alias("fp")), "near-sets")
         roots = components(near_copy_links(rows, nodes, shingle, percent), "near-components")
         placed = stage(nodes.select("node", "least_id").join(roots, "node", "left").select(
             "node", "least_id", F.coalesce("root", "node").alias("root")), "near-roots")

@@ -29,6 +29,17 @@ LEAST_OPEN_BITS = 14
 ALL = (1 << 64) - 1
 
 
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of 64 bits."""
+    bits = np.unpackbits(np.ascontiguousarray(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(0, dtype=np.int64)
+
+
+def majority(counts: np.ndarray, n: int) -> int:
+    """The 64 bits that more than half of ``n`` hashes have."""
+    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: bytes) -> int:
     """64 bits; a bit is set when more than half of the shingles' hashes have it. No words: 0."""
     words = text.lower().split()
@@ -41,9 +52,8 @@ def fingerprint(text: bytes) -> int:
     counts = np.zeros(64, np.int64)
     for at in range(0, len(shingles), 1 << 16):
         part = shingles[at:at + (1 << 16)]
-        hashes = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in part), "<u8", len(part))
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(shingles), bitorder="little").view("<u8")[0])
+        counts += bit_counts(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in part), "<u8", len(part)))
+    return majority(counts, len(shingles))
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import documents, keep_rows, stage
+from activity_lake.llm.common import ARROW_ROWS, documents, keep_rows, small_batches, stage
 from activity_lake.llm.exact import drop_copies
 from activity_lake.llm.near_copies import near_copy_groups
 from activity_lake.llm.packing import pack_documents
@@ -19,6 +19,7 @@ ORACLE_SQL = None
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on what is there and the labels, does not call toxic."""
+    small_batches(spark)
     return drop_toxic(docs, train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
@@ -30,8 +31,10 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each component of texts with 80 % of their five-word shingles in common.
 
-    Rows that repeat its id stay with it.
+    SimHash fingerprints link most of them; an exact search by prefixes finds the others. Rows that repeat its id stay
+    with it.
     """
+    small_batches(spark)
     groups = near_copy_groups(docs)
     return keep_rows(docs, groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
 
@@ -41,6 +44,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A text that loses nothing stays as it is. ``n_chars`` follows the text.
     """
+    small_batches(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     left = substring_dedup(docs, carry=others, keep_layout=True).filter(
         (F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
@@ -54,6 +58,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 4096 tokens."""
+    small_batches(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
@@ -67,7 +72,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    for name, apply in STAGES:
-        docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+    docs, before = documents(spark, sf_dir), spark.conf.get(ARROW_ROWS)
+    try:
+        for name, apply in STAGES:
+            docs = stage(apply(spark, docs, sf_dir), f"pipeline-{name}")
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
     return docs

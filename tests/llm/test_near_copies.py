@@ -112,3 +112,38 @@ def test_runs_are_the_same_over_any_batches():
             [dict(zip(("shingle", "salt", "node"), r)) for r in rows[i:i + size]]) for i in range(0, len(rows), size)]
         got = [tuple(r.values()) for b in near_copies._shared(iter(batches)) for r in b.to_pylist()]
         assert set(got) == want
+
+
+def test_what_simhash_links_is_found_without_prefixes(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = []
+    for k in range(40):
+        ws = [f"w{k // 4}x{i}" for i in range(3000)]
+        if k % 4:
+            ws[rng.randrange(3000)] = f"new{k}"
+        rows.append((k, " ".join(ws)))
+    found = near_copies.simhash_pairs
+    pairs = []
+    monkeypatch.setattr(near_copies, "simhash_pairs", lambda nodes: pairs.append(found(nodes)) or pairs[-1])
+    monkeypatch.setattr(near_copies, "shared_prefixes", lambda *_: spark.createDataFrame(
+        [], "shingle long, node long, least long"))
+    groups = plain_groups([t for _, t in rows])
+    got = {(r["doc_id"], r["component_id"]) for r in near_copy_groups(table(spark, rows)).collect()}
+    assert got == {(rows[i][0], first(rows[j][0] for j in g)) for g in groups for i in g}
+    assert len({c for _, c in got}) == 10
+
+
+def test_simhash_links_that_are_not_alike_are_dropped(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "set_fingerprint", lambda values: 0)
+    rows = [(k, " ".join(f"w{k // 2}x{i}" for i in range(k % 2, 60 + k % 2))) for k in range(12)]
+    got = {(r["doc_id"], r["component_id"]) for r in near_copy_groups(table(spark, rows)).collect()}
+    assert got == {(k, k - k % 2) for k in range(12)}
+
+
+def test_set_fingerprints_are_majorities():
+    rng = np.random.default_rng(9)
+    assert near_copies.set_fingerprint(np.zeros(0, np.uint64)) == 0
+    for n in (1, 2, 7, 300):
+        values = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        bits = sum(1 << b for b in range(64) if 2 * sum(int(v) >> b & 1 for v in values) > n)
+        assert near_copies.set_fingerprint(values) & ((1 << 64) - 1) == bits

@@ -127,3 +127,22 @@ def test_odd_rows_and_empty_tables(spark, name):
         assert {fingerprint(t) for _, t in got} <= {fingerprint(t) for _, t in ODD}
     else:
         assert all(words(t) or not words(dict(ODD).get(d)) for d, t in got)
+
+
+def test_stages_hand_few_texts_to_python_at_a_time(spark):
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    key, docs = "spark.sql.execution.arrow.maxRecordsPerBatch", table(spark, ODD)
+    before = spark.conf.get(key)
+    try:
+        for name in ("toxicity", "simhash_near_dedup", "substring_dedup", "best_fit_packing"):
+            spark.conf.set(key, "10000")
+            STEPS[name](spark, docs, SIZES)
+            given = spark.range(0, 9000, 1, 1).mapInArrow(sizes, "n long").collect()
+            assert sum(r["n"] for r in given) == 9000 and max(r["n"] for r in given) <= 2000
+    finally:
+        spark.conf.set(key, before)
