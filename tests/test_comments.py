@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from activity_lake.operators import comments
 from activity_lake.operators.comments import (
     INSTRUCTIONS, build_prompts, comment_context, default_comments, parse_answers, score_batches, token_records,
 )
@@ -117,3 +118,23 @@ def test_prompts_are_in_id_order(spark):
     df = spark.createDataFrame([("b", "é"), ("a", None)], "id string, name string")
     prompt = build_prompts(df, ["id", "name"]).select(F.col("prompt")).first()["prompt"]
     assert json.loads(prompt[len(INSTRUCTIONS):]) == [{"id": "a", "name": None}, {"id": "b", "name": "é"}]
+
+
+def test_a_ledger_is_read_once_for_what_was_answered(spark, tmp_path, monkeypatch):
+    prompts = spark.createDataFrame([(i, 1, f"prompt {i}") for i in range(6)], "batch long, rows long, prompt string")
+    ledger, read = str(tmp_path / "ledger"), spark.sparkContext.accumulator(0)
+    assert comments.score_once(prompts, {"w": str.upper}, ledger, per_task=2).filter("answer like 'PROMPT%'").count() == 6
+
+    def counted(*args):
+        def run(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        known = read_or_empty(*args)
+        return known.mapInArrow(run, known.schema)
+
+    read_or_empty = comments.read_or_empty
+    monkeypatch.setattr(comments, "read_or_empty", counted)
+    assert comments.score_once(prompts, {}, ledger).filter("answer is not null").count() == 6
+    assert read.value == 6
