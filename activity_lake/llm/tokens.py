@@ -8,7 +8,9 @@ from struct import pack
 
 import numpy as np
 
-# Chunks remembered per worker; the memory forgets all when it is full.
+from activity_lake.llm.common import Remembered
+
+# Chunks remembered per worker.
 PIECES_KEPT = 1_200_000
 # Blanks other than single spaces and line feeds; a text with one is split with care.
 ODD_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
@@ -20,7 +22,7 @@ MARKS = ".,!?;:"
 LINE_FEED = "Ċ"
 
 
-class Chunks(dict):
+class Chunks(Remembered):
     """Ids of chunks, each a run of characters without spaces; ``space`` stands for the space that belongs before it.
 
     ``as_bytes`` says that chunks are given as their bytes.
@@ -30,15 +32,12 @@ class Chunks(dict):
     """
 
     def __init__(self, encoder: Encoder, space: str, as_bytes: bool = False):
-        super().__init__()
+        super().__init__(encoder.kept)
         self.encoder, self.space, self.as_bytes = encoder, space, as_bytes
         self.before = "Ġ" if space else ""
 
-    def __missing__(self, chunk: str | bytes) -> bytes:
-        if len(self) >= PIECES_KEPT:
-            self.clear()
-        ids = self[chunk] = self.ids_of(chunk.decode() if self.as_bytes else chunk)
-        return ids
+    def made(self, chunk: str | bytes) -> bytes:
+        return self.ids_of(chunk.decode() if self.as_bytes else chunk)
 
     def ids_of(self, chunk: str) -> bytes:
         encoder = self.encoder
@@ -65,11 +64,11 @@ class Encoder:
     their ids, as the library does by default; what lies between them is encoded apart.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = PIECES_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.kept = Tokenizer.from_file(path), kept
         self.id_bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         steps = _steps(self.tokenizer.to_str())
         self.lower = "Lowercase" in steps
@@ -101,7 +100,7 @@ class Encoder:
     def piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
-            if len(self.pieces) >= PIECES_KEPT:
+            if len(self.pieces) >= self.kept:
                 self.pieces.clear()
             ids = self.pieces[piece] = self._merged(piece)
         return ids
@@ -148,11 +147,11 @@ def _steps(config: str) -> list[str]:
     return names
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder per file and worker, kept between tasks."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, kept: int = PIECES_KEPT) -> Encoder:
+    """One encoder per file, size of memory and worker, kept between tasks."""
+    if (path, kept) not in _encoders:
+        _encoders[path, kept] = Encoder(path, kept)
+    return _encoders[path, kept]
