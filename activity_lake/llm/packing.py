@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from activity_lake.llm.common import giving_back, id_and_text, stage
-from activity_lake.llm.tokens import encoder
+from activity_lake.llm.tokens import PIECES_KEPT, encoder
 
 CAPACITY = 4096
 # The program is solved and rounded in rounds; each has this many pricings.
@@ -28,9 +28,9 @@ SLACK = 0.003
 RANK_ROWS = 50_000
 
 
-def _cut_pieces(tokenizer: str, end_id: int, capacity: int):
+def _cut_pieces(tokenizer: str, end_id: int, capacity: int, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer, kept).encode, np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = [[], [], [], [], []]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -48,11 +48,11 @@ def _cut_pieces(tokenizer: str, end_id: int, capacity: int):
 
 def cut_pieces(
     docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", kept: int = PIECES_KEPT,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): ids of each whole text and its end, cut every ``capacity`` ids."""
     return id_and_text(docs, id_col, text_col).mapInArrow(
-        giving_back(_cut_pieces(tokenizer, end_id, capacity)),
+        giving_back(_cut_pieces(tokenizer, end_id, capacity, kept)),
         "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
@@ -239,13 +239,13 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack_documents(
     docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACITY,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", kept: int = PIECES_KEPT,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of each piece of each document.
 
     Null text is empty: a piece with just the end id. Null and repeated ids are kept as they are, one document per row;
-    other columns are not read.
+    other columns are not read. A worker remembers the ids of ``kept`` chunks of text at most.
     """
-    pieces = stage(cut_pieces(docs, tokenizer, end_id, capacity, id_col, text_col), "pieces")
+    pieces = stage(cut_pieces(docs, tokenizer, end_id, capacity, id_col, text_col, kept), "pieces")
     return pack_pieces(pieces, capacity).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import column, giving_back, id_and_text, stage
+from activity_lake.llm.common import Remembered, column, giving_back, id_and_text, stage
 
 # Bounds of the training sample, in documents.
 MAX_POSITIVE = 4_000
@@ -28,7 +28,9 @@ MIN_ERRORS = 4.0
 STEPS = 500
 RATE = 0.02
 SHRINK = 0.0005
-WORDS_KEPT = 500_000
+# Words remembered by a task: with the places of all their runs, and with the known ones, mostly none.
+WORDS_COUNTED = 100_000
+WORDS_KEPT = 400_000
 
 # Letters of ASCII in lower case and all bytes beyond it stay; the rest parts words.
 KEPT = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -45,21 +47,18 @@ def runs(word: bytes) -> set[bytes]:
     return {marked, *(marked[i:i + n] for n in RUNS for i in range(len(marked) - n + 1))}
 
 
-class Known(dict):
+class Known(Remembered):
     """Places of a word's runs among known buckets; all buckets are known if none are given."""
 
     def __init__(self, buckets: np.ndarray | None = None):
-        super().__init__()
+        super().__init__(WORDS_COUNTED if buckets is None else WORDS_KEPT)
         self.place = None if buckets is None else {int(b): i for i, b in enumerate(buckets)}
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
+    def made(self, word: bytes) -> tuple[int, ...]:
         found = [xxhash.xxh32_intdigest(r) % BUCKETS for r in runs(word)]
         if self.place is not None:
             found = [self.place[b] for b in found if b in self.place]
-        value = self[word] = tuple(found)
-        return value
+        return tuple(found)
 
 
 def features(text: bytes, known: Known) -> tuple[np.ndarray, np.ndarray]:

@@ -13,6 +13,8 @@ from activity_lake.llm.packing import pack_documents
 from activity_lake.llm.substrings import substring_dedup
 from activity_lake.llm.toxicity import drop_toxic, train_toxicity
 
+# Chunks of text that a worker remembers while encoding: executors are fuller here than in a query of its own.
+CHUNKS_KEPT = 300_000
 # Rounding a linear program and training a classifier have no SQL; the tests compare with plain versions.
 ORACLE_SQL = None
 
@@ -59,7 +61,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 4096 tokens."""
     small_batches(spark)
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, kept=CHUNKS_KEPT)
 
 
 STAGES = [
