@@ -110,13 +110,13 @@ def _ingest(sheet, stored, employees, key, target, writers, token_path, parallel
     valid_path = new_path(spark, "activities")
     with log.step("validate") as step:
         step.status, _ = publish(
-            step.counts(conform(sheet, schemas.ACTIVITY_SHEET)), activity_suite(employees), valid_path,
+            fingerprint(step.counts(conform(sheet, schemas.ACTIVITY_SHEET))), activity_suite(employees), valid_path,
             violations_path=f"{account}/violations")
         statuses = {"validate": step.status}
     if statuses["validate"] == FAILED:
         return {**statuses, "continue": "NO"}
     with log.step("scan") as step:
-        incoming = write_stage(fingerprint(spark.read.parquet(valid_path)), name="fingerprinted")
+        incoming = spark.read.parquet(valid_path)
         # The suite has just checked the incoming ids; stored ones are keys.
         if isinstance(stored, BucketTable):
             found = stored.diff(incoming)

@@ -124,6 +124,20 @@ def test_ingest_activities(spark, tmp_path):
     assert rows(result.filter("id = 'a'"), "comment") == rows(stored.filter("id = 'a'"), "comment")
 
 
+def test_valid_activities_are_written_once(spark, tmp_path, monkeypatch):
+    from activity_lake.plans import activities
+
+    stages, write = [], activities.write_stage
+    monkeypatch.setattr(activities, "write_stage", lambda df, path=None, name="stage": stages.append(name) or write(df, path, name))
+    target = str(tmp_path / "v1")
+    stored = fingerprint(activity_sheet(spark)).selectExpr(
+        *[c if c != "comment" else "cast(null as string) as comment" for c in schemas.STORED_COLUMNS])
+    ingest_activities(activity_sheet(spark, ("a", 1), ("b", 2)), stored, hr_sheet(spark, "1"), KEY, target)
+    assert "fingerprinted" not in stages
+    marks = fingerprint(activity_sheet(spark, ("a", 1), ("b", 2)))
+    assert rows(spark.read.parquet(target), "id", "fingerprint") == rows(marks, "id", "fingerprint")
+
+
 def test_repeated_activity_ids_stop_the_flow(spark, tmp_path):
     statuses = ingest_activities(
         activity_sheet(spark, ("a", 1), ("a", 2)), fingerprint(activity_sheet(spark)), hr_sheet(spark, "1"), KEY,
