@@ -24,27 +24,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from activity_lake.llm.common import Remembered, column, give_back, giving_back, stage
+from activity_lake.llm.common import column, give_back, giving_back, stage
 
 WINDOW = 20
 GRAM = 5
 # Suffixes sorted in one task, and beyond which a prefix is lengthened.
 BIN_ROWS = 50_000
 PREFIX_ROWS = 100_000
-# Words remembered while hashing.
+# Words remembered while hashing; the memory forgets all when it is full.
 WORDS_KEPT = 120_000
 WORD_BYTES = 6
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(Remembered):
+class WordHashes(dict):
     """Hash of each word, computed once while remembered; never 0 in its lower 48 bits."""
 
-    def __init__(self):
-        super().__init__(WORDS_KEPT)
-
-    def made(self, word: bytes) -> int:
-        return xxhash.xxh64_intdigest(word) | 1
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word) | 1
+        return value
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -8,9 +8,7 @@ from struct import pack
 
 import numpy as np
 
-from activity_lake.llm.common import Remembered
-
-# Chunks remembered per worker.
+# Chunks remembered per worker; the memory forgets all when it is full.
 PIECES_KEPT = 1_200_000
 # Blanks other than single spaces and line feeds; a text with one is split with care.
 ODD_BLANKS = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
@@ -22,7 +20,7 @@ MARKS = ".,!?;:"
 LINE_FEED = "Ċ"
 
 
-class Chunks(Remembered):
+class Chunks(dict):
     """Ids of chunks, each a run of characters without spaces; ``space`` stands for the space that belongs before it.
 
     ``as_bytes`` says that chunks are given as their bytes.
@@ -32,12 +30,15 @@ class Chunks(Remembered):
     """
 
     def __init__(self, encoder: Encoder, space: str, as_bytes: bool = False):
-        super().__init__(encoder.kept)
+        super().__init__()
         self.encoder, self.space, self.as_bytes = encoder, space, as_bytes
         self.before = "Ġ" if space else ""
 
-    def made(self, chunk: str | bytes) -> bytes:
-        return self.ids_of(chunk.decode() if self.as_bytes else chunk)
+    def __missing__(self, chunk: str | bytes) -> bytes:
+        if len(self) >= self.encoder.kept:
+            self.clear()
+        ids = self[chunk] = self.ids_of(chunk.decode() if self.as_bytes else chunk)
+        return ids
 
     def ids_of(self, chunk: str) -> bytes:
         encoder = self.encoder

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import Remembered, column, giving_back, id_and_text, stage
+from activity_lake.llm.common import column, giving_back, id_and_text, stage
 
 # Bounds of the training sample, in documents.
 MAX_POSITIVE = 4_000
@@ -47,18 +47,22 @@ def runs(word: bytes) -> set[bytes]:
     return {marked, *(marked[i:i + n] for n in RUNS for i in range(len(marked) - n + 1))}
 
 
-class Known(Remembered):
+class Known(dict):
     """Places of a word's runs among known buckets; all buckets are known if none are given."""
 
     def __init__(self, buckets: np.ndarray | None = None):
-        super().__init__(WORDS_COUNTED if buckets is None else WORDS_KEPT)
+        super().__init__()
+        self.kept = WORDS_COUNTED if buckets is None else WORDS_KEPT
         self.place = None if buckets is None else {int(b): i for i, b in enumerate(buckets)}
 
-    def made(self, word: bytes) -> tuple[int, ...]:
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        if len(self) >= self.kept:
+            self.clear()
         found = [xxhash.xxh32_intdigest(r) % BUCKETS for r in runs(word)]
         if self.place is not None:
             found = [self.place[b] for b in found if b in self.place]
-        return tuple(found)
+        value = self[word] = tuple(found)
+        return value
 
 
 def features(text: bytes, known: Known) -> tuple[np.ndarray, np.ndarray]:
