@@ -6,7 +6,8 @@ and no parts that such fingerprints must share would keep buckets small. So pref
 loss, what the fingerprints leave apart.
 
 Sets are as large as their texts, so they are not kept: they are made from the texts again for the few texts that may
-have a partner. What is shuffled for all texts are the hashed shingles of their prefixes, once.
+have a partner. What is shuffled for all texts are the hashed shingles of their prefixes, once. Each comes with its
+place, which tells most texts that share one by chance from texts that can be alike.
 """
 
 from __future__ import annotations
@@ -35,7 +36,11 @@ COUNTERS = 1 << 18
 HOT, SALTS = 64, 64
 # Nodes that a task remembers as filed.
 FILED = 1 << 18
+# Nodes of a shingle that are held to look for partners, and how far apart in order of size partners are looked for.
+RUN_ROWS, NEIGHBOURS = 10_000, 32
 LEAST_BITS = 64
+# Bits for each value of the maps that are compared in blocks; pairs get shorter maps.
+FINE = 4
 # Turns of comparing with one node of each shingle, and pairs per filed shingle that may be left after them.
 TURNS, ENOUGH = 3, 2
 # Nodes of a shingle whose maps are compared at a time.
@@ -72,13 +77,13 @@ def set_fingerprint(values: np.ndarray) -> int:
     return int(np.uint64(majority(bit_counts(values), len(values))).astype(np.int64))
 
 
-def parity_map(values: np.ndarray) -> bytes:
-    """One bit per hash bucket, some four for each value: whether it holds an odd number of them.
+def parity_map(values: np.ndarray, per_value: int = 1) -> bytes:
+    """One bit per hash bucket, ``per_value`` or some more for each value: whether it holds an odd number of them.
 
     Every value that only one of two sets has turns over one bit, so the maps differ in no more bits than the sets do
     in values. A map is the larger one folded, so sets of unlike sizes can be compared as well.
     """
-    bits = max(LEAST_BITS, 1 << (4 * len(values) - 1).bit_length())
+    bits = max(LEAST_BITS, 1 << (per_value * len(values) - 1).bit_length())
     counts = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -106,11 +111,11 @@ def _batches(batches: Iterator[pa.RecordBatch], size: int):
 def _nodes(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _batches(batches, size):
-            found = [(_node(s), len(s), parity_map(s), set_fingerprint(s)) for s in sets]
-            node, n, maps, fp = zip(*found) if found else ((), (), (), ())
+            found = [(_node(s), len(s), parity_map(s), parity_map(s, FINE), set_fingerprint(s)) for s in sets]
+            node, n, maps, fine, fp = zip(*found) if found else ((), (), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(node, pa.int64()), pa.array(n, pa.int64()), pa.array(maps, pa.binary()),
-                 pa.array(fp, pa.int64())], ["doc_id", "node", "n", "map", "fp"])
+                 pa.array(fine, pa.binary()), pa.array(fp, pa.int64())], ["doc_id", "node", "n", "map", "fine", "fp"])
 
     return run
 
@@ -142,6 +147,7 @@ def _prefixes(counts: np.ndarray, size: int, percent: int):
         filed: set[int] = set()
         for batch, sets in _batches(batches, size):
             shingles, salts, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+            sizes, lefts = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
             for values in sets:
                 node = _node(values)
                 if not len(values) or node in filed:
@@ -154,9 +160,75 @@ def _prefixes(counts: np.ndarray, size: int, percent: int):
                 shingles.append(values[first])
                 salts.append(np.where(often[first] > hot, node % SALTS, -1).astype(np.int32))
                 nodes.append(np.full(len(first), node, np.int64))
+                sizes.append(np.full(len(first), len(values), np.int32))
+                lefts.append(np.arange(len(values), len(values) - len(first), -1, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(shingles).view(np.int64)), pa.array(np.concatenate(salts)),
-                 pa.array(np.concatenate(nodes))], ["shingle", "salt", "node"])
+                [pa.array(np.concatenate(shingles).view(np.int64)), pa.array(np.concatenate(lefts)),
+                 pa.array(np.concatenate(salts)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))],
+                ["shingle", "left", "salt", "node", "n"])
+
+    return run
+
+
+def _have_partner(run: np.ndarray, node: np.ndarray, n: np.ndarray, left: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of whole runs share their shingle with another node that can be alike.
+
+    Two sets share nothing ahead of the first shingle they have in common, so no more than what is left in each from
+    there on. Rows are compared with larger sets of their run; a run with too many of like size is kept.
+    """
+    order = np.lexsort((n, run))
+    run_, node_, n_, left_ = (x[order].astype(np.int64) for x in (run, node, n, left))
+    keep, at = np.zeros(len(order), bool), np.arange(len(order))
+    for k in range(1, NEIGHBOURS + 1):
+        at = at[at + k < len(order)]
+        # Sizes ascend, so a row with no set of like size here has none further on.
+        at = at[(run_[at] == run_[at + k]) & (100 * n_[at] >= percent * n_[at + k])]
+        if not len(at):
+            break
+        alike = (node_[at] != node_[at + k]) & (
+            (100 + percent) * np.minimum(left_[at], left_[at + k]) >= percent * (n_[at] + n_[at + k]))
+        keep[at[alike]] = keep[at[alike] + k] = True
+    keep |= np.isin(run_, run_[at])
+    out = np.zeros(len(order), bool)
+    out[order] = keep
+    return out
+
+
+def _partners(percent: int):
+    """Rows that have a partner, from rows in order of shingle and salt.
+
+    Of a salted shingle all rows are given, as partners may be in another group, and so they are of a run that is too
+    long to be held.
+    """
+    names = ["shingle", "salt", "node", "n", "left"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, given = None, None
+        for batch in batches:
+            rows = [np.asarray(batch.column(c)) for c in names]
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows)]
+            shingle, salt, node, n, left = rows
+            if not len(node):
+                continue
+            new = np.ones(len(node), bool)
+            new[1:] = (shingle[1:] != shingle[:-1]) | (salt[1:] != salt[:-1])
+            whole = salt >= 0
+            if (shingle[0], salt[0]) == given:
+                whole |= np.cumsum(new) == 1
+            # The last run may go on in the next batch.
+            end = int(np.flatnonzero(new)[-1])
+            if whole[end] or len(node) - end > RUN_ROWS:
+                whole[end:], given, end = True, (shingle[end], salt[end]), len(node)
+            held = [x[end:] for x in rows]
+            open_runs = np.flatnonzero(~whole[:end])
+            keep = whole[:end]
+            keep[open_runs] = _have_partner(
+                np.cumsum(new)[open_runs], *(x[open_runs] for x in (node, n, left)), percent)
+            yield pa.RecordBatch.from_arrays([pa.array(x[:end][keep]) for x in rows[:3]], names[:3])
+        if held is not None and len(held[0]):
+            keep = _have_partner(np.zeros(len(held[0]), np.int64), *held[2:], percent)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in held[:3]], names[:3])
 
     return run
 
@@ -199,14 +271,18 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_prefixes(rows: DataFrame, size: int = SHINGLE, percent: int = MIN_PERCENT) -> DataFrame:
-    """(shingle, node, least) of all shingles that the prefixes of several nodes have.
+    """(shingle, node, least) of all shingles that the prefixes of several nodes have, by which they can be alike.
 
     A prefix has the rarest shingles of its set, as many as have to be looked at so that two sets that are alike share
-    one. The shuffle deals shingles out, frequent ones in groups by node as well; its tasks pass them in order.
+    one. The first they share comes early enough in both, so nodes that no other of the shingle can be like are left out.
+    The shuffle deals shingles out, frequent ones in groups by node as well; its tasks pass them in order.
     """
-    filed = rows.mapInArrow(giving_back(_prefixes(frequencies(rows, size), size, percent)), "shingle long, salt int, node long")
+    # What differs from row to row of a text comes first, so that the rest compresses as one.
+    filed = rows.mapInArrow(
+        giving_back(_prefixes(frequencies(rows, size), size, percent)),
+        "shingle long, left int, salt int, node long, n int")
     return filed.repartition("shingle", "salt").sortWithinPartitions("shingle", "salt", "node").mapInArrow(
-        giving_back(_shared), "shingle long, node long, least long")
+        giving_back(lambda batches: _shared(_partners(percent)(batches))), "shingle long, node long, least long")
 
 
 def _possible(percent: int):
@@ -334,7 +410,7 @@ def _across(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     blocks = stage(placed.groupBy("shingle").agg(F.count("*").alias("members")).filter("members > 2").select(
         "shingle", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "near-blocks")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    about = nodes.select("node", "n", "map")
+    about = nodes.select("node", "n", F.col("fine").alias("map"))
     dealt = placed.join(blocks, "shingle").select(
         "shingle", "node", "root", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     keyed = dealt.select(
@@ -415,10 +491,11 @@ def near_copy_groups(
     spark = docs.sparkSession
     with job_stages(spark):
         rows = id_and_text(docs, id_col, text_col)
-        named = stage(rows.mapInArrow(giving_back(_nodes(shingle)), "doc_id long, node long, n long, map binary, fp long"), "near-nodes")
+        named = stage(rows.mapInArrow(giving_back(_nodes(shingle)), "doc_id long, node long, n long, map binary, fine binary, fp long"),
+            "near-nodes")
         nodes = stage(named.groupBy("node").agg(
             F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("map").alias("map"),
-            F.first("fp").alias("fp")), "near-sets")
+            F.first("fine").alias("fine"), F.first("fp").alias("fp")), "near-sets")
         roots = components(near_copy_links(rows, nodes, shingle, percent), "near-components")
         placed = stage(nodes.select("node", "least_id").join(roots, "node", "left").select(
             "node", "least_id", F.coalesce("root", "node").alias("root")), "near-roots")

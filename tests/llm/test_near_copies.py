@@ -114,6 +114,52 @@ def test_runs_are_the_same_over_any_batches():
         assert set(got) == want
 
 
+def test_texts_too_unlike_in_size_are_no_candidates(spark):
+    passage = " ".join(f"quoted{i}" for i in range(40))
+    # Each shares a passage with all others and is a third longer than the one before.
+    rows = [(k, passage + " " + " ".join(f"own{k}x{i}" for i in range(int(100 * 1.34 ** k) - 40))) for k in range(12)]
+    assert shared_prefixes(table(spark, rows).select("doc_id", "text")).count() == 0
+    rows.append((90, rows[-1][1] + " more"))
+    assert {(r["doc_id"], r["component_id"]) for r in near_copy_groups(table(spark, rows)).collect()} == {
+        *((k, k) for k in range(12)), (90, 11)}
+
+
+def test_partners_are_those_of_all_pairs(monkeypatch):
+    names = ["shingle", "salt", "node", "n", "left"]
+    rng, sizes = random.Random(6), {k: random.Random(k).randrange(20, 60) for k in range(80)}
+    rows = sorted({(s, -1, node, sizes[node], sizes[node] - (7 * s + node) % 12)
+                   for s in range(30) for node in rng.sample(range(80), rng.choice((1, 2, 5, 40)))})
+    rows += [(40, salt, 100 * salt + k, 9 ** k, 9 ** k) for salt in range(2) for k in range(3)]
+    rows += [(50, -1, k, 9 ** k, 9 ** k) for k in range(9)]
+
+    def alike(x, y):
+        return x[0] == y[0] and x[2] != y[2] and 180 * min(x[4], y[4]) >= 80 * (x[3] + y[3])
+
+    def given(at_a_time):
+        batches = [near_copies.pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows[i:i + at_a_time]])
+                   for i in range(0, len(rows), at_a_time)]
+        return [tuple(r.values()) for b in near_copies._partners(80)(iter(batches)) for r in b.to_pylist()]
+
+    want = [r[:3] for r in rows if r[1] >= 0 or any(alike(r, x) for x in rows)]
+    assert 100 < len(want) < len(rows) - 20
+    for at_a_time in (1, 3, 50, len(rows)):
+        monkeypatch.undo()
+        monkeypatch.setattr(near_copies, "NEIGHBOURS", 100)
+        assert given(at_a_time) == want
+        # Shorter looks and runs that are not held may give more rows, never fewer, and none twice.
+        for name, value in (("NEIGHBOURS", 2), ("RUN_ROWS", 4)):
+            monkeypatch.setattr(near_copies, name, value)
+            got = given(at_a_time)
+            assert set(want) <= set(got) and len(got) == len(set(got))
+
+
+def test_maps_take_two_bits_a_value_at_most():
+    rng = np.random.default_rng(8)
+    for n in (64, 100, 1000, 1025):
+        values = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        assert 8 * len(parity_map(values)) <= 2 * n
+
+
 def test_what_simhash_links_is_found_without_prefixes(spark, monkeypatch):
     rng = random.Random(11)
     rows = []
